@@ -122,8 +122,10 @@ def calendar_spanning(df: DataFrame, *ts_cols: str) -> DataFrame:
     spine is ``sequence`` + ``explode`` of that single row, so its size is the
     number of days in the span, not the number of input rows.
     """
-    lo = F.least(*[F.min(F.col(c)) for c in ts_cols]).cast("date")
-    hi = F.greatest(*[F.max(F.col(c)) for c in ts_cols]).cast("date")
+    mins = [F.min(F.col(c)) for c in ts_cols]
+    maxs = [F.max(F.col(c)) for c in ts_cols]
+    lo = (F.least(*mins) if len(mins) > 1 else mins[0]).cast("date")
+    hi = (F.greatest(*maxs) if len(maxs) > 1 else maxs[0]).cast("date")
     bounds = df.agg(lo.alias("lo"), hi.alias("hi"))
     spine = bounds.where(F.col("lo").isNotNull()).select(
         F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date")

@@ -17,6 +17,7 @@ from medallion import contracts as C
 from medallion.operators import silver as silver_ops
 from medallion.operators.staging import stage
 from medallion.plans import dimensions, facts, marts, questions
+from medallion.session import checkpoint_root
 
 GOLD_MODELS = [
     "dim_customers",
@@ -48,8 +49,23 @@ class Warehouse:
         self.calendar_end = calendar_end
 
     @classmethod
-    def from_bronze(cls, spark: SparkSession, bronze: DataFrame, **kw) -> "Warehouse":
-        return cls(spark, silver_ops.build_all(bronze), **kw)
+    def from_bronze(
+        cls, spark: SparkSession, bronze: DataFrame, checkpoint: bool = False, **kw
+    ) -> "Warehouse":
+        """Silver built from ``bronze``; with ``checkpoint`` each layer is
+        written once to the shared checkpoint folder (lineage cut), as a
+        production run writes Bronze and Silver tables, so every Gold model
+        reads Silver instead of recomputing it."""
+        if checkpoint:
+            checkpoint_root(spark)
+            bronze = bronze.checkpoint(eager=True)
+            silver = {
+                n: silver_ops.build(bronze, n).checkpoint(eager=True)
+                for n in C.SILVER_SPECS
+            }
+        else:
+            silver = silver_ops.build_all(bronze)
+        return cls(spark, silver, **kw)
 
     # staging (views)
     @cached_property
