@@ -116,6 +116,36 @@ def _dq(test: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+def stream_silver_orders_created(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture's two deliveries landed as NDJSON files, ingested by
+    the Bronze stream and kept up by the Silver stream (``availableNow`` runs,
+    one per delivery); returns Silver ``orders_created``'s event columns.
+
+    ``_source_file`` (the physical part-file path) and ``_ingested_at`` (the
+    stream's wall clock) depend on the run and are left out.
+    """
+    from medallion.contracts import SILVER_SPECS
+    from medallion.session import scratch_path
+    from medallion.streaming import run_available_now, start_bronze_stream, start_silver_stream
+    from medallion.streaming.silver_stream import read_silver
+
+    apply_conf(spark)
+    root = scratch_path(spark, "stream-fixture")
+    landing, bronze_path, silver_root = f"{root}/landing", f"{root}/bronze", f"{root}/silver"
+    for lines in fixtures.deliveries(spark, sf_dir):
+        fixtures.write_landing(lines, landing)
+        run_available_now(lambda t: start_bronze_stream(
+            spark, landing, bronze_path, f"{root}/_ckpt_bronze", trigger=t,
+            max_files_per_trigger=100_000))
+        run_available_now(lambda t: start_silver_stream(
+            spark, bronze_path, silver_root, f"{root}/_ckpt_silver", trigger=t,
+            names=["orders_created"]))
+    spec = SILVER_SPECS["orders_created"]
+    return read_silver(spark, silver_root, "orders_created").select(
+        *[f.name for f in spec.fields]
+    )
+
+
 def dim_date_spanning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar covering the order-creation days found in the data."""
     w = _warehouse(spark, sf_dir)
@@ -132,6 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"stg_{name}"] = _model(f"stg_{name}")
     q["dim_customers"] = _model("dim_customers")
     q["dim_date"] = dim_date_spanning
+    q["stream_silver_orders_created"] = stream_silver_orders_created
     for name in ("fct_orders", "fct_order_lifecycle", "mart_daily_revenue", "mart_order_funnel"):
         q[name] = _model(name)
     for t in ("unique", "not_null", "accepted_values", "relationships"):

@@ -103,11 +103,31 @@ def with_partition(bronze: DataFrame) -> DataFrame:
     return bronze.withColumn("_event_type", event_type())
 
 
-def append(bronze: DataFrame, path: str) -> None:
-    """Append-only Bronze write (S06), partitioned by derived event type."""
-    with_partition(bronze).write.mode("append").partitionBy("_event_type").parquet(path)
+# Physical Bronze table: the 3 logical columns plus two directory columns,
+# the load id (idempotent replays) and the derived event type (pruning).
+BRONZE_TABLE_SCHEMA = (
+    "raw_data variant, _source_file string, _ingested_at timestamp_ntz, "
+    "_load string, _event_type string"
+)
+
+
+def write_load(bronze: DataFrame, path: str, load_id: str) -> None:
+    """Write one load into Bronze.
+
+    Bronze is append-only across loads; within a load the write uses dynamic
+    partition overwrite on ``_load=<load_id>``, so re-running the same load
+    (a retried micro-batch) replaces that load's rows instead of doubling them.
+    """
+    (
+        with_partition(bronze.where(F.col("raw_data").isNotNull()))
+        .withColumn("_load", F.lit(load_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_load", "_event_type")
+        .parquet(path)
+    )
 
 
 def read(spark, path: str) -> DataFrame:
-    """Bronze table as written by ``append`` (3 logical columns + partition)."""
-    return spark.read.parquet(path)
+    """Bronze table as written by ``write_load`` (3 logical columns + 2 dirs)."""
+    return spark.read.schema(BRONZE_TABLE_SCHEMA).parquet(path)

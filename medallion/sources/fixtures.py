@@ -42,7 +42,7 @@ def _minutes(ts: Column, n: Column) -> Column:
 
 def _file(prefix: str, ts: Column, kind: str) -> Column:
     return F.concat(
-        F.lit(prefix), F.date_format(ts, "yyyyMMdd"), F.lit(f"-{kind}.ndjson")
+        F.lit(prefix), F.date_format(ts, "yyyyMM"), F.lit(f"-{kind}.ndjson")
     )
 
 
@@ -215,3 +215,17 @@ def fixture_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     first, again = deliveries(spark, sf_dir)
     return bronze.load(first, FIRST_LOAD_AT).unionByName(bronze.load(again, REDELIVERY_AT))
+
+
+def write_landing(lines: DataFrame, landing_path: str) -> None:
+    """Write lines as NDJSON files, one physical file per ``_source_file``.
+
+    Rows are clustered by file first so each logical file becomes exactly one
+    part file (the per-file gate then sees the same files a batch load sees).
+    """
+    (
+        lines.repartition("_source_file")
+        .write.mode("append")
+        .partitionBy("_source_file")
+        .text(landing_path)
+    )

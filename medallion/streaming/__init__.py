@@ -1,0 +1,21 @@
+"""Structured Streaming upkeep of Bronze and Silver.
+
+Both streams use ``foreachBatch`` so the very same batch functions
+(``operators.bronze.load``, ``operators.silver.extract/dedupe``) run on each
+micro-batch, and both write a batch-id partition with dynamic partition
+overwrite, so a replayed batch (after a failure) replaces its own output
+instead of duplicating it.
+"""
+
+from medallion.streaming.bronze_stream import start_bronze_stream
+from medallion.streaming.silver_stream import start_silver_stream, upkeep_batch
+
+__all__ = ["start_bronze_stream", "start_silver_stream", "upkeep_batch"]
+
+
+def run_available_now(query_factory) -> None:
+    """Start a stream with ``availableNow`` and block until it has caught up."""
+    q = query_factory({"availableNow": True})
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()

@@ -49,7 +49,7 @@ cr_base AS (
   SELECT 'cr-' || c.c_custkey AS event_id, TIMESTAMP '1994-12-31 00:00:00' AS event_timestamp,
          '1.0' AS event_version, 'cust-' || c.c_custkey AS customer_id, c.c_name AS customer_name,
          'c' || c.c_custkey || '@example.com' AS email, n.n_name AS state,
-         c.c_custkey AS k, '19941231-customers.ndjson' AS f
+         c.c_custkey AS k, '199412-customers.ndjson' AS f
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 ),
 cu_base AS (
@@ -59,14 +59,14 @@ cu_base AS (
          'prev' AS old_value,
          CASE WHEN event_type = 'signup' THEN 'u' || event_id || '@example.com'
               ELSE 'NATION_' || (event_id % 25) END AS new_value,
-         event_id AS k, strftime(ts, '%Y%m%d') || '-updates.ndjson' AS f
+         event_id AS k, strftime(ts, '%Y%m') || '-updates.ndjson' AS f
   FROM events WHERE event_type IN ('signup', 'view')
 ),
 oc_base AS (
   SELECT 'oc-' || o_orderkey AS event_id, created_at AS event_timestamp, '1.0' AS event_version,
          'ord-' || o_orderkey AS order_id, 'cust-' || o_custkey AS customer_id,
          CAST(o_totalprice AS DECIMAL(10,2)) AS amount, 'BRL' AS currency, item_count,
-         o_orderkey AS k, strftime(created_at, '%Y%m%d') || '-orders.ndjson' AS f
+         o_orderkey AS k, strftime(created_at, '%Y%m') || '-orders.ndjson' AS f
   FROM ob
 ),
 legs AS (
@@ -86,7 +86,7 @@ legs AS (
 sc_base AS (
   SELECT 'sc-' || o_orderkey || '-' || new_status AS event_id, changed_at AS event_timestamp,
          '1.0' AS event_version, 'ord-' || o_orderkey AS order_id, old_status, new_status,
-         o_orderkey AS k, strftime(changed_at, '%Y%m%d') || '-status.ndjson' AS f
+         o_orderkey AS k, strftime(changed_at, '%Y%m') || '-status.ndjson' AS f
   FROM legs
 ),
 tele AS (
@@ -336,6 +336,10 @@ FROM tele_files""")
     for name, dt in SILVER_COLS.items():
         q[f"silver_{name}"] = _with(f"SELECT * FROM {dt}")
         q[f"stg_{name}"] = _with(f"SELECT * FROM stg_{name}")
+    q["stream_silver_orders_created"] = _with(
+        "SELECT event_id, event_timestamp, event_version, order_id, customer_id, amount, "
+        "currency, item_count FROM dt_orders_created"
+    )
     # Gold
     q["dim_customers"] = _with("SELECT * FROM dim_customers")
     span = (
