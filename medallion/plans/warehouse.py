@@ -67,6 +67,21 @@ class Warehouse:
             silver = silver_ops.build_all(bronze)
         return cls(spark, silver, **kw)
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, silver_root: str, **kw) -> "Warehouse":
+        """Silver read from stored tables (S10), e.g. kept up by the stream."""
+        silver = {
+            n: spark.read.parquet(f"{silver_root.rstrip('/')}/{spec.table}").select(*spec.columns)
+            for n, spec in C.SILVER_SPECS.items()
+        }
+        return cls(spark, silver, **kw)
+
+    def register_views(self) -> list[str]:
+        """Staging models as temp views (S12), queryable with ``spark.sql``."""
+        for name in STAGING_MODELS:
+            getattr(self, name).createOrReplaceTempView(name)
+        return list(STAGING_MODELS)
+
     # staging (views)
     @cached_property
     def stg_orders_created(self) -> DataFrame:

@@ -47,3 +47,20 @@ def test_replayed_batch_is_idempotent(spark, tmp):
     upkeep_batch(b2, 3, sroot, ["orders_created"], horizon_days=7)
     assert read_silver(spark, sroot, "orders_created").count() == 3
     assert F
+
+
+def test_watermark_dedupe_variant(spark, tmp):
+    from medallion.streaming.silver_stream import start_silver_stream_within_watermark
+
+    bpath = os.path.join(tmp, "bronze")
+    b1 = bronze.load(lines_df(spark, [(oc("e1"), "f1"), (oc("e2"), "f1")]), "2026-01-01 00:00:00")
+    b2 = bronze.load(lines_df(spark, [(oc("e2"), "f2"), (oc("e3"), "f2")]), "2026-01-01 01:00:00")
+    bronze.write_load(b1, bpath, "l1")
+    sroot = os.path.join(tmp, "silver")
+    for load_id, b in (("l1", None), ("l2", b2)):
+        if b is not None:
+            bronze.write_load(b, bpath, load_id)
+        run_available_now(lambda t: start_silver_stream_within_watermark(
+            spark, bpath, sroot, os.path.join(tmp, "ck"), "orders_created", trigger=t))
+    got = sorted(r.event_id for r in spark.read.parquet(os.path.join(sroot, "dt_orders_created")).collect())
+    assert got == ["e1", "e2", "e3"]
