@@ -140,66 +140,64 @@ def _calendar(spine: str) -> str:
 
 
 GOLD = f"""
-latest_email AS (
-  SELECT customer_id, new_value AS email, updated_at FROM stg_customers_updated
-  WHERE field_changed = 'email'
-  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC NULLS LAST, event_id DESC) = 1
+cu_ranked AS (
+  SELECT customer_id, field_changed, new_value, updated_at,
+         row_number() OVER (PARTITION BY customer_id, field_changed
+                            ORDER BY updated_at DESC NULLS LAST, event_id DESC) AS pos
+  FROM stg_customers_updated WHERE field_changed IN ('email', 'state')
 ),
-latest_state AS (
-  SELECT customer_id, new_value AS state, updated_at FROM stg_customers_updated
-  WHERE field_changed = 'state'
-  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY updated_at DESC NULLS LAST, event_id DESC) = 1
+cu_pivot AS (
+  SELECT customer_id,
+         max(new_value) FILTER (WHERE field_changed = 'email') AS new_email,
+         max(updated_at) FILTER (WHERE field_changed = 'email') AS email_at,
+         count(*) FILTER (WHERE field_changed = 'email') AS n_email,
+         max(new_value) FILTER (WHERE field_changed = 'state') AS new_state,
+         max(updated_at) FILTER (WHERE field_changed = 'state') AS state_at,
+         count(*) FILTER (WHERE field_changed = 'state') AS n_state
+  FROM cu_ranked WHERE pos = 1 GROUP BY customer_id
 ),
 dim_customers AS (
   SELECT md5(r.customer_id) AS customer_sk, r.customer_id, r.customer_name,
-         coalesce(le.email, r.email) AS email, coalesce(ls.state, r.state) AS state,
+         coalesce(p.new_email, r.email) AS email, coalesce(p.new_state, r.state) AS state,
          r.registered_at,
          CASE WHEN r.registered_at IS NOT NULL THEN greatest(r.registered_at,
-              coalesce(le.updated_at, r.registered_at), coalesce(ls.updated_at, r.registered_at)) END
+              coalesce(p.email_at, r.registered_at), coalesce(p.state_at, r.registered_at)) END
            AS last_updated_at,
-         (le.customer_id IS NOT NULL OR ls.customer_id IS NOT NULL) AS has_been_updated
-  FROM stg_customers_registered r
-  LEFT JOIN latest_email le ON r.customer_id = le.customer_id
-  LEFT JOIN latest_state ls ON r.customer_id = ls.customer_id
+         coalesce(p.n_email + p.n_state > 0, false) AS has_been_updated
+  FROM stg_customers_registered r LEFT JOIN cu_pivot p ON r.customer_id = p.customer_id
 ),
 dim_date AS ({_calendar(f"(SELECT CAST(unnest(generate_series(DATE '{CAL_START}', DATE '{CAL_END}', INTERVAL 1 DAY)) AS DATE) AS d)")}
 ),
-last_status AS (
-  SELECT order_id, new_status AS current_status, changed_at AS last_status_changed_at
+sc_ranked AS (
+  SELECT order_id, new_status, changed_at,
+         row_number() OVER (PARTITION BY order_id ORDER BY changed_at DESC NULLS LAST, event_id DESC) AS newest,
+         row_number() OVER (PARTITION BY order_id, new_status ORDER BY changed_at ASC NULLS LAST) AS first_in
   FROM stg_orders_status_changed
-  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY changed_at DESC NULLS LAST, event_id DESC) = 1
 ),
-paid_dates AS (
-  SELECT order_id, changed_at AS paid_at FROM stg_orders_status_changed WHERE new_status = 'paid'
-  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY changed_at ASC NULLS LAST) = 1
-),
-shipped_dates AS (
-  SELECT order_id, changed_at AS shipped_at FROM stg_orders_status_changed WHERE new_status = 'shipped'
-  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY changed_at ASC NULLS LAST) = 1
-),
-delivered_dates AS (
-  SELECT order_id, changed_at AS delivered_at FROM stg_orders_status_changed WHERE new_status = 'delivered'
-  QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY changed_at ASC NULLS LAST) = 1
+sc_pivot AS (
+  SELECT order_id,
+         max(new_status) FILTER (WHERE newest = 1) AS current_status,
+         max(changed_at) FILTER (WHERE newest = 1) AS last_status_changed_at,
+         max(changed_at) FILTER (WHERE first_in = 1 AND new_status = 'paid') AS paid_at,
+         max(changed_at) FILTER (WHERE first_in = 1 AND new_status = 'shipped') AS shipped_at,
+         max(changed_at) FILTER (WHERE first_in = 1 AND new_status = 'delivered') AS delivered_at
+  FROM sc_ranked GROUP BY order_id
 ),
 fct_orders AS (
   SELECT md5(o.order_id) AS order_sk, o.order_id, md5(o.customer_id) AS customer_sk,
          CAST(strftime(o.created_at, '%Y%m%d') AS INTEGER) AS created_date_key,
          CAST(strftime(p.paid_at, '%Y%m%d') AS INTEGER) AS paid_date_key,
-         CAST(strftime(s.shipped_at, '%Y%m%d') AS INTEGER) AS shipped_date_key,
-         CAST(strftime(d.delivered_at, '%Y%m%d') AS INTEGER) AS delivered_date_key,
-         coalesce(ls.current_status, 'created') AS current_status,
+         CAST(strftime(p.shipped_at, '%Y%m%d') AS INTEGER) AS shipped_date_key,
+         CAST(strftime(p.delivered_at, '%Y%m%d') AS INTEGER) AS delivered_date_key,
+         coalesce(p.current_status, 'created') AS current_status,
          o.amount AS order_amount, o.currency, o.item_count,
-         o.created_at, p.paid_at, s.shipped_at, d.delivered_at, ls.last_status_changed_at,
+         o.created_at, p.paid_at, p.shipped_at, p.delivered_at, p.last_status_changed_at,
          CAST(date_diff('day', o.created_at, p.paid_at) AS INTEGER) AS days_to_paid,
-         CAST(date_diff('day', o.created_at, s.shipped_at) AS INTEGER) AS days_to_shipped,
-         CAST(date_diff('day', o.created_at, d.delivered_at) AS INTEGER) AS days_to_delivered,
-         d.delivered_at IS NOT NULL AS is_delivered,
-         coalesce(ls.current_status IN ('delivered', 'canceled'), false) AS is_completed
-  FROM stg_orders_created o
-  LEFT JOIN last_status ls ON o.order_id = ls.order_id
-  LEFT JOIN paid_dates p ON o.order_id = p.order_id
-  LEFT JOIN shipped_dates s ON o.order_id = s.order_id
-  LEFT JOIN delivered_dates d ON o.order_id = d.order_id
+         CAST(date_diff('day', o.created_at, p.shipped_at) AS INTEGER) AS days_to_shipped,
+         CAST(date_diff('day', o.created_at, p.delivered_at) AS INTEGER) AS days_to_delivered,
+         p.delivered_at IS NOT NULL AS is_delivered,
+         coalesce(p.current_status IN ('delivered', 'canceled'), false) AS is_completed
+  FROM stg_orders_created o LEFT JOIN sc_pivot p ON o.order_id = p.order_id
 ),
 fct_order_lifecycle AS (
   SELECT md5(sc.event_id) AS lifecycle_sk, sc.event_id, sc.order_id, md5(o.order_id) AS order_sk,
@@ -231,20 +229,14 @@ mart_daily_revenue AS (
   INNER JOIN dim_date d ON o.created_date_key = d.date_key
   GROUP BY 1, 2, 3, 4, 5, 6
 ),
-status_counts AS (
-  SELECT current_status, count(*) AS orders_count, sum(order_amount) AS revenue_in_status,
-         CAST(sum(order_amount) AS DOUBLE) / count(order_amount) AS avg_amount
-  FROM fct_orders GROUP BY 1
-),
-totals AS (SELECT sum(orders_count) AS total_orders FROM status_counts),
 mart_order_funnel AS (
-  SELECT CAST(CASE s.current_status WHEN 'created' THEN 1 WHEN 'paid' THEN 2 WHEN 'shipped' THEN 3
+  SELECT CAST(CASE current_status WHEN 'created' THEN 1 WHEN 'paid' THEN 2 WHEN 'shipped' THEN 3
               WHEN 'delivered' THEN 4 WHEN 'canceled' THEN 5 ELSE 99 END AS INTEGER) AS funnel_step,
-         s.current_status AS status_name, s.orders_count,
-         CAST(s.revenue_in_status AS DECIMAL(20,2)) AS revenue_in_status,
-         round(s.avg_amount, 2) AS avg_amount,
-         round(CAST(s.orders_count AS DOUBLE) / CAST(t.total_orders AS DOUBLE), 4) AS pct_of_total
-  FROM status_counts s CROSS JOIN totals t
+         current_status AS status_name, count(*) AS orders_count,
+         CAST(sum(order_amount) AS DECIMAL(20,2)) AS revenue_in_status,
+         round(CAST(sum(order_amount) AS DOUBLE) / count(order_amount), 2) AS avg_amount,
+         round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE), 4) AS pct_of_total
+  FROM fct_orders GROUP BY current_status
 ),
 dim_products AS (
   SELECT * FROM read_csv('{SEED}', header = true,
