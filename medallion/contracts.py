@@ -117,6 +117,16 @@ SILVER_SPECS: dict[str, SilverSpec] = {
     ),
 }
 
+# Co-location key per Silver table: the key its Gold consumers group and join
+# on (orders by order_id for fct_orders / fct_order_lifecycle, customers by
+# customer_id for dim_customers).
+BUCKET_KEYS = {
+    "orders_created": "order_id",
+    "orders_status_changed": "order_id",
+    "customers_registered": "customer_id",
+    "customers_updated": "customer_id",
+}
+
 # Staging views: Silver column -> staging column (order = output order).
 STAGING_COLUMNS: dict[str, list[tuple[str, str]]] = {
     "orders_created": [

@@ -76,6 +76,15 @@ class Warehouse:
         }
         return cls(spark, silver, **kw)
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, **kw) -> "Warehouse":
+        """Silver read from catalog tables (keeps their bucketing)."""
+        silver = {
+            n: spark.table(f"{database}.{spec.table}").select(*spec.columns)
+            for n, spec in C.SILVER_SPECS.items()
+        }
+        return cls(spark, silver, **kw)
+
     def register_views(self) -> list[str]:
         """Staging models as temp views (S12), queryable with ``spark.sql``."""
         for name in STAGING_MODELS:

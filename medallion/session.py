@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="medallion-wh-"))
     )
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)

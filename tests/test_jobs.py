@@ -22,3 +22,22 @@ def test_load_refresh_build_from_files(spark, tmp):
     # orders of 2001 are outside the 1995-2000 calendar
     assert rows[("fct_orders", "created_date_key", "relationships")] > 0
     assert "dbt_computed_at" in spark.read.parquet(os.path.join(groot, "fct_orders")).columns
+
+
+def test_bucketed_silver_gives_exchange_free_facts(spark, tmp):
+    from medallion.plans.warehouse import Warehouse
+
+    first, _ = fixtures.deliveries(spark, "/root/testdata/sf0.001")
+    fixtures.write_landing(first, os.path.join(tmp, "l0"))
+    jobs.load(spark, os.path.join(tmp, "l0"), os.path.join(tmp, "bronze"), "l0")
+    jobs.refresh_silver_bucketed(spark, os.path.join(tmp, "bronze"), "silver_bucketed_t", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Warehouse.from_catalog(spark, "silver_bucketed_t")
+        for name in ("fct_orders", "fct_order_lifecycle", "dim_customers"):
+            plan = w.model(name)._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan, name
+        assert w.fct_orders.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
