@@ -59,3 +59,14 @@ def test_bronze_columns_and_write(spark, tmp):
     back = bronze.read(spark, path)
     assert back.count() == 4
     assert back.where(F.col("_event_type") == "x").count() == 4
+
+
+def test_gate_never_shuffles_lines(spark):
+    """The file statistics are partially aggregated; with a known file count
+    the accepted list is broadcast and the lines stay where they were read."""
+    rows = _file("big", 1, 300) + _file("small", 0, 5)
+    out = bronze.load(lines_df(spark, rows), "2026-01-01 00:00:00", max_files=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "partial_count" in plan
+    assert out.count() == 299 + 5

@@ -105,3 +105,27 @@ def test_dim_date_default_range(spark):
     assert d.count() == 1461
     r = d.where(F.col("full_date") == F.lit("2024-12-30").cast("date")).collect()[0]
     assert r.week_of_year == 1 and r.year_quarter == "2024-4" and r.quarter_start_date == dt.date(2024, 10, 1)
+
+
+def test_hot_order_is_aggregated_map_side(spark):
+    """An order holding a third of all changes: the per-order aggregate is
+    partial (map-side) before its exchange, and the lifecycle join is a
+    plain equi-join AQE can split."""
+    from decimal import Decimal as D
+
+    oc = spark.createDataFrame(
+        [(f"oc{i}", f"o{i}", "c1", T("2024-01-01 10:00:00"), D("1.00"), "BRL", 1, None) for i in range(20)], OC)
+    hot = [(f"h{i}", "o0", T("2024-01-02 00:00:00"), "created", "paid", None) for i in range(40)]
+    rest = [(f"s{i}", f"o{i}", T("2024-01-03 00:00:00"), "paid", "shipped", None) for i in range(1, 20)]
+    sc = spark.createDataFrame(hot + rest, SC)
+    fo = facts.fct_orders(oc, sc)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fo._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "partial_max_by" in plan and "partial_min" in plan
+    r = {x.order_id: x for x in fo.collect()}
+    assert r["o0"].current_status == "paid" and r["o0"].paid_at == T("2024-01-02 00:00:00")
+    lc = facts.fct_order_lifecycle(sc, oc)
+    assert lc.where("order_id = 'o0'").count() == 40
