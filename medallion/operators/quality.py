@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,49 +126,76 @@ SUITE: list[Check] = [
 ]
 
 
-def _row(spark: SparkSession, rel: str, col: str, test: str, failures) -> DataFrame:
-    return failures.select(
-        F.lit(rel).alias("relation"),
-        F.lit(col).alias("column_name"),
-        F.lit(test).alias("test"),
-        F.col("failures").cast("bigint").alias("failures"),
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _s(text: str) -> str:
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql_lit(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    return _s(v)
+
+
+# Expressions are passed as SQL text (``selectExpr``): one JVM call per
+# expression instead of one per Column node, which keeps building a suite of
+# a hundred checks cheap on the driver.
+
+
+def _stack(wide: DataFrame, rel: str, meta: list[tuple[str, str, str]]) -> DataFrame:
+    """One-row wide result -> one report row per (column, test)."""
+    items = ", ".join(
+        f"struct({_s(col)} AS column_name, {_s(test)} AS test, {alias} AS failures)"
+        for col, test, alias in meta
     )
+    return wide.selectExpr(f"{_s(rel)} AS relation", f"inline(array({items}))")
 
 
 def unique(df: DataFrame, rel: str, col: str) -> DataFrame:
-    dup = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    failures = dup.agg(F.count_if(F.col("n") > 1).alias("failures"))
-    return _row(df.sparkSession, rel, col, "unique", failures)
+    return unique_many(df, rel, [col])
+
+
+def unique_many(df: DataFrame, rel: str, cols: list[str]) -> DataFrame:
+    """All ``unique`` checks of one relation through ONE exchange.
+
+    Each row is stacked into ``(column, value)`` pairs (values as their
+    string form, which is injective within a column's type), the pairs are
+    counted per key with map-side partial aggregation, and a global
+    conditional count per column gives the failures (NULLs never fail).
+    """
+    items = ", ".join(f"struct({_s(c)} AS k, CAST({_q(c)} AS STRING) AS v)" for c in cols)
+    counts = df.selectExpr(f"inline(array({items}))").groupBy("k", "v").count()
+    wide = counts.selectExpr(*[
+        f"CAST(count_if(v IS NOT NULL AND `count` > 1 AND k = {_s(c)}) AS BIGINT) AS u{i}"
+        for i, c in enumerate(cols)
+    ])
+    return _stack(wide, rel, [(c, "unique", f"u{i}") for i, c in enumerate(cols)])
 
 
 def column_checks(df: DataFrame, rel: str, checks: list[Check]) -> DataFrame:
     """All not_null and accepted_values checks of one relation in one pass."""
     exprs, meta = [], []
     for i, ch in enumerate(checks):
-        c = F.col(ch.column)
+        c = _q(ch.column)
         if ch.test == "not_null":
-            e = F.count_if(c.isNull())
+            e = f"count_if({c} IS NULL)"
         else:
-            bad = c.isNotNull() & ~c.isin(*ch.values)
-            e = F.count_distinct(F.when(bad, c))
-        exprs.append(e.cast("bigint").alias(f"c{i}"))
+            values = ", ".join(_sql_lit(v) for v in ch.values)
+            e = f"count(DISTINCT CASE WHEN {c} IS NOT NULL AND NOT {c} IN ({values}) THEN {c} END)"
+        exprs.append(f"CAST({e} AS BIGINT) AS c{i}")
         meta.append((ch.column, ch.test, f"c{i}"))
-    wide = df.agg(*exprs)
-    stacked = F.explode(
-        F.array(*[
-            F.struct(F.lit(col).alias("column_name"), F.lit(test).alias("test"), F.col(alias).alias("failures"))
-            for col, test, alias in meta
-        ])
-    ).alias("r")
-    return wide.select(stacked).select(
-        F.lit(rel).alias("relation"), "r.column_name", "r.test", "r.failures"
-    )
+    return _stack(df.selectExpr(*exprs), rel, meta)
 
 
 def relationships(child: DataFrame, rel: str, col: str, parent: DataFrame, field: str) -> DataFrame:
-    keys = parent.select(F.col(field).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    orphans = child.where(F.col(col).isNotNull()).join(keys, F.col(col) == F.col("__k"), "left_anti")
-    return _row(child.sparkSession, rel, col, "relationships", orphans.agg(F.count(F.lit(1)).alias("failures")))
+    keys = parent.selectExpr(f"{_q(field)} AS __k").where("__k IS NOT NULL").distinct()
+    orphans = child.where(f"{_q(col)} IS NOT NULL").join(keys, F.col(col) == F.col("__k"), "left_anti")
+    return _stack(orphans.selectExpr("count(1) AS r0"), rel, [(col, "relationships", "r0")])
 
 
 def run(
@@ -190,14 +216,25 @@ def run(
         col_cs = [c for c in cs if c.test in ("not_null", "accepted_values")]
         if col_cs:
             parts.append(column_checks(df, rel, col_cs))
+        uniq = [c.column for c in cs if c.test == "unique"]
+        if uniq:
+            parts.append(unique_many(df, rel, uniq))
         for c in cs:
-            if c.test == "unique":
-                parts.append(unique(df, rel, c.column))
-            elif c.test == "relationships":
+            if c.test == "relationships":
                 parts.append(relationships(df, rel, c.column, get(c.to), c.field))
     if not parts:
         raise ValueError("no checks selected")
-    return reduce(DataFrame.unionByName, parts)
+    return _union_all(parts)
+
+
+def _union_all(parts: list[DataFrame]) -> DataFrame:
+    """Balanced union tree: each step analyzes a plan of depth log(n), not n."""
+    while len(parts) > 1:
+        parts = [
+            parts[i].union(parts[i + 1]) if i + 1 < len(parts) else parts[i]
+            for i in range(0, len(parts), 2)
+        ]
+    return parts[0]
 
 
 def failing(report: DataFrame) -> DataFrame:
