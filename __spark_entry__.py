@@ -181,6 +181,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from oracle_sql import oracle_sql as _oracle
+    from duckdb_oracle import oracle_sql as _oracle
 
     return _oracle()
