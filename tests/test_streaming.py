@@ -25,6 +25,9 @@ def test_stream_matches_batch_with_redelivery_and_bad_file(spark, tmp):
         run_available_now(lambda t: start_bronze_stream(spark, landing, bpath, os.path.join(tmp, "c1"), trigger=t))
         run_available_now(lambda t: start_silver_stream(spark, bpath, sroot, os.path.join(tmp, "c2"), trigger=t,
                                                         names=["orders_created"]))
+    # each file loaded once: 10 good lines of a.ndjson, bad.ndjson skipped whole,
+    # 3 lines of the redelivery file (the second run saw only the new file)
+    assert bronze.read(spark, bpath).count() == 13
     got = sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect())
     assert got == sorted([f"e{i}" for i in range(10)] + ["e99"])  # bad file (30 %) skipped whole
     # the batch full refresh over the same Bronze gives the same ids
