@@ -24,7 +24,10 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion.contracts import MAX_BAD_RATIO
+from medallion.contracts import MAX_BAD_RATIO, SILVER_SPECS
+
+KNOWN_EVENT_TYPES = [spec.event_type for spec in SILVER_SPECS.values()]
+OTHER_EVENT_TYPE = "_other"
 
 # Largest number of files whose accepted-file list we broadcast by hint
 # (~100 bytes per path: 200k files is ~20 MB).
@@ -107,8 +110,15 @@ def event_type(raw: Column | str = "raw_data") -> Column:
 
 
 def with_partition(bronze: DataFrame) -> DataFrame:
-    """Add the derived ``_event_type`` directory column used for pruning."""
-    return bronze.withColumn("_event_type", event_type())
+    """Add the derived ``_event_type`` directory column used for pruning.
+
+    Only the known domain types get their own directory; anything else
+    (telemetry, garbage) goes to ``_other``, so the number of directories per
+    load is bounded no matter what the producers send.
+    """
+    et = event_type()
+    known = F.coalesce(et.isin(*KNOWN_EVENT_TYPES), F.lit(False))
+    return bronze.withColumn("_event_type", F.when(known, et).otherwise(F.lit(OTHER_EVENT_TYPE)))
 
 
 # Physical Bronze table: the 3 logical columns plus two directory columns,
