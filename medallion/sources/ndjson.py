@@ -30,8 +30,16 @@ def stream_lines(
     spark: SparkSession,
     path: str,
     max_files_per_trigger: int | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """Incremental read: each new file is picked up once (checkpointed)."""
+    """Incremental read: each new file is picked up once (checkpointed).
+
+    ``clean_source`` (``"archive"`` with ``archive_dir``, or ``"delete"``)
+    moves fully processed files out of the landing prefix, so the listing the
+    file source repeats every trigger stays proportional to the backlog, not
+    to everything ever landed.
+    """
     reader = (
         spark.readStream.format("text")
         .schema(LINES_SCHEMA)
@@ -39,6 +47,10 @@ def stream_lines(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     return _with_file(reader.load(path))
 
 

@@ -7,10 +7,10 @@ overwrite, so a replayed batch (after a failure) replaces its own output
 instead of duplicating it.
 """
 
-from medallion.streaming.bronze_stream import start_bronze_stream
+from medallion.streaming.bronze_stream import start_bronze_stream, start_ingest_stream
 from medallion.streaming.silver_stream import start_silver_stream, upkeep_batch
 
-__all__ = ["start_bronze_stream", "start_silver_stream", "upkeep_batch"]
+__all__ = ["start_bronze_stream", "start_ingest_stream", "start_silver_stream", "upkeep_batch"]
 
 
 def run_available_now(query_factory) -> None:

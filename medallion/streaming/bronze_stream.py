@@ -35,13 +35,15 @@ def start_bronze_stream(
     trigger: dict | None = None,
     max_files_per_trigger: int | None = 1000,
     max_bad_ratio: str | float = MAX_BAD_RATIO,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
     """Start the landing -> Bronze stream.
 
     ``trigger`` defaults to ``{"processingTime": "1 minute"}``; use
     ``{"availableNow": True}`` for on-demand catch-up runs and tests.
     """
-    lines = stream_lines(spark, landing_path, max_files_per_trigger)
+    lines = stream_lines(spark, landing_path, max_files_per_trigger, clean_source, archive_dir)
     writer = bronze_batch_writer(bronze_path, max_bad_ratio, max_files_per_trigger)
     return (
         lines.writeStream.foreachBatch(writer)
@@ -50,3 +52,41 @@ def start_bronze_stream(
         .start()
     )
 
+
+def start_ingest_stream(
+    spark: SparkSession,
+    landing_path: str,
+    bronze_path: str,
+    silver_root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_files_per_trigger: int | None = 1000,
+    max_bad_ratio: str | float = MAX_BAD_RATIO,
+    horizon_days: int | None = None,
+    clean_source: str | None = None,
+    archive_dir: str | None = None,
+) -> StreamingQuery:
+    """Landing -> Bronze -> Silver in ONE stream (chained upkeep).
+
+    Each micro-batch writes its Bronze load, then keeps Silver up to date
+    from exactly that load (read back by partition pruning, so lines are
+    parsed once). Nothing lists the ever-growing Bronze table, which a second
+    file-source stream over Bronze would do on every trigger.
+    """
+    from medallion.streaming.silver_stream import upkeep_batch
+
+    lines = stream_lines(spark, landing_path, max_files_per_trigger, clean_source, archive_dir)
+
+    def write(batch, batch_id: int) -> None:
+        load_id = f"s{batch_id:012d}"
+        rows = bronze.load(batch, max_bad_ratio=max_bad_ratio, max_files=max_files_per_trigger)
+        bronze.write_load(rows, bronze_path, load_id=load_id)
+        loaded = bronze.read(spark, bronze_path).where(f"_load = '{load_id}'")
+        upkeep_batch(loaded, batch_id, silver_root, horizon_days=horizon_days)
+
+    return (
+        lines.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )

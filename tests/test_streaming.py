@@ -67,3 +67,19 @@ def test_watermark_dedupe_variant(spark, tmp):
             spark, bpath, sroot, os.path.join(tmp, "ck"), "orders_created", trigger=t))
     got = sorted(r.event_id for r in spark.read.parquet(os.path.join(sroot, "dt_orders_created")).collect())
     assert got == ["e1", "e2", "e3"]
+
+
+def test_chained_ingest_stream_with_archive(spark, tmp):
+    from medallion.streaming import start_ingest_stream
+
+    landing, bpath, sroot, arch = (os.path.join(tmp, x) for x in ("landing", "bronze", "silver", "archive"))
+    first = [(oc(f"e{i}"), "events/a.ndjson") for i in range(5)]
+    second = [(oc("e1"), "events/retry.ndjson"), (oc("e7"), "events/retry.ndjson")]
+    for rows in (first, second):
+        write_landing(lines_df(spark, rows), landing)
+        run_available_now(lambda t: start_ingest_stream(
+            spark, landing, bpath, sroot, os.path.join(tmp, "ck"), trigger=t,
+            clean_source="archive", archive_dir=arch))
+    got = sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect())
+    assert got == ["e0", "e1", "e2", "e3", "e4", "e7"]
+    assert bronze.read(spark, bpath).count() == 7
