@@ -174,6 +174,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "status_transitions",
         "changes_over_time",
         "revenue_seasonality",
+        "revenue_by_month",
         "revenue_by_status",
     ):
         q[name] = _question(name)

@@ -392,6 +392,13 @@ SELECT customer_state, day_name_short, is_weekend,
        CAST(sum(total_items_sold) AS BIGINT) AS total_items_sold,
        CAST(sum(gross_revenue) AS DOUBLE) / CAST(sum(orders_count) AS DOUBLE) AS avg_order_value
 FROM mart_daily_revenue GROUP BY 1, 2, 3""")
+    q["revenue_by_month"] = _with("""
+SELECT customer_state, year_month,
+       CAST(sum(orders_count) AS BIGINT) AS orders_count,
+       CAST(sum(gross_revenue) AS DECIMAL(30,2)) AS gross_revenue,
+       CAST(sum(completed_orders) AS BIGINT) AS completed_orders,
+       CAST(sum(gross_revenue) AS DOUBLE) / CAST(sum(orders_count) AS DOUBLE) AS avg_order_value
+FROM mart_daily_revenue GROUP BY 1, 2""")
     q["revenue_by_status"] = _with("""
 SELECT funnel_step, status_name, orders_count, revenue_in_status FROM mart_order_funnel
 WHERE status_name NOT IN ('delivered', 'canceled')""")

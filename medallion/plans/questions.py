@@ -103,6 +103,17 @@ def revenue_seasonality(mart_daily_revenue: DataFrame) -> DataFrame:
     )
 
 
+def revenue_by_month(mart_daily_revenue: DataFrame) -> DataFrame:
+    """U06 (month side): revenue per state and calendar month, from the
+    mart's sums."""
+    return mart_daily_revenue.groupBy("customer_state", "year_month").agg(
+        F.sum("orders_count").alias("orders_count"),
+        F.sum("gross_revenue").alias("gross_revenue"),
+        F.sum("completed_orders").alias("completed_orders"),
+        ratio(F.sum("gross_revenue"), F.sum("orders_count")).alias("avg_order_value"),
+    )
+
+
 def revenue_by_status(mart_order_funnel: DataFrame) -> DataFrame:
     """Pending (non-terminal) orders and the revenue held in each status."""
     return mart_order_funnel.where(~F.col("status_name").isin(*C.TERMINAL_STATUSES)).select(

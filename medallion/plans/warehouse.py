@@ -168,6 +168,9 @@ class Warehouse:
     def revenue_seasonality(self) -> DataFrame:
         return questions.revenue_seasonality(self.mart_daily_revenue)
 
+    def revenue_by_month(self) -> DataFrame:
+        return questions.revenue_by_month(self.mart_daily_revenue)
+
     def revenue_by_status(self) -> DataFrame:
         return questions.revenue_by_status(self.mart_order_funnel)
 

@@ -67,3 +67,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def sizing(input_bytes: int, total_cores: int, target_partition_mb: int = 128) -> dict[str, str]:
+    """Settings sized from the data and the cluster (apply with ``spark.conf.set``).
+
+    * scan splits of ``target_partition_mb`` (``maxPartitionBytes``), so a
+      scan task holds ~128 MB regardless of file sizes;
+    * initial shuffle partitions so each holds about ``target_partition_mb``
+      of the input (an upper bound for shuffles, which carry projected,
+      partially aggregated rows), rounded up to a multiple of the cores, at
+      least one wave; AQE then coalesces towards the advisory size;
+    * skew: a partition is split when it exceeds 4x the median and 256 MB.
+    """
+    mb = 1024 * 1024
+    parts = max(total_cores, -(-input_bytes // (target_partition_mb * mb)))
+    parts = -(-parts // total_cores) * total_cores
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    }

@@ -59,3 +59,13 @@ def test_surrogate_key_md5(spark):
     r = df.select(surrogate_key("k").alias("sk")).collect()
     assert r[0].sk == "900150983cd24fb0d6963f7d28e17f72"
     assert r[1].sk is None
+
+
+def test_sizing_scales_with_input():
+    from medallion.session import sizing
+
+    small = sizing(10 * 1024**3, 64)
+    big = sizing(100 * 1024**4, 8000)  # 100 TB on 1000 executors x 8 cores
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert int(big["spark.sql.shuffle.partitions"]) >= 100 * 1024**4 // (128 * 1024**2)

@@ -41,3 +41,17 @@ def test_bucketed_silver_gives_exchange_free_facts(spark, tmp):
         assert w.fct_orders.count() == spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_cli_load_refresh_build(spark, tmp, capsys):
+    from medallion.__main__ import main
+
+    first, _ = fixtures.deliveries(spark, "/root/testdata/sf0.001")
+    fixtures.write_landing(first, os.path.join(tmp, "l"))
+    b, s, g = (os.path.join(tmp, x) for x in ("b", "s", "g"))
+    assert main(["load", "--landing", os.path.join(tmp, "l"), "--bronze", b, "--load-id", "x"]) == 0
+    assert main(["refresh", "--bronze", b, "--silver", s]) == 0
+    assert main(["build", "--silver", s, "--gold", g, "--calendar-start", "1990-01-01",
+                 "--calendar-end", "2005-12-31"]) == 0
+    out = capsys.readouterr().out
+    assert "failing tests" in out
