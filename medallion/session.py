@@ -69,25 +69,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def sizing(input_bytes: int, total_cores: int, target_partition_mb: int = 128) -> dict[str, str]:
+def sizing(
+    input_bytes: int,
+    total_cores: int,
+    shuffle_fraction: float = 0.3,
+    shuffle_partition_mb: int = 256,
+) -> dict[str, str]:
     """Settings sized from the data and the cluster (apply with ``spark.conf.set``).
 
-    * scan splits of ``target_partition_mb`` (``maxPartitionBytes``), so a
-      scan task holds ~128 MB regardless of file sizes;
-    * initial shuffle partitions so each holds about ``target_partition_mb``
-      of the input (an upper bound for shuffles, which carry projected,
-      partially aggregated rows), rounded up to a multiple of the cores, at
-      least one wave; AQE then coalesces towards the advisory size;
-    * skew: a partition is split when it exceeds 4x the median and 256 MB.
+    * scan splits of 128 MB, or 512 MB above 1 TB of input, which keeps the
+      map-task count (and the map x reduce shuffle-block count) manageable;
+    * initial shuffle partitions of ``shuffle_partition_mb`` for the bytes the
+      shuffles carry, estimated as ``shuffle_fraction`` of the input (the
+      jobs project a few columns and aggregate map-side before exchanging),
+      rounded up to whole waves of the cores; AQE coalesces from there;
+    * skew: a partition is split when it exceeds 4x the median and 512 MB.
     """
     mb = 1024 * 1024
-    parts = max(total_cores, -(-input_bytes // (target_partition_mb * mb)))
+    split_mb = 128 if input_bytes < 1024**4 else 512
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    parts = max(total_cores, -(-shuffle_bytes // (shuffle_partition_mb * mb)))
     parts = -(-parts // total_cores) * total_cores
     return {
-        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{shuffle_partition_mb}m",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     }
