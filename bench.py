@@ -5,7 +5,7 @@ Inputs are the driver tables under ``$BENCH_SF_DIR`` (default sf0.1) on
 Then, as a production run would, each layer is built from the stored layer
 below it:
 
-* ``bronze_load``      NDJSON files -> parse + per-file gate -> Bronze table
+* ``bronze_load``      NDJSON files -> parse + per-file gate -> Bronze table (2 loads)
 * ``silver_*``         Bronze table -> typed keep-first Silver (noop sink)
 * Gold models          Silver/Gold tables -> model (noop sink)
 * ``dq_suite``         the 117 declared checks over the stored tables
@@ -101,14 +101,18 @@ def main() -> None:
         fixtures.write_landing(lines, f"{landing}/d{i}")
     info["setup_sec"] = round(time.perf_counter() - t, 3)
 
-    # Bronze: one load per delivery directory (timed once: it appends)
-    t = time.perf_counter()
-    for i in range(2):
-        lines = read_lines(spark, f"{landing}/d{i}")
-        n_files = len(lines.inputFiles())
-        at = fixtures.FIRST_LOAD_AT if i == 0 else fixtures.REDELIVERY_AT
-        bronze.write_load(bronze.load(lines, at, max_files=n_files), bronze_path, f"b{i}")
-    q["bronze_load"] = round(time.perf_counter() - t, 3)
+    # Bronze: one load per delivery directory; each repeat loads into a fresh
+    # table (Bronze appends), the last one feeds the layers above
+    def load_bronze() -> None:
+        nonlocal bronze_path
+        bronze_path = scratch_path(spark, "bench-bronze")
+        for i in range(2):
+            lines = read_lines(spark, f"{landing}/d{i}")
+            n_files = len(lines.inputFiles())
+            at = fixtures.FIRST_LOAD_AT if i == 0 else fixtures.REDELIVERY_AT
+            bronze.write_load(bronze.load(lines, at, max_files=n_files), bronze_path, f"b{i}")
+
+    q["bronze_load"] = timed(load_bronze)
     b = bronze.read(spark, bronze_path)
     info["bronze_rows"] = b.count()
 
@@ -145,6 +149,7 @@ def main() -> None:
         ("u04_status_transitions", w.status_transitions),
         ("u05_changes_over_time", w.changes_over_time),
         ("u06_revenue_seasonality", w.revenue_seasonality),
+        ("u06_revenue_by_month", w.revenue_by_month),
         ("u07_revenue_by_status", w.revenue_by_status),
     ]:
         q[key] = timed(lambda: noop(fn()))
