@@ -21,7 +21,7 @@ from medallion.sources.ndjson import read_lines
 
 # Dependency levels of the Gold graph (models in a level are independent).
 GOLD_LEVELS = [
-    ["dim_customers", "dim_date", "fct_orders", "fct_order_lifecycle"],
+    ["dim_products", "dim_customers", "dim_date", "fct_orders", "fct_order_lifecycle"],
     ["mart_daily_revenue", "mart_order_funnel"],
 ]
 

@@ -22,6 +22,8 @@ def test_load_refresh_build_from_files(spark, tmp):
     # orders of 2001 are outside the 1995-2000 calendar
     assert rows[("fct_orders", "created_date_key", "relationships")] > 0
     assert "dbt_computed_at" in spark.read.parquet(os.path.join(groot, "fct_orders")).columns
+    assert spark.read.parquet(os.path.join(groot, "dim_products")).count() == 20
+    assert rows[("dim_products", "category", "accepted_values")] == 0
 
 
 def test_bucketed_silver_gives_exchange_free_facts(spark, tmp):
