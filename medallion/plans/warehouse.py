@@ -125,6 +125,7 @@ class Warehouse:
         e = dt.date.fromisoformat(self.calendar_end)
         return max((e - s).days + 1, 0)
 
+    @cached_property
     def dim_products(self) -> DataFrame:
         return dimensions.dim_products(self.spark)
 
@@ -175,8 +176,6 @@ class Warehouse:
         return questions.revenue_by_status(self.mart_order_funnel)
 
     def model(self, name: str) -> DataFrame:
-        if name == "dim_products":
-            return self.dim_products()
         return getattr(self, name)
 
     def models(self, names=None) -> dict[str, DataFrame]:
