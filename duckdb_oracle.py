@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from medallion import contracts as C
 from medallion.operators.quality import SUITE, Check
 
 T0 = "TIMESTAMP '2026-01-01 00:00:00'"
