@@ -12,6 +12,8 @@ below it:
 * ``u01..u07``         analytical questions over the stored tables
 * ``stream_catch_up``  chained landing -> Bronze -> Silver stream, ``availableNow``
 * ``fct_orders_window_form`` the literal 4-window/4-join shape, for comparison
+* ``skew_*``           fct_orders / fct_order_lifecycle with a third of all status
+                       changes on one order (not part of the total)
 
 Timed jobs report the median of ``$BENCH_REPEAT`` (default 3) warm runs.
 Prints ONE JSON line.
@@ -134,6 +136,19 @@ def main() -> None:
     q["fct_orders_window_form"] = timed(
         lambda: noop(fct_orders_window_form(w.stg_orders_created, w.stg_orders_status_changed)))
 
+    # skew: a third of all status changes re-keyed to ONE order (the other
+    # rows and the orders table unchanged); same jobs, same code
+    sc = sv["orders_status_changed"]
+    hot = sc.withColumn(
+        "order_id",
+        F.when(F.xxhash64("event_id") % 3 == 0, F.lit("ord-hot")).otherwise(F.col("order_id")),
+    )
+    hot.write.mode("overwrite").parquet(f"{silver_root}/skewed_status")
+    ws = Warehouse(spark, {**sv, "orders_status_changed": spark.read.parquet(f"{silver_root}/skewed_status")},
+                   calendar_start=CALENDAR[0], calendar_end=CALENDAR[1])
+    q["skew_fct_orders"] = timed(lambda: noop(ws.fct_orders))
+    q["skew_fct_order_lifecycle"] = timed(lambda: noop(ws.fct_order_lifecycle))
+
     # data-quality suite over stored tables
     def rel(name: str) -> DataFrame:
         if name.startswith("dt_"):
@@ -163,7 +178,7 @@ def main() -> None:
     q["stream_catch_up"] = round(time.perf_counter() - t, 3)
     info["stream_rows_per_sec"] = round(info["bronze_rows"] / q["stream_catch_up"], 1)
 
-    headline = [k for k in q if k not in ("fct_orders_window_form",)]
+    headline = [k for k in q if k not in ("fct_orders_window_form", "skew_fct_orders", "skew_fct_order_lifecycle")]
     total = round(sum(q[k] for k in headline), 3)
     sf = SF_DIR.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({

@@ -85,11 +85,13 @@ class Warehouse:
         }
         return cls(spark, silver, **kw)
 
-    def register_views(self) -> list[str]:
-        """Staging models as temp views (S12), queryable with ``spark.sql``."""
-        for name in STAGING_MODELS:
-            getattr(self, name).createOrReplaceTempView(name)
-        return list(STAGING_MODELS)
+    def register_views(self, gold: bool = False) -> list[str]:
+        """Staging models (and with ``gold`` the Gold models and the product
+        seed) as temp views (S12), queryable with ``spark.sql``."""
+        names = list(STAGING_MODELS) + (GOLD_MODELS + ["dim_products"] if gold else [])
+        for name in names:
+            self.model(name).createOrReplaceTempView(name)
+        return names
 
     # staging (views)
     @cached_property

@@ -40,3 +40,6 @@ def test_staging_views_registered(spark):
     names = w.register_views()
     assert spark.sql("SELECT order_id FROM stg_orders_created").first().order_id == "o1"
     assert len(names) == 4
+    w.register_views(gold=True)
+    r = spark.sql("SELECT status_name, orders_count FROM mart_order_funnel").first()
+    assert (r.status_name, r.orders_count) == ("created", 1)
