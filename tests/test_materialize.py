@@ -43,3 +43,10 @@ def test_staging_views_registered(spark):
     w.register_views(gold=True)
     r = spark.sql("SELECT status_name, orders_count FROM mart_order_funnel").first()
     assert (r.status_name, r.orders_count) == ("created", 1)
+
+
+def test_partitioned_table_write_is_a_full_replace(spark, tmp):
+    path = os.path.join(tmp, "p")
+    materialize.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string"), path, partition_by=["k"])
+    materialize.write_table(spark.createDataFrame([(3, "a")], "id int, k string"), path, partition_by=["k"])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3]
