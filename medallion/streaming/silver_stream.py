@@ -46,6 +46,12 @@ def upkeep_batch(
 ) -> None:
     spark = batch.sparkSession
     tag = f"{batch_id:012d}"
+    since = None
+    if horizon_days is not None:
+        # one scalar per batch: the earliest load time it contains
+        lo = batch.agg(F.min("_ingested_at")).first()[0]
+        if lo is not None:
+            since = (lo - dt.timedelta(days=horizon_days)).date().isoformat()
     for name in names or SILVER_SPECS:
         spec = SILVER_SPECS[name]
         target = f"{silver_root}/{spec.table}"
@@ -53,11 +59,8 @@ def upkeep_batch(
         prior = _existing(spark, target)
         if prior is not None:
             prior = prior.where(F.col("_batch") != tag)
-            if horizon_days is not None:
-                lo = batch.agg(F.min("_ingested_at")).first()[0]
-                if lo is not None:
-                    since = (lo - dt.timedelta(days=horizon_days)).date().isoformat()
-                    prior = prior.where(F.col("_ingest_date") >= F.lit(since).cast("date"))
+            if since is not None:
+                prior = prior.where(F.col("_ingest_date") >= F.lit(since).cast("date"))
             fresh = fresh.join(prior.select("event_id"), "event_id", "left_anti")
         (
             fresh.withColumn("_ingest_date", F.to_date("_ingested_at"))
