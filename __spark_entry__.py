@@ -146,6 +146,33 @@ def stream_silver_orders_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_ingest_orders_status_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T01-T04 through the chained stream: the fixture's two deliveries landed
+    as NDJSON files and run through ``start_ingest_stream`` (each micro-batch
+    writes its Bronze load and keeps all four Silver tables from that load),
+    one ``availableNow`` run per delivery; returns Silver
+    ``orders_status_changed``'s event columns (run-dependent file paths and
+    load times left out).
+    """
+    from medallion.contracts import SILVER_SPECS
+    from medallion.session import scratch_path
+    from medallion.streaming import run_available_now, start_ingest_stream
+    from medallion.streaming.silver_stream import read_silver
+
+    apply_conf(spark)
+    root = scratch_path(spark, "ingest-fixture")
+    landing = f"{root}/landing"
+    for lines in fixtures.deliveries(spark, sf_dir):
+        fixtures.write_landing(lines, landing)
+        run_available_now(lambda t: start_ingest_stream(
+            spark, landing, f"{root}/bronze", f"{root}/silver", f"{root}/_ckpt", trigger=t,
+            max_files_per_trigger=100_000))
+    spec = SILVER_SPECS["orders_status_changed"]
+    return read_silver(spark, f"{root}/silver", "orders_status_changed").select(
+        *[f.name for f in spec.fields]
+    )
+
+
 def dim_date_spanning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar covering the order-creation days found in the data."""
     w = _warehouse(spark, sf_dir)
@@ -163,6 +190,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_customers"] = _model("dim_customers")
     q["dim_date"] = dim_date_spanning
     q["stream_silver_orders_created"] = stream_silver_orders_created
+    q["stream_ingest_orders_status_changed"] = stream_ingest_orders_status_changed
     for name in ("fct_orders", "fct_order_lifecycle", "mart_daily_revenue", "mart_order_funnel"):
         q[name] = _model(name)
     for t in ("unique", "not_null", "accepted_values", "relationships"):

@@ -331,6 +331,10 @@ FROM tele_files""")
         "SELECT event_id, event_timestamp, event_version, order_id, customer_id, amount, "
         "currency, item_count FROM dt_orders_created"
     )
+    q["stream_ingest_orders_status_changed"] = _with(
+        "SELECT event_id, event_timestamp, event_version, order_id, old_status, new_status "
+        "FROM dt_orders_status_changed"
+    )
     # Gold
     q["dim_customers"] = _with("SELECT * FROM dim_customers")
     span = (
