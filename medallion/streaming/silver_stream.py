@@ -20,6 +20,7 @@ Silver (exact for any redelivery delay).
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,14 +38,40 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _upkeep_one(batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None) -> None:
+    spark = batch.sparkSession
+    spec = SILVER_SPECS[name]
+    target = f"{silver_root}/{spec.table}"
+    fresh = silver.dedupe(silver.extract(batch, spec))
+    prior = _existing(spark, target)
+    if prior is not None:
+        prior = prior.where(F.col("_batch") != tag)
+        if since is not None:
+            prior = prior.where(F.col("_ingest_date") >= F.lit(since).cast("date"))
+        fresh = fresh.join(prior.select("event_id"), "event_id", "left_anti")
+    (
+        fresh.withColumn("_ingest_date", F.to_date("_ingested_at"))
+        .withColumn("_batch", F.lit(tag))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_ingest_date", "_batch")
+        .parquet(target)
+    )
+
+
 def upkeep_batch(
     batch: DataFrame,
     batch_id: int,
     silver_root: str,
     names=None,
     horizon_days: int | None = None,
+    threads: int = 4,
 ) -> None:
-    spark = batch.sparkSession
+    """Apply one Bronze micro-batch to the Silver tables.
+
+    The tables are independent, so their jobs are submitted concurrently
+    (``threads``); each reads only its event type's Bronze partition.
+    """
     tag = f"{batch_id:012d}"
     since = None
     if horizon_days is not None:
@@ -52,24 +79,14 @@ def upkeep_batch(
         lo = batch.agg(F.min("_ingested_at")).first()[0]
         if lo is not None:
             since = (lo - dt.timedelta(days=horizon_days)).date().isoformat()
-    for name in names or SILVER_SPECS:
-        spec = SILVER_SPECS[name]
-        target = f"{silver_root}/{spec.table}"
-        fresh = silver.dedupe(silver.extract(batch, spec))
-        prior = _existing(spark, target)
-        if prior is not None:
-            prior = prior.where(F.col("_batch") != tag)
-            if since is not None:
-                prior = prior.where(F.col("_ingest_date") >= F.lit(since).cast("date"))
-            fresh = fresh.join(prior.select("event_id"), "event_id", "left_anti")
-        (
-            fresh.withColumn("_ingest_date", F.to_date("_ingested_at"))
-            .withColumn("_batch", F.lit(tag))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_ingest_date", "_batch")
-            .parquet(target)
-        )
+    todo = list(names or SILVER_SPECS)
+    if threads > 1 and len(todo) > 1:
+        with ThreadPoolExecutor(max_workers=min(threads, len(todo))) as pool:
+            for f in [pool.submit(_upkeep_one, batch, tag, silver_root, n, since) for n in todo]:
+                f.result()
+    else:
+        for n in todo:
+            _upkeep_one(batch, tag, silver_root, n, since)
 
 
 def start_silver_stream(
