@@ -11,8 +11,13 @@ def _c(x: Column | str) -> Column:
 
 
 def date_key(ts: Column | str) -> Column:
-    """``YYYYMMDD`` integer key of a date/timestamp; NULL stays NULL."""
-    return F.date_format(_c(ts), "yyyyMMdd").cast("int")
+    """``YYYYMMDD`` integer key of a date/timestamp; NULL stays NULL.
+
+    Integer arithmetic on the wall-clock date fields: no string formatting
+    per row, and independent of the session time zone.
+    """
+    d = _c(ts).cast("date")
+    return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
 def day_boundaries(start: Column | str, end: Column | str) -> Column:
@@ -26,11 +31,12 @@ def day_boundaries(start: Column | str, end: Column | str) -> Column:
 def hour_boundaries(start: Column | str, end: Column | str) -> Column:
     """Number of hour boundaries crossed from ``start`` to ``end``.
 
-    10:59 -> 11:01 is one hour: both ends are truncated to the hour first.
+    10:59 -> 11:01 is one hour, unlike elapsed-time ``timestampdiff``.
+    Computed from wall-clock fields (24 per midnight crossed, plus the hour
+    difference), so it does not depend on the session time zone.
     """
-    return F.timestamp_diff(
-        "HOUR", F.date_trunc("HOUR", _c(start)), F.date_trunc("HOUR", _c(end))
-    ).cast("int")
+    s, e = _c(start), _c(end)
+    return (day_boundaries(s, e) * 24 + F.hour(e) - F.hour(s)).cast("int")
 
 
 def day_of_week_sunday0(d: Column | str) -> Column:

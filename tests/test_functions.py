@@ -70,3 +70,20 @@ def test_sizing_scales_with_input():
     parts = int(big["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and 100_000 <= parts <= 200_000
     assert big["spark.sql.files.maxPartitionBytes"] == "512m"
+
+
+def test_boundaries_do_not_depend_on_session_time_zone(spark):
+    df = spark.createDataFrame(
+        [(ts("2024-03-10 01:30:00"), ts("2024-03-10 03:30:00"), ts("2024-03-09 23:59:00"))],
+        "a timestamp_ntz, b timestamp_ntz, c timestamp_ntz",
+    )
+    q = df.select(hour_boundaries("a", "b").alias("h"), date_key("c").alias("k"),
+                  day_boundaries("c", "a").alias("d"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # DST starts 2024-03-10 02:00
+        r1 = q.collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    r2 = q.collect()[0]
+    assert tuple(r1) == tuple(r2) == (2, 20240309, 1)
