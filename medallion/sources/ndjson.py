@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.contracts import EVENT_TS_FORMAT
 
 LINES_SCHEMA = "value string"
 
@@ -54,15 +53,30 @@ def stream_lines(
     return _with_file(reader.load(path))
 
 
+def iso_utc(ts_ntz):
+    """``YYYY-MM-DDTHH:MM:SSZ`` from a TIMESTAMP_NTZ holding UTC wall-clock time
+    (F20). Built from the wall-clock fields, so the session time zone plays no
+    part (``date_format`` would route the value through it)."""
+    return F.format_string(
+        "%04d-%02d-%02dT%02d:%02d:%02dZ",
+        F.year(ts_ntz), F.month(ts_ntz), F.dayofmonth(ts_ntz),
+        F.hour(ts_ntz), F.minute(ts_ntz), F.second(ts_ntz),
+    )
+
+
 def envelope_json(
     event_id, event_type, event_ts, payload, version: str = "1.0"
 ):
-    """One compact envelope JSON string column (``to_json`` is compact)."""
+    """One compact envelope JSON string column (``to_json`` is compact).
+
+    ``event_ts`` is a TIMESTAMP_NTZ in UTC, written with ``EVENT_TS_FORMAT``
+    semantics (seconds, ``Z`` suffix).
+    """
     return F.to_json(
         F.struct(
             event_id.alias("event_id"),
             event_type.alias("event_type"),
-            F.date_format(event_ts, EVENT_TS_FORMAT).alias("event_timestamp"),
+            iso_utc(event_ts).alias("event_timestamp"),
             F.lit(version).alias("event_version"),
             payload.alias("payload"),
         )
