@@ -11,10 +11,10 @@ aggregation map-side, so a file holding a third of all lines costs nothing
 extra). The gate is then a left-semi join of the lines with the accepted
 files. When the caller knows how many files the input has (a file listing or
 a stream's ``maxFilesPerTrigger``) and it is below ``BROADCAST_FILES``, the
-file list is broadcast and the lines are never shuffled; otherwise no hint is
-given and AQE picks at runtime from measured sizes (broadcast when the
-accepted-file list is small, else a sort-merge join whose skewed partitions
-it splits).
+file list is broadcast and the lines are never shuffled; otherwise
+the accepted-file list is resolved (and counted) first, then broadcast when
+small; only a list too large to broadcast leads to a shuffled semi-join,
+whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -85,11 +85,27 @@ def load(
 
     ``ingested_at`` defaults to the load's ``current_timestamp()``; pass a
     literal to replay a historical load reproducibly. ``max_files`` is an
-    upper bound on distinct files in ``lines``, when known.
+    upper bound on distinct files in ``lines``, when known (a file listing, a
+    stream's ``maxFilesPerTrigger``): below ``BROADCAST_FILES`` the accepted
+    list is broadcast and the plan stays lazy.
+
+    When no bound is known, the accepted-file list is resolved first: the
+    per-file aggregate runs as its own small job, is cut from its lineage
+    with a reliable ``checkpoint()`` (shared checkpoint folder) and counted,
+    and is broadcast when that count is within ``BROADCAST_FILES``. Only a
+    larger list falls back to a shuffled semi-join (which AQE de-skews).
+    Either way the lines themselves are not shuffled unless the file list is
+    genuinely too large to broadcast.
     """
     parsed = parse_lines(lines)
     accepted = file_report(parsed, max_bad_ratio).where("loaded").select("_source_file")
-    if max_files is not None and max_files <= BROADCAST_FILES:
+    if max_files is None:
+        from medallion.session import checkpoint_root
+
+        checkpoint_root(lines.sparkSession)
+        accepted = accepted.checkpoint(eager=True)
+        max_files = accepted.count()
+    if max_files <= BROADCAST_FILES:
         accepted = F.broadcast(accepted)
     if ingested_at is None:
         stamp = F.current_timestamp().cast("timestamp_ntz")
