@@ -40,7 +40,7 @@ def main() -> None:
     items = [
         ("Bronze load (file listing bounds the broadcast accepted-file list)",
          bronze.load(lines, max_files=len(lines.inputFiles()))),
-        ("Bronze load, file count unknown (AQE decides at runtime)", bronze.load(lines)),
+        ("Bronze load, file count unknown (accepted list resolved, counted, then broadcast)", bronze.load(lines)),
         ("Silver orders_created (partition pruning, variant paths, partial WindowGroupLimit)",
          silver.build(b, "orders_created")),
         ("dim_customers (one filtered max_by aggregate + one join)", w.dim_customers),
