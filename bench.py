@@ -110,9 +110,8 @@ def main() -> None:
         bronze_path = scratch_path(spark, "bench-bronze")
         for i in range(2):
             lines = read_lines(spark, f"{landing}/d{i}")
-            n_files = len(lines.inputFiles())
             at = fixtures.FIRST_LOAD_AT if i == 0 else fixtures.REDELIVERY_AT
-            bronze.write_load(bronze.load(lines, at, max_files=n_files), bronze_path, f"b{i}")
+            bronze.write_load(bronze.load(lines, at), bronze_path, f"b{i}")
 
     q["bronze_load"] = timed(load_bronze)
     b = bronze.read(spark, bronze_path)

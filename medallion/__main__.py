@@ -56,8 +56,8 @@ def main(argv: list[str] | None = None) -> int:
             spark.conf.set(k, v)
 
     if a.cmd == "load":
-        n = jobs.load(spark, a.landing, a.bronze, a.load_id)
-        print(f"loaded {n} files as {a.load_id}")
+        jobs.load(spark, a.landing, a.bronze, a.load_id)
+        print(f"loaded {a.landing} as {a.load_id}")
     elif a.cmd == "refresh":
         if a.buckets and a.database:
             out = jobs.refresh_silver_bucketed(spark, a.bronze, a.database, a.buckets)

@@ -26,12 +26,14 @@ GOLD_LEVELS = [
 ]
 
 
-def load(spark: SparkSession, landing: str, bronze_path: str, load_id: str) -> int:
-    """One batch load of every file under ``landing`` into Bronze."""
+def load(spark: SparkSession, landing: str, bronze_path: str, load_id: str) -> None:
+    """One batch load of every file under ``landing`` into Bronze.
+
+    No file list is pulled into Python: the gate resolves and counts the
+    accepted files on the cluster before deciding to broadcast them.
+    """
     lines = read_lines(spark, landing)
-    n_files = len(lines.inputFiles())  # listing is already on the driver
-    bronze.write_load(bronze.load(lines, max_files=n_files), bronze_path, load_id)
-    return n_files
+    bronze.write_load(bronze.load(lines), bronze_path, load_id)
 
 
 def refresh_silver(

@@ -38,7 +38,7 @@ def main() -> None:
     w = Warehouse.from_tables(spark, f"{root}/silver", calendar_start="1995-01-01", calendar_end="2000-12-31")
     b = bronze.read(spark, f"{root}/bronze")
     items = [
-        ("Bronze load (file listing bounds the broadcast accepted-file list)",
+        ("Bronze load, file count bounded (e.g. maxFilesPerTrigger): broadcast accepted-file list",
          bronze.load(lines, max_files=len(lines.inputFiles()))),
         ("Bronze load, file count unknown (accepted list resolved, counted, then broadcast)", bronze.load(lines)),
         ("Silver orders_created (partition pruning, variant paths, partial WindowGroupLimit)",
