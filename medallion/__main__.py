@@ -26,6 +26,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--bronze", required=True)
     s.add_argument("--load-id", required=True)
 
+    s = sub.add_parser("compact", help="rewrite old Bronze loads into one load")
+    s.add_argument("--bronze", required=True)
+    s.add_argument("--into", required=True, help="load id of the compacted load")
+    s.add_argument("--keep-recent", type=int, default=60)
+
     s = sub.add_parser("refresh", help="full refresh of Silver from Bronze")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", help="Silver root folder (Parquet)")
@@ -58,6 +63,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "load":
         jobs.load(spark, a.landing, a.bronze, a.load_id)
         print(f"loaded {a.landing} as {a.load_id}")
+    elif a.cmd == "compact":
+        old = jobs.compact_bronze(spark, a.bronze, a.into, a.keep_recent)
+        print(f"compacted {len(old)} loads into {a.into}")
     elif a.cmd == "refresh":
         if a.buckets and a.database:
             out = jobs.refresh_silver_bucketed(spark, a.bronze, a.database, a.buckets)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from medallion import contracts as C
 from medallion import materialize
@@ -36,6 +37,45 @@ def load(spark: SparkSession, landing: str, bronze_path: str, load_id: str) -> N
     bronze.write_load(bronze.load(lines), bronze_path, load_id)
 
 
+def _fs_and_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def bronze_loads(spark: SparkSession, bronze_path: str) -> list[str]:
+    """Load ids present in Bronze, from the directory listing (no data read)."""
+    fs, root = _fs_and_path(spark, bronze_path)
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("_load="))
+
+
+def compact_bronze(
+    spark: SparkSession, bronze_path: str, into: str, keep_recent: int = 60
+) -> list[str]:
+    """Rewrite all but the ``keep_recent`` newest loads into one load ``into``.
+
+    The rows are copied unchanged (same ``_source_file`` and
+    ``_ingested_at``) into ``_load=<into>``; only then are the old load
+    directories removed. A reader that sees both copies in between gets the
+    same Silver, which is exactly-once by ``event_id`` and keeps the first of
+    identical rows. Returns the compacted load ids.
+    """
+    loads = [x for x in bronze_loads(spark, bronze_path) if x != into]
+    old = loads[: max(0, len(loads) - keep_recent)]
+    if not old:
+        return []
+    rows = bronze.read(spark, bronze_path).where(F.col("_load").isin(old))
+    bronze.write_load(rows.select("raw_data", "_source_file", "_ingested_at"), bronze_path, into)
+    fs, root = _fs_and_path(spark, bronze_path)
+    jvm = spark.sparkContext._jvm
+    for load_id in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"_load={load_id}"), True)
+    return old
+
+
 def refresh_silver(
     spark: SparkSession, bronze_path: str, silver_root: str, threads: int = 4
 ) -> dict[str, str]:

@@ -57,3 +57,25 @@ def test_cli_load_refresh_build(spark, tmp, capsys):
                  "--calendar-end", "2005-12-31"]) == 0
     out = capsys.readouterr().out
     assert "failing tests" in out
+
+
+def test_compact_bronze_keeps_silver_identical(spark, tmp):
+    from medallion.operators import bronze, silver
+    from conftest import env, lines_df
+
+    bpath = os.path.join(tmp, "bronze")
+    for i in range(4):
+        rows = [(env(f"e{i}{k}", "order_created", "2026-05-02T12:00:10Z",
+                     {"order_id": f"o{k}", "customer_id": "c", "amount": 1, "currency": "BRL",
+                      "item_count": 1}), f"f{i}") for k in range(3)]
+        rows.append((env("dup", "order_created", "2026-05-02T12:00:10Z",
+                         {"order_id": "o", "customer_id": "c", "amount": 1, "currency": "BRL",
+                          "item_count": 1}), f"f{i}"))
+        bronze.write_load(bronze.load(lines_df(spark, rows), f"2026-01-0{i + 1} 00:00:00"), bpath, f"s{i:012d}")
+    before = sorted(tuple(r) for r in silver.build(bronze.read(spark, bpath), "orders_created").collect())
+    n_before = bronze.read(spark, bpath).count()
+    assert jobs.compact_bronze(spark, bpath, "c20260105", keep_recent=1) == [f"s{i:012d}" for i in range(3)]
+    assert jobs.bronze_loads(spark, bpath) == ["c20260105", "s000000000003"]
+    assert bronze.read(spark, bpath).count() == n_before
+    after = sorted(tuple(r) for r in silver.build(bronze.read(spark, bpath), "orders_created").collect())
+    assert after == before
