@@ -79,3 +79,18 @@ def test_compact_bronze_keeps_silver_identical(spark, tmp):
     assert bronze.read(spark, bpath).count() == n_before
     after = sorted(tuple(r) for r in silver.build(bronze.read(spark, bpath), "orders_created").collect())
     assert after == before
+
+
+def test_cli_stream_available_now(spark, tmp):
+    from medallion.__main__ import main
+    from medallion.streaming.silver_stream import read_silver
+    from conftest import env, lines_df
+
+    rows = [(env(f"e{k}", "customer_registered", "2026-05-02T12:00:10Z",
+                 {"customer_id": f"c{k}", "name": "n", "email": "e", "state": "SP"}), "events/a.ndjson")
+            for k in range(3)]
+    fixtures.write_landing(lines_df(spark, rows), os.path.join(tmp, "landing"))
+    args = ["stream", "--landing", os.path.join(tmp, "landing"), "--bronze", os.path.join(tmp, "b"),
+            "--silver", os.path.join(tmp, "s"), "--checkpoint", os.path.join(tmp, "ck"), "--available-now"]
+    assert main(args) == 0
+    assert read_silver(spark, os.path.join(tmp, "s"), "customers_registered").count() == 3
