@@ -129,3 +129,10 @@ def test_hot_order_is_aggregated_map_side(spark):
     assert r["o0"].current_status == "paid" and r["o0"].paid_at == T("2024-01-02 00:00:00")
     lc = facts.fct_order_lifecycle(sc, oc)
     assert lc.where("order_id = 'o0'").count() == 40
+
+
+def test_null_registration_time_gives_null_last_update(spark):
+    cr = spark.createDataFrame([("r1", "c1", None, "Ana", "a@x", "SP", None)], CR)
+    cu = spark.createDataFrame([("u1", "c1", T("2024-01-05 00:00:00"), "email", "a@x", "b@x", None)], CU)
+    r = dimensions.dim_customers(cr, cu).collect()[0]
+    assert r.last_updated_at is None and r.email == "b@x" and r.has_been_updated

@@ -71,3 +71,17 @@ def test_hot_event_id_is_limited_before_the_exchange(spark):
     # the exchange as at most one row per map partition
     assert plan.count("WindowGroupLimit") == 2
     assert "Partial" in plan and "Final" in plan
+
+
+def test_missing_event_ids_form_one_group(spark):
+    """Partitioning by a NULL key groups all NULLs together, so events without
+    an id collapse to one Silver row (the source's semantics, kept on purpose)."""
+    import json
+
+    def no_id(i):
+        return json.dumps({"event_type": "order_created", "event_timestamp": "2026-05-02T12:00:10Z",
+                           "payload": {"order_id": f"o{i}", "amount": 1, "item_count": 1}})
+
+    b = _bronze(spark, [("2026-01-01 00:00:00", [(no_id(i), "f") for i in range(3)] + [(oc("e1"), "f")])])
+    r = silver.build(b, "orders_created").collect()
+    assert len(r) == 2 and sum(x.event_id is None for x in r) == 1
