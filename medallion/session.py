@@ -17,6 +17,14 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # VARIANT semantics and layout: a JSON line with duplicate keys is bad
+    # (the gate relies on try_parse_json returning NULL for it); Bronze is
+    # written shredded (common paths as typed Parquet sub-columns) so Silver's
+    # extraction reads only the paths it asks for.
+    "spark.sql.variant.allowDuplicateKeys": "false",
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
 

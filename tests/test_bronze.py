@@ -71,3 +71,15 @@ def test_gate_never_shuffles_lines(spark):
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
     assert "partial_count" in plan
     assert out.count() == 299 + 5
+
+
+def test_duplicate_keys_stay_bad_even_if_session_allows_them(spark):
+    from medallion.session import apply_conf
+
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    try:
+        apply_conf(spark)  # the library's session defaults pin the semantics
+        bad = bronze.parse_lines(lines_df(spark, [('{"a":1,"a":2}', "f")])).collect()[0]["_bad"]
+    finally:
+        apply_conf(spark)
+    assert bad is True
