@@ -130,7 +130,7 @@ def main() -> None:
     for name in order:
         q[name] = timed(lambda: noop(w.model(name)))
         w.model(name).write.mode("overwrite").parquet(f"{gold_root}/{name}")
-        w.__dict__[name] = spark.read.parquet(f"{gold_root}/{name}")
+        w.use(name, spark.read.parquet(f"{gold_root}/{name}"))
 
     q["fct_orders_window_form"] = timed(
         lambda: noop(fct_orders_window_form(w.stg_orders_created, w.stg_orders_status_changed)))

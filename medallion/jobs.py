@@ -156,7 +156,7 @@ def build(
             paths = dict(zip(level, pool.map(write, level)))
         for name, path in paths.items():
             stored = spark.read.parquet(path)
-            w.__dict__[name] = stored.drop("dbt_computed_at") if audit else stored
+            w.use(name, stored.drop("dbt_computed_at") if audit else stored)
 
     def rel(name: str) -> DataFrame:
         if name.startswith("dt_"):

@@ -72,6 +72,6 @@ def write_models(
         stored = spark.read.parquet(path)
         if audit:
             stored = stored.drop("dbt_computed_at")
-        warehouse.__dict__[name] = stored  # later models read the table
+        warehouse.use(name, stored)  # later models read the table
         paths[name] = path
     return paths

@@ -180,5 +180,12 @@ class Warehouse:
     def model(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def use(self, name: str, df: DataFrame) -> None:
+        """Make ``name`` resolve to ``df`` (e.g. the table a build just wrote),
+        so models downstream read stored data instead of recomputing it."""
+        if not hasattr(type(self), name):
+            raise KeyError(name)
+        self.__dict__[name] = df
+
     def models(self, names=None) -> dict[str, DataFrame]:
         return {n: self.model(n) for n in (names or STAGING_MODELS + GOLD_MODELS)}
