@@ -181,7 +181,7 @@ def main() -> None:
     total = round(sum(q[k] for k in headline), 3)
     sf = SF_DIR.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
-        "metric": "pipeline_total_sec",
+        "metric": "headline_total_sec",
         "value": total,
         "unit": "sec",
         "queries": q,
