@@ -9,10 +9,11 @@ Failures are counted the way the declared tests define them:
   from the parent.
 
 Cost per relation: ONE aggregate pass for all its ``not_null`` and
-``accepted_values`` tests together, one partially-aggregated ``groupBy`` per
-``unique`` column, one left-anti join per relationship. Reports are
-DataFrames, so a suite over many relations is a single union the caller can
-write or collect (it has one row per test).
+``accepted_values`` tests together, ONE partially aggregated exchange for all
+its ``unique`` columns (stacked as ``(column, value)`` pairs), and one
+left-anti join per relationship. Reports are DataFrames, so a suite over
+many relations is a single union the caller can write or collect (it has
+one row per test).
 """
 
 from __future__ import annotations

@@ -3,8 +3,9 @@
 ``Warehouse`` resolves each model once (a cached ``DataFrame``), mirroring
 ``ref()`` resolution. Building a model only builds a lazy plan; nothing runs
 until a sink or action. Models reused downstream (``fct_orders`` feeds both
-marts) should be materialized once by the caller (``materialize.write_models``)
-rather than recomputed.
+marts) should be materialized once by the caller (``jobs.build`` or
+``materialize.write_models`` write it and point the graph at the stored table
+with ``Warehouse.use``) rather than recomputed.
 """
 
 from __future__ import annotations

@@ -1,16 +1,29 @@
 """Structured Streaming upkeep of Bronze and Silver.
 
-Both streams use ``foreachBatch`` so the very same batch functions
+Every stream uses ``foreachBatch`` so the very same batch functions
 (``operators.bronze.load``, ``operators.silver.extract/dedupe``) run on each
-micro-batch, and both write a batch-id partition with dynamic partition
-overwrite, so a replayed batch (after a failure) replaces its own output
-instead of duplicating it.
+micro-batch, and every write goes to a batch-id partition with dynamic
+partition overwrite, so a replayed batch (after a failure) replaces its own
+output instead of duplicating it. ``start_ingest_stream`` chains landing ->
+Bronze -> Silver in one stream (recommended); ``start_bronze_stream`` and
+``start_silver_stream`` run the two hops as separate streams;
+``start_silver_stream_within_watermark`` dedupes in the state store.
 """
 
 from medallion.streaming.bronze_stream import start_bronze_stream, start_ingest_stream
-from medallion.streaming.silver_stream import start_silver_stream, upkeep_batch
+from medallion.streaming.silver_stream import (
+    start_silver_stream,
+    start_silver_stream_within_watermark,
+    upkeep_batch,
+)
 
-__all__ = ["start_bronze_stream", "start_ingest_stream", "start_silver_stream", "upkeep_batch"]
+__all__ = [
+    "start_bronze_stream",
+    "start_ingest_stream",
+    "start_silver_stream",
+    "start_silver_stream_within_watermark",
+    "upkeep_batch",
+]
 
 
 def run_available_now(query_factory) -> None:
