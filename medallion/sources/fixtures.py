@@ -17,6 +17,9 @@ Mapping (all per row, no collect):
 
 Every domain event whose numeric key is a multiple of 10 is delivered a
 second time in a later load from another file (at-least-once redelivery).
+Domain envelopes are grouped into one file per event kind and month
+(``events/events-YYYYMM-<kind>.ndjson``, redeliveries under
+``events/retry/``); telemetry into hourly files.
 """
 
 from __future__ import annotations
