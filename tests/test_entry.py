@@ -16,3 +16,18 @@ def test_flagship_matches_fixture_expectations(spark):
     assert {k: v.orders_count for k, v in f.items()} == {
         "created": 1500, "paid": 3966, "shipped": 4057, "delivered": 3977, "canceled": 1500}
     assert str(f["paid"].revenue_in_status) == "1003483785.21"
+
+
+def test_every_query_documents_what_it_runs():
+    for name, fn in E.queries().items():
+        assert fn.__doc__ and fn.__doc__.strip(), name
+
+
+def test_warehouse_use_rejects_unknown_models(spark):
+    import pytest
+
+    from medallion.plans.warehouse import Warehouse
+
+    w = Warehouse(spark, {})
+    with pytest.raises(KeyError):
+        w.use("not_a_model", spark.range(1))
