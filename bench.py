@@ -111,7 +111,7 @@ def main() -> None:
         for i in range(2):
             lines = read_lines(spark, f"{landing}/d{i}")
             at = fixtures.FIRST_LOAD_AT if i == 0 else fixtures.REDELIVERY_AT
-            bronze.write_load(bronze.load(lines, at), bronze_path, f"b{i}")
+            bronze.load_and_write(lines, bronze_path, f"b{i}", at)
 
     q["bronze_load"] = timed(load_bronze)
     b = bronze.read(spark, bronze_path)

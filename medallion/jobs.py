@@ -33,8 +33,7 @@ def load(spark: SparkSession, landing: str, bronze_path: str, load_id: str) -> N
     No file list is pulled into Python: the gate resolves and counts the
     accepted files on the cluster before deciding to broadcast them.
     """
-    lines = read_lines(spark, landing)
-    bronze.write_load(bronze.load(lines), bronze_path, load_id)
+    bronze.load_and_write(read_lines(spark, landing), bronze_path, load_id)
 
 
 def _fs_and_path(spark: SparkSession, path: str):

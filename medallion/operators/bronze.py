@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,7 +82,17 @@ def load(
     max_bad_ratio: str | float = MAX_BAD_RATIO,
     max_files: int | None = None,
 ) -> DataFrame:
-    """Bronze rows for one load of ``lines``.
+    """Bronze rows for one load of ``lines`` (lazy; see ``gate``)."""
+    return gate(parse_lines(lines), ingested_at, max_bad_ratio, max_files)
+
+
+def gate(
+    parsed: DataFrame,
+    ingested_at: Column | str | None = None,
+    max_bad_ratio: str | float = MAX_BAD_RATIO,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Apply the per-file reject gate to parsed lines (``parse_lines``).
 
     ``ingested_at`` defaults to the load's ``current_timestamp()``; pass a
     literal to replay a historical load reproducibly. ``max_files`` is an
@@ -97,12 +108,11 @@ def load(
     Either way the lines themselves are not shuffled unless the file list is
     genuinely too large to broadcast.
     """
-    parsed = parse_lines(lines)
     accepted = file_report(parsed, max_bad_ratio).where("loaded").select("_source_file")
     if max_files is None:
         from medallion.session import checkpoint_root
 
-        checkpoint_root(lines.sparkSession)
+        checkpoint_root(parsed.sparkSession)
         accepted = accepted.checkpoint(eager=True)
         max_files = accepted.count()
     if max_files <= BROADCAST_FILES:
@@ -120,6 +130,28 @@ def load(
     )
 
 
+def load_and_write(
+    lines: DataFrame,
+    path: str,
+    load_id: str,
+    ingested_at: Column | str | None = None,
+    max_bad_ratio: str | float = MAX_BAD_RATIO,
+    max_files: int | None = None,
+) -> None:
+    """Gate ``lines`` and write them as load ``load_id``, parsing each line ONCE.
+
+    The parsed lines are persisted (memory, spilling to executor disk) for
+    the duration of the load, so the per-file statistics and the written rows
+    come from the same parse. A lost executor's blocks are recomputed from
+    lineage, so the result does not depend on the cache surviving.
+    """
+    parsed = parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_load(gate(parsed, ingested_at, max_bad_ratio, max_files), path, load_id)
+    finally:
+        parsed.unpersist()
+
+
 def event_type(raw: Column | str = "raw_data") -> Column:
     c = F.col(raw) if isinstance(raw, str) else raw
     return F.try_variant_get(c, "$.event_type", "string")

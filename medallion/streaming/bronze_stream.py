@@ -21,8 +21,9 @@ def bronze_batch_writer(
     bronze_path: str, max_bad_ratio: str | float = MAX_BAD_RATIO, max_files: int | None = None
 ):
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = bronze.load(batch, max_bad_ratio=max_bad_ratio, max_files=max_files)
-        bronze.write_load(rows, bronze_path, load_id=f"s{batch_id:012d}")
+        bronze.load_and_write(
+            batch, bronze_path, f"s{batch_id:012d}", max_bad_ratio=max_bad_ratio, max_files=max_files
+        )
 
     return write
 
@@ -79,8 +80,9 @@ def start_ingest_stream(
 
     def write(batch, batch_id: int) -> None:
         load_id = f"s{batch_id:012d}"
-        rows = bronze.load(batch, max_bad_ratio=max_bad_ratio, max_files=max_files_per_trigger)
-        bronze.write_load(rows, bronze_path, load_id=load_id)
+        bronze.load_and_write(
+            batch, bronze_path, load_id, max_bad_ratio=max_bad_ratio, max_files=max_files_per_trigger
+        )
         loaded = bronze.read(spark, bronze_path).where(f"_load = '{load_id}'")
         upkeep_batch(loaded, batch_id, silver_root, horizon_days=horizon_days)
 
