@@ -7,5 +7,7 @@ from medallion.llm.decontaminate import op9_decontamination
 from medallion.llm.jaccard import op1_ngram_jaccard
 from medallion.llm.languages import op7_language_id
 from medallion.llm.secrets import op2_secret_scan
+from medallion.llm.substrings import op10_substring_dedup
+from medallion.llm.suffixes import op3_suffix_array_dedup
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op7_language_id, op8_bpe, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op3_suffix_array_dedup, op7_language_id, op8_bpe, op9_decontamination, op10_substring_dedup)}
