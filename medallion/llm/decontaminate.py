@@ -137,5 +137,5 @@ def op9_decontamination(spark, sf_dir: str) -> DataFrame:
     found = scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ["doc_id"])
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
-        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated", "spans",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
     )

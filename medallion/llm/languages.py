@@ -170,20 +170,18 @@ def viterbi(scores: np.ndarray, first: np.ndarray, count: np.ndarray, penalty: f
         value += scores[at]
     label = np.zeros(len(scores), np.int16)
     state = best_value.argmax(1)
-    rows = np.arange(len(count))
     for t in range(longest - 1, -1, -1):
         n = alive[t]
         at = first[:n] + t
         label[at] = state[:n]
         if t:
             state[:n] = np.where(stayed[at, state[:n]], state[:n], came[at])
-    del rows
     return label
 
 
 def _label(model: Model, penalty: float):
     def each(block):
-        texts = [x or "" for x in block.column("text").to_pylist()]
+        texts = [x or "" for x in block.column("_text").to_pylist()]
         begin, starts, ends, h, bits = _words(texts)
         n = len(texts)
         langs, score, spans = [UNDETERMINED] * n, np.zeros(n), [[] for _ in range(n)]
@@ -217,8 +215,8 @@ def _label(model: Model, penalty: float):
                 spans[d].append({"start": int(starts[a] - begin[d]), "end": int(ends[b] - begin[d]), "lang": model.langs[label[a]]})
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
         yield pa.RecordBatch.from_arrays(
-            [*(block.column(c) for c in block.schema.names if c != "text"), pa.array(langs), pa.array(score), pa.array(spans, span)],
-            [*(c for c in block.schema.names if c != "text"), "lang_pred", "score", "lang_spans"],
+            [*(block.column(c) for c in block.schema.names if c != "_text"), pa.array(langs), pa.array(score), pa.array(spans, span)],
+            [*(c for c in block.schema.names if c != "_text"), "lang_pred", "score", "lang_spans"],
         )
 
     return each
@@ -227,11 +225,11 @@ def _label(model: Model, penalty: float):
 def identify(docs: DataFrame, model: Model, keep: list[str], text: str = "text", penalty: float = 8.0) -> DataFrame:
     """``keep`` columns, lang_pred, score (share of the letters in its spans) and
     lang_spans (start and end in code points, lang) of each row."""
-    rows = docs.select(*keep, F.col(text).alias("text")) if "text" not in keep else docs.select(*keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    rows = docs.select(*keep, F.col(text).alias("_text"))
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "_text")
     return map_blocks(
-        rows, "text", BLOCK_BYTES, lambda: _label(model, penalty),
-        f"{kept}, lang_pred string, score double, lang_spans array<struct<start:int,end:int,lang:string>>",
+        rows, "_text", BLOCK_BYTES, lambda: _label(model, penalty),
+        f"{kept}lang_pred string, score double, lang_spans array<struct<start:int,end:int,lang:string>>",
     )
 
 
