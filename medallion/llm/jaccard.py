@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm import _hashing as H
@@ -159,12 +159,16 @@ def _join_cell(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, component_id, _row) of each row of ``docs``; ``_row`` tells texts apart."""
-    spark = docs.sparkSession
-    configure(spark)
+    """(doc_id, n_shingles, component_id, _root, _row) of each row of ``docs``; equal
+    ``_root`` tells one component, ``_row`` (``row_key``) rows with other ids or texts apart."""
+    configure(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = rows.withColumn("_row", F.xxhash64("doc_id", "_text"))
+    rows = rows.withColumn("_row", row_key(F.col("doc_id"), F.col("_text")))
     sets = written(
         map_blocks(rows, "_text", BLOCK_BYTES, lambda: _sets(width), "doc_id long, _row long, n_shingles long, _one long, _two long, _sketch array<long>, _point binary")
         .withColumn("_class", F.xxhash64("_one", "_two", "n_shingles")),
@@ -232,14 +236,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     named = least.join(roots.withColumnRenamed("vertex", "_class"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
     named = written(named, "class-roots")
     by_root = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    by_class = named.join(by_root, "root").select("_class", "component_id")
+    by_class = named.join(by_root, "root").select("_class", "component_id", "root")
     salted = by_class.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(7))))
     out = sets.select("doc_id", "_row", "n_shingles", "_class", F.pmod("_row", F.lit(8)).cast("int").alias("_salt"))
     out = out.join(salted, ["_class", "_salt"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "_row")
+    wordless = F.col("n_shingles") == 0
+    return out.select(
+        "doc_id", "n_shingles", F.when(wordless, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(wordless, F.col("_row")).otherwise(F.col("root")).alias("_root"), "_row",
+    )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates: of each component the one
+    with the least id (null ids last; then the least key). Of equal rows one stays, wordless rows too."""
+    found = written(near_duplicates(docs, id_col, text), "near-duplicates")
+    copies = found.groupBy("_root", "_row").agg(F.count(F.lit(1)).alias("_copies"), F.min("doc_id").alias("_id"))
+    first = copies.groupBy("_root").agg(F.min(F.struct(F.col("_id").isNull().alias("u"), "_id", "_row", "_copies")).alias("x"))
+    stay = written(first.select("x._row", "x._copies"), "near-duplicate-heads")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    at = {c: F.col(n) for c, n in zip(docs.columns, names)}
+    rows = plain.withColumn("_row", row_key(at[id_col], at[text])).join(stay.hint("shuffle_hash"), "_row")
+    once = rows.where("_copies = 1").select(*names)
+    again = rows.where("_copies > 1").dropDuplicates(["_row"]).select(*names)
+    return once.unionByName(again).toDF(*docs.columns)
 
 
 def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Components of near duplicates over every whole text of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return near_duplicates(docs).drop("_row")
+    return near_duplicates(docs).drop("_row", "_root")

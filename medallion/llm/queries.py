@@ -14,3 +14,15 @@ from medallion.llm.token_counts import op4_token_counts
 from medallion.llm.topk import op5_topk
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op3_suffix_array_dedup, op4_token_counts, op5_topk, op6_quality, op7_language_id, op8_bpe, op9_decontamination, op10_substring_dedup)}
+
+
+def queries() -> dict:
+    import corpus_pipeline
+
+    return QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def oracle_sql() -> dict[str, str]:
+    from medallion.llm.oracles import SQL
+
+    return dict(SQL)
