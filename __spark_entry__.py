@@ -14,6 +14,8 @@ loads carry fixed load times so Silver's ``_ingested_at`` is reproducible.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -31,6 +33,11 @@ from medallion.plans.warehouse import Warehouse  # noqa: E402
 from medallion.session import apply_conf  # noqa: E402
 from medallion.sources import fixtures  # noqa: E402
 
+# The training-data operators are a subpackage that may be absent.
+_llm = None
+if all(importlib.util.find_spec(m) for m in ("corpus_pipeline", "medallion.llm")) and importlib.util.find_spec("medallion.llm.queries"):
+    _llm = importlib.import_module("medallion.llm.queries")
+
 # Calendar used by the Gold build over the driver tables (orders span
 # 1995-2001; the 2001 orders fall outside and drop out of the revenue mart).
 CALENDAR = ("1995-01-01", "2000-12-31")
@@ -206,10 +213,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "revenue_by_status",
     ):
         q[name] = _question(name)
+    if _llm is not None:
+        q |= _llm.queries()
     return q
 
 
 def oracle_sql() -> dict[str, str]:
     from duckdb_oracle import oracle_sql as _oracle
 
-    return _oracle()
+    return _oracle() | (_llm.oracle_sql() if _llm is not None else {})
