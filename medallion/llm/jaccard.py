@@ -46,11 +46,12 @@ from medallion.llm._components import components
 
 WIDTH = 5
 THRESHOLD = (75, 100)
-GROUPS = 64
+GROUPS = 256
 SKETCH = 48
 SHARED = 13  # P(binomial(48, 0.75) < 13) is 5e-13
 BLOCK = 256
 LEAF = 16
+SMALL = 48  # cells without a tree: three leaves or less on a side
 BLOCK_BYTES = 2 << 20
 
 
@@ -111,51 +112,81 @@ def _verify(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return map_blocks(both, "_a", BLOCK_BYTES, lambda: each, "a long, b long")
 
 
-def _tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed leaves of an R-tree: order of the points, upper corner and least size of each leaf.
+def _tree(points: np.ndarray, size: np.ndarray, root: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Leaves of a packed R-tree, their upper corners, least sizes and roots.
 
-    Sort-tile packing: by size first, then within slices by the widest coordinate.
+    Sort-tile packing: by size first, then within slices by the widest
+    coordinate. Components with enough members to fill a leaf get leaves of
+    their own; 0 stands for the root of mixed leaves.
     """
-    size = points.sum(1)
-    order = np.argsort(size, kind="stable")
-    tile = LEAF * 8
-    for at in range(0, len(order), tile):
-        part = order[at : at + tile]
-        wide = int(np.argmax(points[part].std(0)))
-        order[at : at + tile] = part[np.argsort(points[part, wide], kind="stable")]
-    cuts = np.arange(0, len(order), LEAF)
-    return order, np.maximum.reduceat(points[order], cuts, axis=0), np.minimum.reduceat(size[order], cuts)
-
-
-def _cross(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs whose bound allows a link: nodes first, then points."""
-    lo, lu, ls = _tree(left)
-    ro, ru, rs = _tree(right)
-    bound = np.minimum(lu[:, None, :], ru[None, :, :]).sum(2)
-    out_a, out_b = [], []
-    for i, j in zip(*np.nonzero(bound >= needed(ls[:, None], rs[None, :]))):
-        a, b = lo[i * LEAF : (i + 1) * LEAF], ro[j * LEAF : (j + 1) * LEAF]
-        x, y = left[a], right[b]
-        near = np.minimum(x[:, None, :], y[None, :, :]).sum(2) >= needed(x.sum(1)[:, None], y.sum(1)[None, :])
-        p, q = np.nonzero(near)
-        out_a.append(a[p])
-        out_b.append(b[q])
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
+    names, own, members = np.unique(root, return_inverse=True, return_counts=True)
+    whole = members >= LEAF
+    tree = np.where(whole[own], own + 1, 0)
+    leaves, roots = [], []
+    for t in np.unique(tree):
+        part = np.flatnonzero(tree == t)
+        part = part[np.argsort(size[part], kind="stable")]
+        for at in range(0, len(part), 8 * LEAF):
+            tile = part[at : at + 8 * LEAF]
+            wide = int(np.argmax(points[tile].std(0)))
+            tile = tile[np.argsort(points[tile, wide], kind="stable")]
+            cut = [tile[k : k + LEAF] for k in range(0, len(tile), LEAF)]
+            leaves += cut
+            roots += [names[t - 1] if t else 0] * len(cut)
+    upper = np.stack([points[x].max(0) for x in leaves])
+    return leaves, upper, np.array([size[x].min() for x in leaves]), np.array(roots, np.int64)
+
+
+def _cross(left: np.ndarray, right: np.ndarray, left_root: np.ndarray, right_root: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of unequal roots whose bound allows a link: nodes first, then points."""
+    left_size, right_size = left.sum(1, dtype=np.int64), right.sum(1, dtype=np.int64)
+    if len(left) <= SMALL and len(right) <= SMALL:
+        near = np.minimum(left[:, None], right[None]).sum(2) >= needed(left_size[:, None], right_size[None])
+        return np.nonzero(near & (left_root[:, None] != right_root[None]))
+    a_leaf, a_upper, a_least, a_root = _tree(left, left_size, left_root)
+    b_leaf, b_upper, b_least, b_root = _tree(right, right_size, right_root)
+    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, leaf in enumerate(a_leaf):
+        open_ = np.minimum(a_upper[i], b_upper).sum(1) >= needed(a_least[i], b_least)
+        if a_root[i]:
+            open_ &= b_root != a_root[i]
+        if not open_.any():
+            continue
+        other = np.concatenate([b_leaf[j] for j in np.flatnonzero(open_)])
+        for a in leaf:
+            # sizes first: they are within 4/3 of each other
+            b = other[(right_root[other] != left_root[a]) & (np.minimum(right_size[other], left_size[a]) >= needed(right_size[other], left_size[a]))]
+            b = b[np.minimum(right[b], left[a]).sum(1) >= needed(right_size[b], left_size[a])]
+            out_a.append(np.full(len(b), a))
+            out_b.append(b)
+    return np.concatenate(out_a), np.concatenate(out_b)
 
 
 def _join_cell(table: pa.Table) -> pa.Table:
-    """Pairs across components of one pair of blocks (at most 2 ``BLOCK`` rows or so)."""
+    """Pairs across components of one pair of blocks (at most 2 ``BLOCK`` rows or so),
+    each in the cells of the least shingle that both go by."""
     cls = table.column("_class").to_numpy()
     root = table.column("root").to_numpy()
     block = table.column("_block").to_numpy()
-    points = np.frombuffer(b"".join(table.column("_point").to_pylist()), "<i4").reshape(-1, GROUPS).astype(np.int64)
-    i, j = table.column("_i")[0].as_py(), table.column("_j")[0].as_py()
+    points = np.frombuffer(b"".join(table.column("_point").to_pylist()), "<i4").reshape(-1, GROUPS)
+    points = points.astype(np.uint16) if points.max() < 1 << 16 else points
+    i, j, tok = (table.column(c)[0].as_py() for c in ("_i", "_j", "tok"))
     left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    a, b = _cross(points[left], points[right]) if len(left) and len(right) else (left[:0], right[:0])
+    a, b = _cross(points[left], points[right], root[left], root[right]) if len(left) and len(right) else (left[:0], right[:0])
     a, b = left[a], right[b]
-    keep = (root[a] != root[b]) & ((cls[a] < cls[b]) | (i != j))
-    a, b = cls[a[keep]], cls[b[keep]]
+    keep = (cls[a] < cls[b]) | (i != j)
+    a, b = a[keep], b[keep]
+    if len(a):
+        lesser = [np.array([t for t in x if t < tok], np.int64) for x in table.column("toks").to_pylist()]
+        own = np.zeros((len(lesser), max(1, max(map(len, lesser)))), np.int64)
+        held = np.zeros(own.shape, bool)
+        for r, x in enumerate(lesser):
+            own[r, : len(x)], held[r, : len(x)] = x, True
+        once = np.ones(len(a), bool)
+        for c in range(own.shape[1]):
+            once &= ~((own[b] == own[a, c][:, None]) & held[b] & held[a, c][:, None]).any(1)
+        a, b = a[once], b[once]
+    a, b = cls[a], cls[b]
     return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
@@ -187,20 +218,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     size = F.least(n, F.lit(SKETCH))
     prefix = F.when(4 * n <= 3 * SKETCH, n - F.ceil(n * THRESHOLD[0] / THRESHOLD[1]) + 1).otherwise(size - SHARED + 1)
     left = (prefix - (size - F.size("t"))).cast("int")  # rare ones that nobody shares come first
-    meet = (
-        classes.select("_class", "n_shingles").join(shared, "_class")
+    meeting = (
+        classes.select("_class", "_row", "n_shingles", "_point").join(shared, "_class")
         .where(left > 0)
-        .select("_class", F.explode(F.slice("t", F.lit(1), F.greatest(F.lit(1), left))).alias("x"))
-        .select("_class", "x.tok")
+        # how many others hold its shingles: the text that copies were made from comes before the copies
+        .withColumn("rank", F.aggregate("t", F.lit(0.0), lambda s, x: s + F.log2(x["df"])))
+        .withColumn("toks", F.sort_array(F.transform(F.slice("t", F.lit(1), F.greatest(F.lit(1), left)), lambda x: x["tok"])))
     )
-    meet = written(meet, "meetings")
-
+    meeting = written(meeting.select("_class", "_row", "rank", "toks", "_point"), "meetings")
+    meet = meeting.select("_class", "rank", F.explode("toks").alias("tok"))
+    points = meeting.select("_class", "_point")
     # the texts of the classes that meet anyone
-    alive = classes.join(meet.select("_class").distinct(), "_class", "left_semi")
-    texts = written(
-        rows.select("_row", "_text").join(alive.select("_class", "_row").hint("shuffle_hash"), "_row").select("_class", "_text"), "meeting-texts"
-    )
-    points = alive.select("_class", "_point")
+    texts = rows.select("_row", "_text").join(meeting.select("_class", "_row").hint("shuffle_hash"), "_row")
+    texts = written(texts.select("_class", "_text"), "meeting-texts")
 
     def close(pairs: DataFrame) -> DataFrame:
         """Pairs whose count points allow a link."""
@@ -216,19 +246,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
         return p.select("a", "b", "_pa", "_pb").mapInArrow(run, "a long, b long")
 
-    first = meet.groupBy("tok").agg(F.min("_class").alias("a"))
-    stars = meet.join(first, "tok").where("_class <> a").select("a", F.col("_class").alias("b")).distinct()
+    first = meet.groupBy("tok").agg(F.max(F.struct("rank", "_class"))["_class"].alias("a"))
+    stars = meet.join(first, "tok").where("_class <> a").select(F.least("a", "_class").alias("a"), F.greatest("a", "_class").alias("b")).distinct()
     links = written(_verify(close(stars), texts, width), "links")
     roots = written(components(links), "roots")
 
     rooted = meet.join(roots.withColumnRenamed("vertex", "_class"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
     rooted = written(rooted, "rooted")
-    open_ = rooted.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
+    members = F.sum(F.xxhash64("_class").cast("decimal(38,0)")).alias("members")
+    open_ = rooted.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"), members).where("lo <> hi")
+    # shingles where the same classes meet give the same pairs: the least stands for them
+    open_ = open_.groupBy("n", "members").agg(F.min("tok").alias("tok"))
     cells = rooted.join(open_.select("tok", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")), "tok")
     cells = cells.withColumn("_block", F.pmod(F.xxhash64("_class"), F.col("nb")).cast("int"))
-    cells = cells.join(points, "_class").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    cells = cells.select("tok", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_class", "root", "_point")
-    more = cells.groupBy("tok", "_i", "_j").applyInArrow(_join_cell, "a long, b long").distinct()
+    cells = cells.join(meeting.select("_class", "toks", "_point"), "_class").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    cells = cells.select("tok", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_class", "root", "toks", "_point")
+    more = cells.groupBy("tok", "_i", "_j").applyInArrow(_join_cell, "a long, b long")
     links2 = written(_verify(more, texts, width), "links")
     roots = components(links.unionByName(links2))
 
