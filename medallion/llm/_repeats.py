@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from medallion.llm import _hashing as H
 from medallion.llm._blocks import configure, map_blocks, written
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 #: Contents of an anchor that one bucket takes; with more, its windows are counted one by one.
 HOT = 4096
 _SHIFT, _PLACE = np.uint64(28), np.uint64((1 << 28) - 1)

@@ -52,7 +52,7 @@ SHARED = 13  # P(binomial(48, 0.75) < 13) is 5e-13
 BLOCK = 256
 LEAF = 16
 SMALL = 48  # cells without a tree: three leaves or less on a side
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
