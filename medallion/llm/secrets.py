@@ -17,21 +17,23 @@ different kinds are all kept.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.session import checkpoint_root
 
-# Kind, pattern, the group that the least length applies to, that
-# length, and a cheap sign without which the pattern can't match.
+# Kind, version, pattern, the group that the least length applies to, that
+# length, and words (in small letters) without any of which the pattern can't match.
 _ASSIGN = "(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
 RULES = [
-    ("assign", "v1", _ASSIGN + "[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
-    ("access", "v1", "AKIA[A-Z0-9]+", 1, 18),
-    ("hex", "v1", "[0-9a-f]{16,}", 1, 16),
-    ("github", "v1", "gh[pousr]_[A-Za-z0-9]{36,}", 1, 40),
-    ("private_key", "v1", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 1),
+    ("assign", "v1", _ASSIGN + "[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12, ["password", "passwd", "secret", "token", "apikey", "api_key"]),
+    ("access", "v1", "AKIA[A-Z0-9]+", 1, 18, ["akia"]),
+    ("hex", "v1", "[0-9a-f]{16,}", 1, 16, []),
+    ("github", "v1", "gh[pousr]_[A-Za-z0-9]{36,}", 1, 40, ["ghp_", "gho_", "ghu_", "ghs_", "ghr_"]),
+    ("private_key", "v1", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, 1, ["-----begin "]),
 ]
 BASE = ("assign", "access", "hex")
 KINDS = [r[0] for r in RULES]
@@ -43,10 +45,11 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     """Leftmost non-overlapping matches of the pattern whose group is long enough.
 
     Each match is taken together with the text between it and the one before;
-    the running sum of both lengths gives its place. ``pattern``'s own group, if
-    any, is group 2 here, the whole match group 1.
+    the running sum of both lengths gives its place. The rest of the text is the
+    last step, with an empty match, so that it isn't tried from every character
+    on. ``pattern``'s own group, if any, is group 2 here, the whole match group 1.
     """
-    steps = "(?s)(?:.*?)(" + pattern + ")"
+    steps = "(?s).*?(?:(" + pattern + ")|\\z)"
     whole = F.regexp_extract_all(text, F.lit(steps), F.lit(0))
     match = F.regexp_extract_all(text, F.lit(steps), F.lit(1))
     measured = F.regexp_extract_all(text, F.lit(steps), F.lit(2)) if group == 2 else match
@@ -64,7 +67,10 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
 def findings(text: Column, rules: list[tuple]) -> Column:
     """All spans of the rules; a rule's spans are worked out only where it matches at all."""
     none = F.array().cast(FOUND)
-    parts = [F.when(text.rlike(r[2]), spans_of(text, r[0], r[2], r[3], r[4])).otherwise(none).cast(FOUND) for r in rules]
+    signs = [r[5] for r in rules]
+    # the small letters once for all rules
+    has = F.transform(F.array(F.lower(text)), lambda t: F.array(*[reduce(or_, [t.contains(w) for w in s]) if s else F.lit(True) for s in signs]))[0]
+    parts = [F.when(has[k] & text.rlike(r[2]), spans_of(text, r[0], r[2], r[3], r[4])).otherwise(none).cast(FOUND) for k, r in enumerate(rules)]
     return F.concat(*parts)
 
 
