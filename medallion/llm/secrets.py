@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,14 +64,19 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     )
 
 
-def findings(text: Column, rules: list[tuple]) -> Column:
-    """All spans of the rules; a rule's spans are worked out only where it matches at all."""
-    none = F.array().cast(FOUND)
-    signs = [r[5] for r in rules]
-    # the small letters once for all rules
-    has = F.transform(F.array(F.lower(text)), lambda t: F.array(*[reduce(or_, [t.contains(w) for w in s]) if s else F.lit(True) for s in signs]))[0]
-    parts = [F.when(has[k] & text.rlike(r[2]), spans_of(text, r[0], r[2], r[3], r[4])).otherwise(none).cast(FOUND) for k, r in enumerate(rules)]
-    return F.concat(*parts)
+def signs(text: Column, rules: list[tuple]) -> Column:
+    """A bit for each rule, 0 if the text lacks what every match of the rule holds."""
+    def bits(small):  # the small letters once for all rules
+        each = [reduce(or_, [small.contains(w) for w in r[5]]) if r[5] else text.rlike(r[2]) for r in rules]
+        return reduce(add, [F.when(x, F.lit(1 << k)).otherwise(F.lit(0)) for k, x in enumerate(each)])
+
+    return F.transform(F.array(F.lower(text)), bits)[0]
+
+
+def findings(text: Column, rule: tuple) -> Column:
+    """The rule's spans, worked out only where it matches at all."""
+    _, _, pattern, group, least, _ = rule
+    return F.when(text.rlike(pattern), spans_of(text, rule[0], pattern, group, least)).otherwise(F.array().cast(FOUND)).cast(FOUND)
 
 
 def blob(text: Column) -> Column:
@@ -94,21 +99,23 @@ def scan(versions: DataFrame, keep: list[str], ledger: str, text: str = "text",
     if _exists(spark, ledger):
         seen = spark.read.schema(f"blob string, rule string, found {FOUND}").parquet(ledger)
     # one copy of each blob, by a key that only equal rows share
-    key = F.xxhash64("blob", *keep).alias("_copy")
-    todo = rows.select("blob", key).groupBy("blob").agg(F.min("_copy").alias("_copy"))
+    rows = rows.withColumn("_signs", signs(F.col("_text"), rules)).withColumn("_copy", F.xxhash64("blob", *keep))
+    todo = rows.groupBy("blob").agg(F.min("_copy").alias("_copy"), F.max("_signs").alias("_signs"))
     todo = todo.withColumn("rules", F.array(*map(F.lit, ids)))
     if seen is not None:
         met = seen.where(F.col("rule").isin(ids)).groupBy("blob").agg(F.collect_set("rule").alias("met"))  # one per rule at most
         todo = todo.join(met, "blob", "left").withColumn("rules", F.array_except("rules", F.coalesce("met", F.array().cast("array<string>")))).drop("met")
         todo = todo.where(F.size("rules") > 0)
-    unseen = rows.select("blob", key, "_text").join(todo.hint("shuffle_hash"), ["blob", "_copy"])
+    # the addressing has read every text: rules whose signs it lacks are done, and only texts with signs travel
+    signed = F.array_compact(F.array(*[F.when(F.col("_signs").bitwiseAND(1 << k) != 0, F.lit(i)) for k, i in enumerate(ids)]))
+    clear = todo.select("blob", F.explode(F.array_except("rules", signed)).alias("rule"), F.array().cast(FOUND).alias("found"))
+    due = todo.withColumn("rules", F.array_intersect("rules", signed)).where(F.size("rules") > 0).drop("_signs")
+    unseen = rows.where("_signs <> 0").select("blob", "_copy", "_text").join(due.hint("shuffle_hash"), ["blob", "_copy"])
     fresh = F.array(
-        *[
-            F.struct(F.lit(i).alias("rule"), F.when(F.array_contains("rules", i), findings(F.col("_text"), [r])).alias("found"))
-            for i, r in zip(ids, rules)
-        ]
+        *[F.struct(F.lit(i).alias("rule"), F.when(F.array_contains("rules", i), findings(F.col("_text"), r)).alias("found")) for i, r in zip(ids, rules)]
     )
     done = unseen.select("blob", F.explode(F.filter(fresh, lambda x: x["found"].isNotNull())).alias("x")).select("blob", "x.rule", "x.found")
+    done = done.unionByName(clear)
     done.write.mode("append").parquet(ledger)
     ledgered = spark.read.schema(f"blob string, rule string, found {FOUND}").parquet(ledger)
     order = F.array(*map(F.lit, [r[0] for r in rules]))
@@ -125,7 +132,7 @@ def scan(versions: DataFrame, keep: list[str], ledger: str, text: str = "text",
         )
     )
     salted = hits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    paths = rows.drop("_text").withColumn("_salt", F.pmod(F.xxhash64(*keep), F.lit(SALTS)).cast("int"))
+    paths = rows.drop("_text", "_signs", "_copy").withColumn("_salt", F.pmod(F.xxhash64(*keep), F.lit(SALTS)).cast("int"))
     return paths.join(salted, ["blob", "_salt"], "left").select(*keep, "blob", F.coalesce("findings", F.array().cast(FOUND)).alias("findings"))
 
 
