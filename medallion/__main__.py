@@ -51,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--silver", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
-    s.add_argument("--horizon-days", type=int, default=7)
+    s.add_argument("--horizon-days", type=int, default=None)
     s.add_argument("--archive-dir")
 
     a = p.parse_args(argv)

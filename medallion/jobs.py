@@ -9,6 +9,7 @@ the stored tables and its report is stored too.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,9 @@ from medallion.operators import bronze, quality, silver
 from medallion.plans.warehouse import Warehouse
 from medallion.sources.ndjson import read_lines
 
+# Silver's batch folder of a full refresh.
+REFRESH_BATCH = "refresh"
+
 # Dependency levels of the Gold graph (models in a level are independent).
 GOLD_LEVELS = [
     ["dim_products", "dim_customers", "dim_date", "fct_orders", "fct_order_lifecycle"],
@@ -62,12 +66,17 @@ def compact_bronze(
     same Silver, which is exactly-once by ``event_id`` and keeps the first of
     identical rows. Returns the compacted load ids.
     """
-    loads = [x for x in bronze_loads(spark, bronze_path) if x != into]
-    old = loads[: max(0, len(loads) - keep_recent)]
+    loads = bronze_loads(spark, bronze_path)
+    old = [x for x in loads if x != into][: max(0, len(loads) - keep_recent)]
     if not old:
         return []
+    if into in loads:  # an earlier compaction: its rows stay, the new ones get a folder of their own
+        into = f"{into}-{uuid.uuid4().hex[:12]}"
     rows = bronze.read(spark, bronze_path).where(F.col("_load").isin(old))
     bronze.write_load(rows.select("raw_data", "_source_file", "_ingested_at"), bronze_path, into)
+    written = bronze.read(spark, bronze_path).where(F.col("_load") == into).count()
+    if written != rows.count():
+        raise RuntimeError(f"compaction into {into} wrote {written} rows; the loads are kept")
     fs, root = _fs_and_path(spark, bronze_path)
     jvm = spark.sparkContext._jvm
     for load_id in old:
@@ -88,7 +97,9 @@ def refresh_silver(
     def write(item) -> tuple[str, str]:
         name, spec = item
         path = f"{silver_root.rstrip('/')}/{spec.table}"
-        silver.build(b, name).write.mode("overwrite").parquet(path)
+        # one batch folder, as the stream's own: the stream goes on from a refreshed table
+        rows = silver.build(b, name).withColumn("_batch", F.lit(REFRESH_BATCH))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_batch").parquet(path)
         return name, path
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:

@@ -38,7 +38,9 @@ BROADCAST_FILES = 200_000
 def good_json(value: Column) -> Column:
     """TRUE when ``value`` is one well-formed JSON value."""
     one_value = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
-    return F.coalesce(F.is_valid_utf8(value) & one_value, F.lit(False))
+    # what follows a closing bracket in the line isn't looked at above; as a member it must parse
+    nothing_after = F.json_object_keys(F.concat(F.lit('{"x":'), value, F.lit("}"))).isNotNull()
+    return F.coalesce(F.is_valid_utf8(value) & one_value & nothing_after, F.lit(False))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -180,17 +182,16 @@ BRONZE_TABLE_SCHEMA = (
 def write_load(bronze: DataFrame, path: str, load_id: str) -> None:
     """Write one load into Bronze.
 
-    Bronze is append-only across loads; within a load the write uses dynamic
-    partition overwrite on ``_load=<load_id>``, so re-running the same load
-    (a retried micro-batch) replaces that load's rows instead of doubling them.
+    Bronze is append-only across loads; within a load the whole folder
+    ``_load=<load_id>`` is overwritten, so re-running the same load (a retried
+    micro-batch) replaces all of its rows, also of event types it no longer has.
     """
     (
         with_partition(bronze.where(F.col("raw_data").isNotNull()))
-        .withColumn("_load", F.lit(load_id))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_load", "_event_type")
-        .parquet(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("_event_type")
+        .parquet(f"{path.rstrip('/')}/_load={load_id}")
     )
 
 

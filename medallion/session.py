@@ -67,6 +67,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif not (sc.master or "").startswith("local") or (sc.master or "").startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="medallion-ckpt-"))
     return sc.getCheckpointDir()

@@ -5,12 +5,11 @@ delivery never changes the answer. So each micro-batch is
 
 1. extract + keep-first *within* the batch (exact: earliest ``_ingested_at``),
 2. left-anti join against the event ids already in Silver,
-3. write the survivors to the ``_batch=<id>`` partition with dynamic
-   overwrite, excluding that same partition from step 2 so a replay is
-   idempotent.
+3. write the survivors over the ``_batch=<id>`` folder, which step 2 leaves
+   out, so a replay is idempotent also when its load time differs.
 
 Step 2 is an equi-join on ``event_id`` (a shuffle join AQE can de-skew).
-With ``horizon_days`` set, only Silver partitions ingested within that many
+With ``horizon_days`` set, only Silver rows ingested within that many
 days of the batch are probed — the redelivery window of the queue (7 days
 retention in the source system) — which keeps the per-batch cost
 independent of Silver's total size. ``horizon_days=None`` probes all of
@@ -25,17 +24,18 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from medallion.contracts import SILVER_SPECS
 from medallion.operators import bronze, silver
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The table, or None where nothing was written yet; other errors come out."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p) or not any(st.isDirectory() for st in fs.listStatus(p)):
         return None
+    return spark.read.parquet(path)
 
 
 def _upkeep_one(batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None) -> None:
@@ -45,18 +45,13 @@ def _upkeep_one(batch: DataFrame, tag: str, silver_root: str, name: str, since:
     fresh = silver.dedupe(silver.extract(batch, spec))
     prior = _existing(spark, target)
     if prior is not None:
-        prior = prior.where(F.col("_batch") != tag)
+        prior = prior.where(F.lpad(F.col("_batch").cast("string"), len(tag), "0") != F.lit(tag))  # folder names may be read as numbers
         if since is not None:
-            prior = prior.where(F.col("_ingest_date") >= F.lit(since).cast("date"))
-        fresh = fresh.join(prior.select("event_id"), "event_id", "left_anti")
-    (
-        fresh.withColumn("_ingest_date", F.to_date("_ingested_at"))
-        .withColumn("_batch", F.lit(tag))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_ingest_date", "_batch")
-        .parquet(target)
-    )
+            prior = prior.where(F.to_date("_ingested_at") >= F.lit(since).cast("date"))
+        known = prior.select(F.col("event_id").alias("_known"))
+        fresh = fresh.join(known, F.col("event_id").eqNullSafe(F.col("_known")), "left_anti")
+    # the batch's own folder, replaced whole: a replay, on whatever day, leaves no second copy
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/_batch={tag}")
 
 
 def upkeep_batch(

