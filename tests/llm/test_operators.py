@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from medallion.llm import bpe, decontaminate, jaccard, languages, quality, secrets, substrings, suffixes, token_counts, topk
 from medallion.llm._components import components
@@ -107,7 +108,7 @@ def test_secrets_ledger(spark, docs, tmp_path):
     again = secrets.scan(docs, ["doc_id"], ledger)
     assert spark.read.parquet(ledger).count() == n  # nothing unseen
     assert {r.doc_id: len(r.findings) for r in again.collect()} == {k: len(v) for k, v in found.items()}
-    red = again.join(docs.select("doc_id", "text"), "doc_id").where("doc_id = 10").select(secrets.redact(docs["text"], again["findings"])).first()[0]
+    red = again.join(docs.select("doc_id", "text"), "doc_id").where("doc_id = 10").select(secrets.redact(F.col("text"), F.col("findings"))).first()[0]
     assert red == "[assign]; [access] äöü [hex] token: x"
 
 
