@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
 1. ``language_id``: documents whose language can't be told go (no letters, or
-   no language has half of the letters).
+   no language has a quarter of the letters).
 2. ``ngram_jaccard``: of each group of near duplicates one document stays.
 3. ``decontaminate``: documents contaminated by ``benchmark`` go.
 4. ``secret_scan``: each secret gives way to [kind]; n_chars follows.
@@ -20,7 +20,7 @@ from medallion.llm import bpe, decontaminate, jaccard, languages, secrets
 from medallion.llm._blocks import written
 
 #: Least share of a text's letters that its language must have.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.25
 #: SQL can't express BPE, Viterbi or the components; the stages are tested against brute force.
 ORACLE_SQL = None
 
