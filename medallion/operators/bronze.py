@@ -198,3 +198,13 @@ def write_load(bronze: DataFrame, path: str, load_id: str) -> None:
 def read(spark, path: str) -> DataFrame:
     """Bronze table as written by ``write_load`` (3 logical columns + 2 dirs)."""
     return spark.read.schema(BRONZE_TABLE_SCHEMA).parquet(path)
+
+
+def read_load(spark, path: str, load_id: str) -> DataFrame:
+    """One load of the Bronze table; only its own folder is listed."""
+    root = path.rstrip("/")
+    return (
+        spark.read.schema(BRONZE_TABLE_SCHEMA)
+        .option("basePath", root)
+        .parquet(f"{root}/_load={load_id}")
+    )

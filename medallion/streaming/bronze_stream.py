@@ -70,9 +70,9 @@ def start_ingest_stream(
     """Landing -> Bronze -> Silver in ONE stream (chained upkeep).
 
     Each micro-batch writes its Bronze load, then keeps Silver up to date
-    from exactly that load (read back by partition pruning, so lines are
-    parsed once). Nothing lists the ever-growing Bronze table, which a second
-    file-source stream over Bronze would do on every trigger.
+    from exactly that load, read back from the load's own folder (lines are
+    parsed once). The rest of Bronze isn't listed, which a second file-source
+    stream over Bronze would do on every trigger.
     """
     from medallion.streaming.silver_stream import upkeep_batch
 
@@ -83,7 +83,7 @@ def start_ingest_stream(
         bronze.load_and_write(
             batch, bronze_path, load_id, max_bad_ratio=max_bad_ratio, max_files=max_files_per_trigger
         )
-        loaded = bronze.read(spark, bronze_path).where(f"_load = '{load_id}'")
+        loaded = bronze.read_load(spark, bronze_path, load_id)
         upkeep_batch(loaded, batch_id, silver_root, horizon_days=horizon_days)
 
     return (

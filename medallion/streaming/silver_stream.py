@@ -8,7 +8,8 @@ delivery never changes the answer. So each micro-batch is
 3. write the survivors over the ``_batch=<id>`` folder, which step 2 leaves
    out, so a replay is idempotent also when its load time differs.
 
-Step 2 is an equi-join on ``event_id`` (a shuffle join AQE can de-skew).
+Step 2 reads the stored ids only; a batch of checked size is broadcast to them,
+so history isn't shuffled, and a larger one is a shuffle join that AQE can de-skew.
 With ``horizon_days`` set, only Silver rows ingested within that many
 days of the batch are probed — the redelivery window of the queue (7 days
 retention in the source system) — which keeps the per-batch cost
@@ -21,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +30,12 @@ from pyspark.sql.streaming import StreamingQuery
 from medallion.contracts import SILVER_SPECS
 from medallion.operators import bronze, silver
 
+# Largest batch, in rows and in bytes of ids, whose ids are broadcast to the stored ones.
+BROADCAST_IDS = 1_000_000
+BROADCAST_ID_BYTES = 32 << 20
+# What upkeep reads of a stored table; the batch folders' names as text.
+STORED_IDS = "event_id string, _ingested_at timestamp_ntz, _batch string"
+
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None where nothing was written yet; other errors come out."""
@@ -35,23 +43,42 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p) or not any(st.isDirectory() for st in fs.listStatus(p)):
         return None
-    return spark.read.parquet(path)
+    return spark.read.schema(STORED_IDS).parquet(path)
+
+
+def _without_known(fresh: DataFrame, known: DataFrame) -> DataFrame:
+    """``fresh`` without the ids in ``known`` (``_known``), null-safe.
+
+    The ids of a batch of at most ``BROADCAST_IDS`` rows and ``BROADCAST_ID_BYTES``
+    are broadcast to the scan of the stored ids, so history is read (its id
+    column only) but never shuffled; what it shares with the batch is at most
+    the batch. A larger batch meets history in a shuffle join.
+    """
+    same = F.col("event_id").eqNullSafe(F.col("_known"))
+    ids = fresh.select("event_id")
+    rows, size = ids.agg(F.count(F.lit(1)), F.sum(F.octet_length("event_id"))).first()
+    if rows <= BROADCAST_IDS and (size or 0) <= BROADCAST_ID_BYTES:
+        known = known.join(F.broadcast(ids), same, "left_semi").select("_known")
+    return fresh.join(known, same, "left_anti")
 
 
 def _upkeep_one(batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None) -> None:
     spark = batch.sparkSession
     spec = SILVER_SPECS[name]
     target = f"{silver_root}/{spec.table}"
-    fresh = silver.dedupe(silver.extract(batch, spec))
+    fresh = batch_rows = silver.dedupe(silver.extract(batch, spec))
     prior = _existing(spark, target)
     if prior is not None:
-        prior = prior.where(F.lpad(F.col("_batch").cast("string"), len(tag), "0") != F.lit(tag))  # folder names may be read as numbers
+        prior = prior.where(F.col("_batch") != F.lit(tag))
         if since is not None:
             prior = prior.where(F.to_date("_ingested_at") >= F.lit(since).cast("date"))
         known = prior.select(F.col("event_id").alias("_known"))
-        fresh = fresh.join(known, F.col("event_id").eqNullSafe(F.col("_known")), "left_anti")
+        fresh = _without_known(fresh.persist(StorageLevel.MEMORY_AND_DISK), known)
     # the batch's own folder, replaced whole: a replay, on whatever day, leaves no second copy
-    fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/_batch={tag}")
+    try:
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/_batch={tag}")
+    finally:
+        batch_rows.unpersist()
 
 
 def upkeep_batch(

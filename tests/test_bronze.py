@@ -124,3 +124,13 @@ def test_silver_replay_refresh_and_null_ids(spark, tmp):
     jobs.refresh_silver(spark, path, silver)
     upkeep_batch(bronze.read(spark, path), 2, silver, [name])
     assert read_silver(spark, silver, name).count() == n
+
+
+def test_a_load_is_read_from_its_own_folder(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    for load_id in ("a", "b"):
+        lines = spark.createDataFrame([(f'{{"event_id":"{load_id}","event_type":"order_created"}}', "f")], "value string, _source_file string")
+        bronze.load_and_write(lines, path, load_id)
+    one = bronze.read_load(spark, path, "b")
+    assert all("/_load=b/" in f for f in one.inputFiles())
+    assert [(r._load, r._event_type) for r in one.select("_load", "_event_type").collect()] == [("b", "order_created")]
