@@ -123,6 +123,30 @@ def _dq(test: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q01-Q05 with checks that the data break: ids of ``orders_created`` events
+    before keep-first (redelivered ones repeat), keys that facts repeat, columns
+    that stay empty until a status is reached, and statuses outside short lists."""
+    from medallion.operators import silver
+
+    w = _warehouse(spark, sf_dir)
+    delivered = silver.extract(fixtures.fixture_bronze(spark, sf_dir), "orders_created")
+    relations = {"delivered_orders_created": delivered, "fct_orders": w.fct_orders,
+                 "fct_order_lifecycle": w.fct_order_lifecycle, "dim_date": w.dim_date}
+    check = quality.Check
+    return quality.run(relations, [
+        check("delivered_orders_created", "event_id", "unique"),
+        check("fct_order_lifecycle", "order_id", "unique"),
+        check("fct_orders", "customer_sk", "unique"),
+        check("fct_orders", "paid_at", "not_null"),
+        check("fct_orders", "delivered_at", "not_null"),
+        check("fct_orders", "current_status", "accepted_values", ("created", "delivered")),
+        check("fct_order_lifecycle", "old_status", "accepted_values", ("created",)),
+        check("fct_order_lifecycle", "new_status", "accepted_values", ("paid", "shipped", "delivered")),
+        check("fct_order_lifecycle", "changed_date_key", "relationships", to="dim_date", field="date_key"),
+    ])
+
+
 def stream_silver_orders_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture's two deliveries landed as NDJSON files, ingested by
     the Bronze stream and kept up by the Silver stream (``availableNow`` runs,
@@ -202,6 +226,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[name] = _model(name)
     for t in ("unique", "not_null", "accepted_values", "relationships"):
         q[f"dq_{t}"] = _dq(t)
+    q["dq_violations"] = dq_violations
     for name in (
         "avg_days_to_delivery",
         "aov_by_state",

@@ -349,6 +349,22 @@ FROM tele_files""")
     # Quality
     for t in ("unique", "not_null", "accepted_values", "relationships"):
         q[f"dq_{t}"] = quality_sql(t)
+    repeated = "(SELECT {0} FROM {1} GROUP BY {0} HAVING count(*) > 1)"
+    q["dq_violations"] = _with(f"""
+SELECT 'delivered_orders_created' AS relation, 'event_id' AS column_name, 'unique' AS test, count(*) AS failures
+FROM oc_base WHERE k % 10 = 0
+UNION ALL SELECT 'fct_order_lifecycle', 'order_id', 'unique', count(*) FROM {repeated.format("order_id", "fct_order_lifecycle")}
+UNION ALL SELECT 'fct_orders', 'customer_sk', 'unique', count(*) FROM {repeated.format("customer_sk", "fct_orders")}
+UNION ALL SELECT 'fct_orders', 'paid_at', 'not_null', count(*) FROM fct_orders WHERE paid_at IS NULL
+UNION ALL SELECT 'fct_orders', 'delivered_at', 'not_null', count(*) FROM fct_orders WHERE delivered_at IS NULL
+UNION ALL SELECT 'fct_orders', 'current_status', 'accepted_values',
+  count(DISTINCT current_status) FROM fct_orders WHERE current_status NOT IN ('created', 'delivered')
+UNION ALL SELECT 'fct_order_lifecycle', 'old_status', 'accepted_values',
+  count(DISTINCT old_status) FROM fct_order_lifecycle WHERE old_status <> 'created'
+UNION ALL SELECT 'fct_order_lifecycle', 'new_status', 'accepted_values',
+  count(DISTINCT new_status) FROM fct_order_lifecycle WHERE new_status NOT IN ('paid', 'shipped', 'delivered')
+UNION ALL SELECT 'fct_order_lifecycle', 'changed_date_key', 'relationships', count(*)
+FROM fct_order_lifecycle c ANTI JOIN dim_date d ON c.changed_date_key = d.date_key""")
     # Questions
     q["avg_days_to_delivery"] = _with("""
 SELECT count(days_to_delivered) AS delivered_orders,

@@ -8,8 +8,8 @@ Failures are counted the way the declared tests define them:
 * ``relationships``   — number of child rows whose non-NULL key is missing
   from the parent.
 
-Cost per relation: ONE aggregate pass for all its ``not_null`` and
-``accepted_values`` tests together, ONE partially aggregated exchange for all
+Cost per relation: ONE pass for all its ``not_null`` and
+``accepted_values`` tests together that shuffles violations only, ONE partially aggregated exchange for all
 its ``unique`` columns (stacked as ``(column, value)`` pairs), and one
 left-anti join per relationship. Reports are DataFrames, so a suite over
 many relations is a single union the caller can write or collect (it has
@@ -179,18 +179,26 @@ def unique_many(df: DataFrame, rel: str, cols: list[str]) -> DataFrame:
 
 
 def column_checks(df: DataFrame, rel: str, checks: list[Check]) -> DataFrame:
-    """All not_null and accepted_values checks of one relation in one pass."""
-    exprs, meta = [], []
+    """All not_null and accepted_values checks of one relation in one pass.
+
+    Rows that violate nothing are filtered out first (a predicate the scan can
+    take); the violations left are stacked as ``(check, value)`` pairs and
+    counted per pair, so no row of the relation is multiplied by its checks.
+    """
+    bad, items, counts, meta = [], [], [], []
     for i, ch in enumerate(checks):
         c = _q(ch.column)
         if ch.test == "not_null":
-            e = f"count_if({c} IS NULL)"
+            cond, value, count = f"{c} IS NULL", "CAST(NULL AS STRING)", "`count`"
         else:
             values = ", ".join(_sql_lit(v) for v in ch.values)
-            e = f"count(DISTINCT CASE WHEN {c} IS NOT NULL AND NOT {c} IN ({values}) THEN {c} END)"
-        exprs.append(f"CAST({e} AS BIGINT) AS c{i}")
+            cond, value, count = f"{c} IS NOT NULL AND NOT {c} IN ({values})", f"CAST({c} AS STRING)", "1L"
+        bad.append(f"({cond})")
+        items.append(f"CASE WHEN {cond} THEN struct({i} AS k, {value} AS v) END")
+        counts.append(f"CAST(coalesce(sum(CASE WHEN k = {i} THEN {count} END), 0) AS BIGINT) AS c{i}")
         meta.append((ch.column, ch.test, f"c{i}"))
-    return _stack(df.selectExpr(*exprs), rel, meta)
+    violations = df.where(" OR ".join(bad)).selectExpr(f"inline(array_compact(array({', '.join(items)})))")
+    return _stack(violations.groupBy("k", "v").count().selectExpr(*counts), rel, meta)
 
 
 def relationships(child: DataFrame, rel: str, col: str, parent: DataFrame, field: str) -> DataFrame:

@@ -166,8 +166,7 @@ class Warehouse:
         return questions.status_transitions(self.fct_order_lifecycle)
 
     def changes_over_time(self) -> DataFrame:
-        cal = dimensions.calendar_spanning(self.fct_order_lifecycle, "changed_at")
-        return questions.changes_over_time(self.fct_order_lifecycle, cal)
+        return questions.changes_over_time(self.fct_order_lifecycle)
 
     def revenue_seasonality(self) -> DataFrame:
         return questions.revenue_seasonality(self.mart_daily_revenue)

@@ -15,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 NAMES = ["bronze_reject_gate", "silver_customers_updated", "dim_customers", "fct_orders",
          "fct_order_lifecycle", "mart_daily_revenue", "mart_order_funnel", "dq_not_null",
-         "transition_gaps"]
+         "transition_gaps", "changes_over_time", "dq_violations"]
 
 
 @pytest.fixture(scope="module")

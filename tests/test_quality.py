@@ -29,3 +29,14 @@ def test_suite_declares_117_tests():
     c = Counter(x.test for x in quality.SUITE)
     assert len(quality.SUITE) == 117
     assert c == {"not_null": 79, "unique": 21, "accepted_values": 12, "relationships": 5}
+
+
+def test_column_checks_multiply_no_rows_and_report_no_failure_as_zero(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "b", None), (2, None, "z")], "k int, name string, kind string")
+    checks = [Check("r", "k", "accepted_values", (1,)), Check("r", "name", "accepted_values", ("a", "b")),
+              Check("r", "k", "not_null"), Check("r", "kind", "not_null")]
+    rep = quality.column_checks(df, "r", checks)
+    assert [r.failures for r in rep.collect()] == [1, 0, 0, 2]
+    assert "Expand" not in rep._jdf.queryExecution().executedPlan().toString()
+    none = quality.column_checks(df.where("false"), "r", checks)
+    assert [r.failures for r in none.collect()] == [0, 0, 0, 0]
