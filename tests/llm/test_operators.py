@@ -184,3 +184,18 @@ def test_empty_tables(docs, spark):
     assert suffixes.remove_repeats(none, ["doc_id"]).count() == substrings.remove_repeats(none, ["doc_id"]).count() == 0
     assert decontaminate.scan(docs, spark.createDataFrame([], "item_id long, text string"), ["doc_id"]).where("n_hit > 0").count() == 0
     assert secrets.scan(none, ["doc_id"], secrets.new_ledger(spark)).count() == 0
+
+
+def test_topk_by_uneven_segments(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(150, 22)).tolist()
+    rows = list(enumerate(vectors)) + [(150 + i, vectors[0]) for i in range(20)]
+    index = topk.codes(spark.createDataFrame(rows, "id long, e array<double>"), "id", "e", 22, 6)
+    got = topk.search(index, index.where("id % 25 = 0"), 3, 22, 6).collect()
+    want = []
+    for q, v in rows:
+        if q % 25 == 0:
+            near = sorted((sum((a > 0) != (b > 0) for a, b in zip(v, w)), i) for i, w in rows if i != q)[:3]
+            want += [(q, r + 1, i, d) for r, (d, i) in enumerate(near)]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert [topk.fitting(n) for n in (0, 4 * 2**10, 2**60)] == [1, 10, topk.WIDEST]
