@@ -16,10 +16,11 @@ LAYERS = ("bronze", "silver", "gold")
 
 def qualify(layer: str, name: str, env: str = "dev", custom_schema: str | None = None) -> str:
     """Layer routing (S14): ``<env>_<layer>.<name>``; a custom schema name is
-    used verbatim (no prefix), as the source project's routing macro does."""
-    if layer not in LAYERS and custom_schema is None:
+    used trimmed, with no prefix, as the source project's routing macro does."""
+    custom = (custom_schema or "").strip()
+    if layer not in LAYERS and not custom:
         raise ValueError(f"unknown layer {layer!r}")
-    schema = custom_schema if custom_schema else f"{env}_{layer}"
+    schema = custom or f"{env}_{layer}"
     return f"{schema}.{name}"
 
 

@@ -73,9 +73,11 @@ def _upkeep_one(batch: DataFrame, tag: str, silver_root: str, name: str, since:
         if since is not None:
             prior = prior.where(F.to_date("_ingested_at") >= F.lit(since).cast("date"))
         known = prior.select(F.col("event_id").alias("_known"))
-        fresh = _without_known(fresh.persist(StorageLevel.MEMORY_AND_DISK), known)
-    # the batch's own folder, replaced whole: a replay, on whatever day, leaves no second copy
+        batch_rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if prior is not None:
+            fresh = _without_known(batch_rows, known)
+        # the batch's own folder, replaced whole: a replay, on whatever day, leaves no second copy
         fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/_batch={tag}")
     finally:
         batch_rows.unpersist()

@@ -50,3 +50,10 @@ def test_partitioned_table_write_is_a_full_replace(spark, tmp):
     materialize.write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string"), path, partition_by=["k"])
     materialize.write_table(spark.createDataFrame([(3, "a")], "id int, k string"), path, partition_by=["k"])
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3]
+
+
+def test_custom_schema_is_trimmed():
+    from medallion.materialize import qualify
+
+    assert qualify("gold", "t", custom_schema=" marts ") == "marts.t"
+    assert qualify("gold", "t", custom_schema="  ") == "dev_gold.t"
