@@ -30,8 +30,9 @@ from pyspark.sql import functions as F  # noqa: E402
 from medallion.operators import bronze, quality  # noqa: E402
 from medallion.plans import dimensions  # noqa: E402
 from medallion.plans.warehouse import Warehouse  # noqa: E402
-from medallion.session import apply_conf  # noqa: E402
+from medallion.session import apply_conf, scratch_path  # noqa: E402
 from medallion.sources import fixtures  # noqa: E402
+from medallion.sources.ndjson import read_lines  # noqa: E402
 
 # The training-data operators are a subpackage that may be absent.
 _llm = None
@@ -48,7 +49,7 @@ def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse.from_bronze(
         spark,
         fixtures.fixture_bronze(spark, sf_dir),
-        checkpoint=True,
+        store=scratch_path(spark, "silver"),
         calendar_start=CALENDAR[0],
         calendar_end=CALENDAR[1],
     )
@@ -60,13 +61,18 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both fixture loads through the Bronze parser and file gate."""
+    """Both deliveries landed as NDJSON files, each read back
+    and loaded through the parser and the file gate."""
     apply_conf(spark)
-    b = fixtures.fixture_bronze(spark, sf_dir)
-    return b.select(
+    root = scratch_path(spark, "load-fixture")
+    loads = (fixtures.FIRST_LOAD_AT, fixtures.REDELIVERY_AT)
+    for i, (lines, at) in enumerate(zip(fixtures.deliveries(spark, sf_dir), loads)):
+        fixtures.write_landing(lines, f"{root}/landing/d{i}")
+        bronze.load_and_write(read_lines(spark, f"{root}/landing/d{i}"), f"{root}/bronze", f"d{i}", at)
+    return bronze.read(spark, f"{root}/bronze").select(
         F.try_variant_get("raw_data", "$.event_id", "string").alias("event_id"),
         bronze.event_type().alias("event_type"),
-        "_source_file",
+        fixtures.logical_file("_source_file").alias("_source_file"),
         "_ingested_at",
     )
 
@@ -110,11 +116,13 @@ def _dq(test: str) -> Callable[[SparkSession, str], DataFrame]:
         built: dict[str, DataFrame] = {}
 
         def rel(name: str) -> DataFrame:
-            # each checked relation is computed once (lineage cut), as the
-            # suite runs over written tables in production
+            # each checked relation is written once, as the suite runs over
+            # stored tables in production; a check reads its own columns
             if name not in built:
                 df = w.silver[name[3:]] if name.startswith("dt_") else w.model(name)
-                built[name] = df.checkpoint(eager=True)
+                path = scratch_path(spark, f"dq-{name}")
+                df.write.parquet(path)
+                built[name] = spark.read.parquet(path)
             return built[name]
 
         return quality.run(rel, tests=[test])
@@ -130,7 +138,7 @@ def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from medallion.operators import silver
 
     w = _warehouse(spark, sf_dir)
-    delivered = silver.extract(fixtures.fixture_bronze(spark, sf_dir), "orders_created")
+    delivered = silver.extract(w.silver.bronze, "orders_created")
     relations = {"delivered_orders_created": delivered, "fct_orders": w.fct_orders,
                  "fct_order_lifecycle": w.fct_order_lifecycle, "dim_date": w.dim_date}
     check = quality.Check
@@ -147,16 +155,19 @@ def dq_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def _kept_delivery(table: DataFrame, name: str) -> DataFrame:
+    from medallion.contracts import SILVER_SPECS
+
+    return table.select(*[f.name for f in SILVER_SPECS[name].fields],
+                        fixtures.logical_file("_source_file").alias("_source_file"))
+
+
 def stream_silver_orders_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture's two deliveries landed as NDJSON files, ingested by
     the Bronze stream and kept up by the Silver stream (``availableNow`` runs,
-    one per delivery); returns Silver ``orders_created``'s event columns.
-
-    ``_source_file`` (the physical part-file path) and ``_ingested_at`` (the
-    stream's wall clock) depend on the run and are left out.
+    one per delivery); returns Silver ``orders_created`` with the file of the kept
+    delivery. ``_ingested_at`` (the stream's wall clock) is left out.
     """
-    from medallion.contracts import SILVER_SPECS
-    from medallion.session import scratch_path
     from medallion.streaming import run_available_now, start_bronze_stream, start_silver_stream
     from medallion.streaming.silver_stream import read_silver
 
@@ -171,37 +182,62 @@ def stream_silver_orders_created(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_available_now(lambda t: start_silver_stream(
             spark, bronze_path, silver_root, f"{root}/_ckpt_silver", trigger=t,
             names=["orders_created"]))
-    spec = SILVER_SPECS["orders_created"]
-    return read_silver(spark, silver_root, "orders_created").select(
-        *[f.name for f in spec.fields]
-    )
+    return _kept_delivery(read_silver(spark, silver_root, "orders_created"), "orders_created")
 
 
-def stream_ingest_orders_status_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T01-T04 through the chained stream: the fixture's two deliveries landed
+def _stream_ingest(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from medallion.streaming import run_available_now, start_ingest_stream
+        from medallion.streaming.silver_stream import read_silver
+
+        apply_conf(spark)
+        root = scratch_path(spark, "ingest-fixture")
+        landing = f"{root}/landing"
+        for lines in fixtures.deliveries(spark, sf_dir):
+            fixtures.write_landing(lines, landing)
+            run_available_now(lambda t: start_ingest_stream(
+                spark, landing, f"{root}/bronze", f"{root}/silver", f"{root}/_ckpt", trigger=t,
+                max_files_per_trigger=100_000))
+        return _kept_delivery(read_silver(spark, f"{root}/silver", name), name)
+
+    q.__doc__ = f"""T01-T04 through the chained stream: the fixture's two deliveries landed
     as NDJSON files and run through ``start_ingest_stream`` (each micro-batch
-    writes its Bronze load and keeps all four Silver tables from that load),
-    one ``availableNow`` run per delivery; returns Silver
-    ``orders_status_changed``'s event columns (run-dependent file paths and
-    load times left out).
-    """
+    writes its Bronze load and keeps all four Silver tables from that load), one
+    ``availableNow`` run per delivery; returns Silver ``{name}`` with the
+    file of the kept delivery (the stream's load times are left out)."""
+    return q
+
+
+def stream_replay_compact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver upkeep through what happens to a running system.
+    The first delivery's batch is replayed with a load time on another day, the
+    redelivery follows, Bronze is compacted twice into one id, Silver is refreshed
+    from it and the redelivery comes once more. Returns each Silver table's ids as
+    ``Warehouse.from_tables`` reads them, with the kept delivery's file and load time."""
+    from medallion import jobs
     from medallion.contracts import SILVER_SPECS
-    from medallion.session import scratch_path
-    from medallion.streaming import run_available_now, start_ingest_stream
-    from medallion.streaming.silver_stream import read_silver
+    from medallion.streaming import upkeep_batch
 
     apply_conf(spark)
-    root = scratch_path(spark, "ingest-fixture")
-    landing = f"{root}/landing"
-    for lines in fixtures.deliveries(spark, sf_dir):
-        fixtures.write_landing(lines, landing)
-        run_available_now(lambda t: start_ingest_stream(
-            spark, landing, f"{root}/bronze", f"{root}/silver", f"{root}/_ckpt", trigger=t,
-            max_files_per_trigger=100_000))
-    spec = SILVER_SPECS["orders_status_changed"]
-    return read_silver(spark, f"{root}/silver", "orders_status_changed").select(
-        *[f.name for f in spec.fields]
-    )
+    root = scratch_path(spark, "upkeep-fixture")
+    path, silver_root = f"{root}/bronze", f"{root}/silver"
+    first, again = fixtures.deliveries(spark, sf_dir)
+
+    def batch(lines: DataFrame, batch_id: int, at: str) -> None:
+        load_id = f"s{batch_id:012d}"
+        bronze.load_and_write(lines, path, load_id, at)
+        upkeep_batch(bronze.read_load(spark, path, load_id), batch_id, silver_root)
+
+    batch(first, 0, "2025-12-31 23:59:00")
+    batch(first, 0, fixtures.FIRST_LOAD_AT)
+    batch(again, 1, fixtures.REDELIVERY_AT)
+    jobs.compact_bronze(spark, path, "c0", keep_recent=1)
+    jobs.compact_bronze(spark, path, "c0", keep_recent=0)
+    jobs.refresh_silver(spark, path, silver_root)
+    batch(again, 2, "2026-01-09 00:00:00")
+    kept = Warehouse.from_tables(spark, silver_root).silver
+    parts = [kept[n].select(F.lit(n).alias("table_name"), "event_id", "_source_file", "_ingested_at") for n in SILVER_SPECS]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2].unionAll(parts[3]))
 
 
 def dim_date_spanning(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +257,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["dim_customers"] = _model("dim_customers")
     q["dim_date"] = dim_date_spanning
     q["stream_silver_orders_created"] = stream_silver_orders_created
-    q["stream_ingest_orders_status_changed"] = stream_ingest_orders_status_changed
+    for name in ("orders_status_changed", "customers_registered", "customers_updated"):
+        q[f"stream_ingest_{name}"] = _stream_ingest(name)
+    q["stream_replay_compact_refresh"] = stream_replay_compact_refresh
     for name in ("fct_orders", "fct_order_lifecycle", "mart_daily_revenue", "mart_order_funnel"):
         q[name] = _model(name)
     for t in ("unique", "not_null", "accepted_values", "relationships"):

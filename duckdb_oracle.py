@@ -329,12 +329,14 @@ FROM tele_files""")
         q[f"stg_{name}"] = _with(f"SELECT * FROM stg_{name}")
     q["stream_silver_orders_created"] = _with(
         "SELECT event_id, event_timestamp, event_version, order_id, customer_id, amount, "
-        "currency, item_count FROM dt_orders_created"
-    )
-    q["stream_ingest_orders_status_changed"] = _with(
-        "SELECT event_id, event_timestamp, event_version, order_id, old_status, new_status "
-        "FROM dt_orders_status_changed"
+        "currency, item_count, _source_file FROM dt_orders_created"
     )
+    for name in ("orders_status_changed", "customers_registered", "customers_updated"):
+        q[f"stream_ingest_{name}"] = _with(f"SELECT * EXCLUDE (_ingested_at) FROM {SILVER_COLS[name]}")
+    q["stream_replay_compact_refresh"] = _with(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, event_id, _source_file, _ingested_at FROM {dt}"
+        for name, dt in SILVER_COLS.items()
+    ))
     # Gold
     q["dim_customers"] = _with("SELECT * FROM dim_customers")
     span = (

@@ -12,8 +12,12 @@ import sys
 from pyspark.sql import SparkSession
 
 from medallion import jobs
+from medallion.contracts import SILVER_SPECS
 from medallion.session import apply_conf, sizing
 
+# Share of its input that a job shuffles: loads and compactions exchange per-file counts only.
+JOB_SHUFFLE = {"load": 0.0, "compact": 0.0}
+
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="medallion")
@@ -24,13 +28,17 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("load", help="batch load landing files into Bronze")
     s.add_argument("--landing", required=True)
     s.add_argument("--bronze", required=True)
-    s.add_argument("--load-id", required=True)
+    s.add_argument("--load-id", help="load every file under this id; without it, files not loaded before")
 
     s = sub.add_parser("compact", help="rewrite old Bronze loads into one load")
     s.add_argument("--bronze", required=True)
     s.add_argument("--into", required=True, help="load id of the compacted load")
     s.add_argument("--keep-recent", type=int, default=60)
 
+    s = sub.add_parser("compact-silver", help="rewrite old Silver batch folders into one per table")
+    s.add_argument("--silver", required=True)
+    s.add_argument("--keep-recent", type=int, default=60)
+
     s = sub.add_parser("refresh", help="full refresh of Silver from Bronze")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", help="Silver root folder (Parquet)")
@@ -44,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--calendar-end", default="2027-12-31")
     s.add_argument("--threads", type=int, default=4)
     s.add_argument("--fail-on-test", action="store_true")
+    s.add_argument("--env", help="publish the models as catalog views <env>_gold.<model>")
+    s.add_argument("--schema", help="publish into this schema instead (with --env)")
 
     s = sub.add_parser("stream", help="landing -> Bronze -> Silver upkeep stream")
     s.add_argument("--landing", required=True)
@@ -53,19 +63,26 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--horizon-days", type=int, default=None)
     s.add_argument("--archive-dir")
+    s.add_argument("--quarantine", action="store_true", help="set rows with uncastable values aside")
 
     a = p.parse_args(argv)
     spark = apply_conf(SparkSession.builder.appName(f"medallion-{a.cmd}").getOrCreate())
     if a.input_bytes and a.cores:
-        for k, v in sizing(a.input_bytes, a.cores).items():
+        for k, v in sizing(a.input_bytes, a.cores, JOB_SHUFFLE.get(a.cmd, 0.3)).items():
             spark.conf.set(k, v)
 
     if a.cmd == "load":
-        jobs.load(spark, a.landing, a.bronze, a.load_id)
-        print(f"loaded {a.landing} as {a.load_id}")
+        if a.load_id:
+            jobs.load(spark, a.landing, a.bronze, a.load_id)
+        else:
+            jobs.load_new(spark, a.landing, a.bronze)
+        print(f"loaded {a.landing} as {a.load_id or 'new files'}")
     elif a.cmd == "compact":
         old = jobs.compact_bronze(spark, a.bronze, a.into, a.keep_recent)
         print(f"compacted {len(old)} loads into {a.into}")
+    elif a.cmd == "compact-silver":
+        for name in SILVER_SPECS:
+            print(f"{name}: {len(jobs.compact_silver(spark, a.silver, name, a.keep_recent))} folders")
     elif a.cmd == "refresh":
         if a.buckets and a.database:
             out = jobs.refresh_silver_bucketed(spark, a.bronze, a.database, a.buckets)
@@ -75,7 +92,8 @@ def main(argv: list[str] | None = None) -> int:
             p.error("refresh needs --silver, or --database with --buckets")
         print("\n".join(f"{k}: {v}" for k, v in out.items()))
     elif a.cmd == "build":
-        report = jobs.build(spark, a.silver, a.gold, (a.calendar_start, a.calendar_end), threads=a.threads)
+        report = jobs.build(spark, a.silver, a.gold, (a.calendar_start, a.calendar_end),
+                            threads=a.threads, env=a.env, custom_schema=a.schema)
         failing = report.where("failures > 0").orderBy("relation", "column_name", "test")
         rows = failing.collect()  # one row per failing declared test (at most 117)
         for r in rows:
@@ -92,6 +110,7 @@ def main(argv: list[str] | None = None) -> int:
             horizon_days=a.horizon_days,
             clean_source="archive" if a.archive_dir else None,
             archive_dir=a.archive_dir,
+            quarantine=a.quarantine,
         )
         q.awaitTermination()
     return 0

@@ -9,6 +9,7 @@ the stored tables and its report is stored too.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,6 +21,7 @@ from medallion import materialize
 from medallion.operators import bronze, quality, silver
 from medallion.plans.warehouse import Warehouse
 from medallion.sources.ndjson import read_lines
+from medallion.streaming import run_available_now, start_bronze_stream
 
 # Silver's batch folder of a full refresh.
 REFRESH_BATCH = "refresh"
@@ -36,10 +38,24 @@ def load(spark: SparkSession, landing: str, bronze_path: str, load_id: str) -> N
 
     No file list is pulled into Python: the gate resolves and counts the
     accepted files on the cluster before deciding to broadcast them.
+    Every file under ``landing`` is read; ``load_new`` reads each file once.
     """
     bronze.load_and_write(read_lines(spark, landing), bronze_path, load_id)
 
 
+def load_new(spark: SparkSession, landing: str, bronze_path: str) -> None:
+    """E1 with a load history (S04): the files of ``landing`` not loaded before.
+
+    The history is the checkpoint of a file source that runs until it has
+    caught up, kept per landing folder beside Bronze's loads; only new files
+    are read. A run that was lost is repeated under its own load id.
+    """
+    key = hashlib.sha256(landing.rstrip("/").encode()).hexdigest()[:12]
+    run_available_now(lambda trigger: start_bronze_stream(
+        spark, landing, bronze_path, f"{bronze_path.rstrip('/')}/_history/{key}", trigger=trigger,
+        max_files_per_trigger=None, prefix=f"h{key}-"))
+
+
 def _fs_and_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -84,6 +100,35 @@ def compact_bronze(
     return old
 
 
+def compact_silver(spark: SparkSession, silver_root: str, name: str, keep_recent: int = 60) -> list[str]:
+    """Rewrite all but the ``keep_recent`` newest batch folders of a Silver table into one.
+
+    For a maintenance window between two batches: readers see the rewritten
+    rows twice from the moment the new folder is written until the old ones are
+    gone. A run that ended in between is healed by the next one, as the rows of
+    all rewritten folders go through keep-first. Returns the rewritten folders.
+    """
+    spec = C.SILVER_SPECS[name]
+    path = f"{silver_root.rstrip('/')}/{spec.table}"
+    fs, root = _fs_and_path(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    tags = sorted(n.split("=", 1)[1] for n in names if n.startswith("_batch="))
+    # stream batches are numbered; a refresh or an earlier compaction is older than all of them
+    numbered = [t for t in tags if t.isdigit()]
+    old = [t for t in tags if not t.isdigit()] + numbered[:max(0, len(numbered) - keep_recent)]
+    if len(old) < 2:
+        return []
+    stored = spark.read.option("basePath", path).parquet(*(f"{path}/_batch={t}" for t in old)).select(*spec.columns)
+    rows = silver.dedupe(stored)
+    target = f"{path}/_batch=c-{uuid.uuid4().hex[:12]}"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
+    if spark.read.parquet(target).count() != stored.select("event_id").distinct().count():
+        raise RuntimeError(f"compaction into {target} has lost ids; the old folders are kept")
+    for tag in old:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"_batch={tag}"), True)
+    return old
+
+
 def refresh_silver(
     spark: SparkSession, bronze_path: str, silver_root: str, threads: int = 4
 ) -> dict[str, str]:
@@ -147,14 +192,25 @@ def build(
     calendar: tuple[str, str] = (C.CALENDAR_START, C.CALENDAR_END),
     audit: bool = True,
     threads: int = 4,
+    env: str | None = None,
+    custom_schema: str | None = None,
 ) -> DataFrame:
     """Write the Gold models, then run the declared tests over them.
 
+    With ``env`` (layer routing, S14) the tables go to a folder of this build
+    under ``gold_root`` and, when all are written and tested, the catalog views
+    ``<env>_gold.<model>`` (or ``<custom_schema>.<model>``) are pointed at them;
+    the tables of earlier builds stay. Without it they replace the folders of
+    the last build in place.
+
     Returns the stored quality report ``(relation, column_name, test,
     failures)``.
     """
     w = Warehouse.from_tables(spark, silver_root, calendar_start=calendar[0], calendar_end=calendar[1])
     root = gold_root.rstrip("/")
+    if env:
+        root = f"{root}/build-{uuid.uuid4().hex[:12]}"
+    written: dict[str, str] = {}
 
     def write(name: str) -> str:
         path = f"{root}/{name}"
@@ -164,6 +220,7 @@ def build(
     for level in GOLD_LEVELS:
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             paths = dict(zip(level, pool.map(write, level)))
+        written |= paths
         for name, path in paths.items():
             stored = spark.read.parquet(path)
             w.use(name, stored.drop("dbt_computed_at") if audit else stored)
@@ -175,4 +232,8 @@ def build(
 
     report_path = f"{root}/_quality_report"
     quality.run(rel).write.mode("overwrite").parquet(report_path)
+    if env:
+        materialize.publish(spark, written, {
+            name: materialize.qualify("gold", name, env, custom_schema) for name in written
+        })
     return spark.read.parquet(report_path)

@@ -1,10 +1,4 @@
-"""Materialization: views, tables, layer routing, audit column.
-
-``write_models`` writes a set of models as Parquet tables in dependency order
-and re-reads each written table for the models downstream of it, so a model
-that feeds several others (``fct_orders`` feeds both marts) is computed once,
-and each step starts from stored data rather than the whole upstream lineage.
-"""
+"""Materialization: views, tables, layer routing, audit column."""
 
 from __future__ import annotations
 
@@ -57,22 +51,13 @@ def save_as_table(df: DataFrame, qualified: str, audit: bool = False) -> None:
     out.write.mode("overwrite").format("parquet").saveAsTable(qualified)
 
 
-def write_models(
-    spark: SparkSession,
-    warehouse,
-    root: str,
-    names: list[str],
-    audit: bool = False,
-) -> dict[str, str]:
-    """Write ``names`` (in the given, dependency-respecting order) under
-    ``root``; downstream models read the written upstream tables."""
-    paths: dict[str, str] = {}
-    for name in names:
-        path = f"{root.rstrip('/')}/{name}"
-        write_table(warehouse.model(name), path, audit=audit)
-        stored = spark.read.parquet(path)
-        if audit:
-            stored = stored.drop("dbt_computed_at")
-        warehouse.use(name, stored)  # later models read the table
-        paths[name] = path
-    return paths
+def publish(spark: SparkSession, paths: dict[str, str], qualified: dict[str, str]) -> None:
+    """Point the catalog views ``qualified[name]`` at the tables stored in ``paths``.
+
+    Each view is replaced in one catalog operation, so a reader sees a table's
+    old rows or its new ones, never a folder that is being written. The catalog
+    has to outlive the session (a metastore) for other sessions to see them.
+    """
+    for name, path in paths.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified[name].split('.')[0]}")
+        spark.sql(f"CREATE OR REPLACE VIEW {qualified[name]} AS SELECT * FROM parquet.`{path}`")

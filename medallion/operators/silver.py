@@ -40,6 +40,12 @@ def extract(bronze: DataFrame, spec: SilverSpec | str, strict: bool = True) -> D
     return df.select(*cols, "_source_file", "_ingested_at")
 
 
+def table_schema(spec: SilverSpec) -> str:
+    """Declared columns of a stored Silver table: reading one infers nothing from
+    its files, and a table without rows is read like any other."""
+    return ", ".join([f"{f.name} {f.type}" for f in spec.fields] + ["_source_file string", "_ingested_at timestamp_ntz"])
+
+
 def dedupe(typed: DataFrame) -> DataFrame:
     """Keep-first per ``event_id``."""
     order = [F.col("_ingested_at").asc_nulls_last(), F.col("_source_file").asc_nulls_last()]
@@ -60,11 +66,8 @@ def build_all(bronze: DataFrame, strict: bool = True) -> dict[str, DataFrame]:
     return {name: build(bronze, name, strict) for name in SILVER_SPECS}
 
 
-def quarantine(bronze: DataFrame, spec: SilverSpec | str) -> DataFrame:
-    """Bronze rows of ``spec``'s type whose fields fail the strict cast."""
-    if isinstance(spec, str):
-        spec = SILVER_SPECS[spec]
-    raw = F.col("raw_data")
+def _uncastable(raw: Column, spec: SilverSpec) -> Column:
+    """TRUE when a field of ``spec`` is present but fails its strict cast."""
     present_but_bad = F.lit(False)
     for f in spec.fields:
         v = F.try_variant_get(raw, f.path, "variant")
@@ -73,7 +76,24 @@ def quarantine(bronze: DataFrame, spec: SilverSpec | str) -> DataFrame:
             & ~F.is_variant_null(v)
             & _extract(raw, f, strict=False).isNull()
         )
+    return F.coalesce(present_but_bad, F.lit(False))
+
+
+def extract_castable(bronze: DataFrame, spec: SilverSpec | str) -> DataFrame:
+    """Typed rows of one event type without those that ``quarantine`` returns."""
+    if isinstance(spec, str):
+        spec = SILVER_SPECS[spec]
+    return extract(bronze.where(~_uncastable(F.col("raw_data"), spec)), spec, strict=False)
+
+
+def quarantine(bronze: DataFrame, spec: SilverSpec | str) -> DataFrame:
+    """Bronze rows of ``spec``'s type whose fields fail the strict cast."""
+    if isinstance(spec, str):
+        spec = SILVER_SPECS[spec]
+    raw = F.col("raw_data")
+    if "_event_type" in bronze.columns:
+        bronze = bronze.where(F.col("_event_type") == spec.event_type)
     df = bronze.where(F.try_variant_get(raw, "$.event_type", "string") == spec.event_type)
-    return df.where(present_but_bad).select(
+    return df.where(_uncastable(raw, spec)).select(
         F.to_json(raw).alias("raw_json"), "_source_file", "_ingested_at"
     )

@@ -10,7 +10,3 @@ from medallion.contracts import STAGING_COLUMNS
 
 def stage(silver: DataFrame, name: str) -> DataFrame:
     return silver.select(*[F.col(src).alias(dst) for src, dst in STAGING_COLUMNS[name]])
-
-
-def stage_all(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: stage(df, name) for name, df in silver.items()}

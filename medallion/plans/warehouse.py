@@ -3,9 +3,9 @@
 ``Warehouse`` resolves each model once (a cached ``DataFrame``), mirroring
 ``ref()`` resolution. Building a model only builds a lazy plan; nothing runs
 until a sink or action. Models reused downstream (``fct_orders`` feeds both
-marts) should be materialized once by the caller (``jobs.build`` or
-``materialize.write_models`` write it and point the graph at the stored table
-with ``Warehouse.use``) rather than recomputed.
+marts) should be materialized once by the caller (``jobs.build`` writes it and
+points the graph at the stored table with ``Warehouse.use``) rather than
+recomputed.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from medallion import contracts as C
 from medallion.operators import silver as silver_ops
 from medallion.operators.staging import stage
 from medallion.plans import dimensions, facts, marts, questions
-from medallion.session import checkpoint_root
 
 GOLD_MODELS = [
     "dim_customers",
@@ -36,6 +35,21 @@ STAGING_MODELS = [
 ]
 
 
+class StoredSilver(dict):
+    """Silver tables, each written under ``root`` when first asked for and read
+    back as Parquet, so a model reads only the tables and columns it needs."""
+
+    def __init__(self, bronze: DataFrame, root: str):
+        super().__init__()
+        self.bronze, self.root = bronze, root.rstrip("/")
+
+    def __missing__(self, name: str) -> DataFrame:
+        path = f"{self.root}/{C.SILVER_SPECS[name].table}"
+        silver_ops.build(self.bronze, name).write.mode("overwrite").parquet(path)
+        self[name] = self.bronze.sparkSession.read.parquet(path)
+        return self[name]
+
+
 class Warehouse:
     def __init__(
         self,
@@ -51,28 +65,19 @@ class Warehouse:
 
     @classmethod
     def from_bronze(
-        cls, spark: SparkSession, bronze: DataFrame, checkpoint: bool = False, **kw
+        cls, spark: SparkSession, bronze: DataFrame, store: str | None = None, **kw
     ) -> "Warehouse":
-        """Silver built from ``bronze``; with ``checkpoint`` each layer is
-        written once to the shared checkpoint folder (lineage cut), as a
-        production run writes Bronze and Silver tables, so every Gold model
-        reads Silver instead of recomputing it."""
-        if checkpoint:
-            checkpoint_root(spark)
-            bronze = bronze.checkpoint(eager=True)
-            silver = {
-                n: silver_ops.build(bronze, n).checkpoint(eager=True)
-                for n in C.SILVER_SPECS
-            }
-        else:
-            silver = silver_ops.build_all(bronze)
+        """Silver built from ``bronze``; with a shared folder ``store`` each Silver
+        table that a model asks for is written there once and read back."""
+        silver = StoredSilver(bronze, store) if store else silver_ops.build_all(bronze)
         return cls(spark, silver, **kw)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, silver_root: str, **kw) -> "Warehouse":
         """Silver read from stored tables (S10), e.g. kept up by the stream."""
         silver = {
-            n: spark.read.parquet(f"{silver_root.rstrip('/')}/{spec.table}").select(*spec.columns)
+            n: spark.read.schema(silver_ops.table_schema(spec)).parquet(f"{silver_root.rstrip('/')}/{spec.table}")
+            .select(*spec.columns)
             for n, spec in C.SILVER_SPECS.items()
         }
         return cls(spark, silver, **kw)

@@ -213,11 +213,21 @@ def deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def fixture_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze after two loads of the fixture deliveries (library Bronze load)."""
+    """Bronze table after two loads of the fixture deliveries: the library's load
+    writes each into the shared scratch folder, and the table is read from there."""
     from medallion.operators import bronze
+    from medallion.session import scratch_path
 
-    first, again = deliveries(spark, sf_dir)
-    return bronze.load(first, FIRST_LOAD_AT).unionByName(bronze.load(again, REDELIVERY_AT))
+    path = scratch_path(spark, "bronze")
+    for i, (lines, at) in enumerate(zip(deliveries(spark, sf_dir), (FIRST_LOAD_AT, REDELIVERY_AT))):
+        bronze.load_and_write(lines, path, f"d{i}", at)
+    return bronze.read(spark, path)
+
+
+def logical_file(path: str) -> Column:
+    """The name of the file a landed line belongs to: ``write_landing`` keeps it,
+    escaped, as a folder name, and ``_metadata.file_path`` escapes that once more."""
+    return F.url_decode(F.url_decode(F.regexp_extract(path, "_source_file=([^/]+)/", 1)))
 
 
 def write_landing(lines: DataFrame, landing_path: str) -> None:

@@ -18,11 +18,14 @@ from medallion.sources.ndjson import stream_lines
 
 
 def bronze_batch_writer(
-    bronze_path: str, max_bad_ratio: str | float = MAX_BAD_RATIO, max_files: int | None = None
+    bronze_path: str,
+    max_bad_ratio: str | float = MAX_BAD_RATIO,
+    max_files: int | None = None,
+    prefix: str = "s",
 ):
     def write(batch: DataFrame, batch_id: int) -> None:
         bronze.load_and_write(
-            batch, bronze_path, f"s{batch_id:012d}", max_bad_ratio=max_bad_ratio, max_files=max_files
+            batch, bronze_path, f"{prefix}{batch_id:012d}", max_bad_ratio=max_bad_ratio, max_files=max_files
         )
 
     return write
@@ -38,14 +41,15 @@ def start_bronze_stream(
     max_bad_ratio: str | float = MAX_BAD_RATIO,
     clean_source: str | None = None,
     archive_dir: str | None = None,
+    prefix: str = "s",
 ) -> StreamingQuery:
-    """Start the landing -> Bronze stream.
+    """Start the landing -> Bronze stream; load ids are ``prefix`` and the batch id.
 
     ``trigger`` defaults to ``{"processingTime": "1 minute"}``; use
     ``{"availableNow": True}`` for on-demand catch-up runs and tests.
     """
     lines = stream_lines(spark, landing_path, max_files_per_trigger, clean_source, archive_dir)
-    writer = bronze_batch_writer(bronze_path, max_bad_ratio, max_files_per_trigger)
+    writer = bronze_batch_writer(bronze_path, max_bad_ratio, max_files_per_trigger, prefix)
     return (
         lines.writeStream.foreachBatch(writer)
         .option("checkpointLocation", checkpoint)
@@ -66,6 +70,7 @@ def start_ingest_stream(
     horizon_days: int | None = None,
     clean_source: str | None = None,
     archive_dir: str | None = None,
+    quarantine: bool = False,
 ) -> StreamingQuery:
     """Landing -> Bronze -> Silver in ONE stream (chained upkeep).
 
@@ -84,7 +89,7 @@ def start_ingest_stream(
             batch, bronze_path, load_id, max_bad_ratio=max_bad_ratio, max_files=max_files_per_trigger
         )
         loaded = bronze.read_load(spark, bronze_path, load_id)
-        upkeep_batch(loaded, batch_id, silver_root, horizon_days=horizon_days)
+        upkeep_batch(loaded, batch_id, silver_root, horizon_days=horizon_days, quarantine=quarantine)
 
     return (
         lines.writeStream.foreachBatch(write)

@@ -33,6 +33,8 @@ from medallion.operators import bronze, silver
 # Largest batch, in rows and in bytes of ids, whose ids are broadcast to the stored ones.
 BROADCAST_IDS = 1_000_000
 BROADCAST_ID_BYTES = 32 << 20
+# Suffix of the folder that holds a table's rows with values that fail their cast.
+QUARANTINE = "_quarantine"
 # What upkeep reads of a stored table; the batch folders' names as text.
 STORED_IDS = "event_id string, _ingested_at timestamp_ntz, _batch string"
 
@@ -62,11 +64,21 @@ def _without_known(fresh: DataFrame, known: DataFrame) -> DataFrame:
     return fresh.join(known, same, "left_anti")
 
 
-def _upkeep_one(batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None) -> None:
+def _upkeep_one(
+    batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None, quarantine: bool = False
+) -> None:
     spark = batch.sparkSession
     spec = SILVER_SPECS[name]
     target = f"{silver_root}/{spec.table}"
-    fresh = batch_rows = silver.dedupe(silver.extract(batch, spec))
+    if quarantine:
+        bad = silver.quarantine(batch, spec)
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{silver_root}/{spec.table}{QUARANTINE}/_batch={tag}"
+        )
+        typed = silver.extract_castable(batch, spec)
+    else:
+        typed = silver.extract(batch, spec)
+    fresh = batch_rows = silver.dedupe(typed)
     prior = _existing(spark, target)
     if prior is not None:
         prior = prior.where(F.col("_batch") != F.lit(tag))
@@ -90,9 +102,13 @@ def upkeep_batch(
     names=None,
     horizon_days: int | None = None,
     threads: int = 4,
+    quarantine: bool = False,
 ) -> None:
     """Apply one Bronze micro-batch to the Silver tables.
 
+    A value that fails its cast stops the batch; with ``quarantine`` its row is
+    written to the table's quarantine folder instead and the other rows go on.
+
     The tables are independent, so their jobs are submitted concurrently
     (``threads``); each reads only its event type's Bronze partition.
     """
@@ -106,11 +122,11 @@ def upkeep_batch(
     todo = list(names or SILVER_SPECS)
     if threads > 1 and len(todo) > 1:
         with ThreadPoolExecutor(max_workers=min(threads, len(todo))) as pool:
-            for f in [pool.submit(_upkeep_one, batch, tag, silver_root, n, since) for n in todo]:
+            for f in [pool.submit(_upkeep_one, batch, tag, silver_root, n, since, quarantine) for n in todo]:
                 f.result()
     else:
         for n in todo:
-            _upkeep_one(batch, tag, silver_root, n, since)
+            _upkeep_one(batch, tag, silver_root, n, since, quarantine)
 
 
 def start_silver_stream(
@@ -147,7 +163,7 @@ def start_silver_stream(
 def read_silver(spark: SparkSession, silver_root: str, name: str) -> DataFrame:
     """A stream-maintained Silver table with its logical columns only."""
     spec = SILVER_SPECS[name]
-    return spark.read.parquet(f"{silver_root}/{spec.table}").select(*spec.columns)
+    return spark.read.schema(silver.table_schema(spec)).parquet(f"{silver_root}/{spec.table}").select(*spec.columns)
 
 
 def start_silver_stream_within_watermark(

@@ -136,3 +136,12 @@ def test_null_registration_time_gives_null_last_update(spark):
     cu = spark.createDataFrame([("u1", "c1", T("2024-01-05 00:00:00"), "email", "a@x", "b@x", None)], CU)
     r = dimensions.dim_customers(cr, cu).collect()[0]
     assert r.last_updated_at is None and r.email == "b@x" and r.has_been_updated
+
+
+def test_stored_silver_is_read_pruned(spark):
+    import __spark_entry__ as E
+
+    w = E._warehouse(spark, "/root/testdata/sf0.001")
+    scan = w.model("mart_order_funnel")._jdf.queryExecution().executedPlan().toString()
+    assert set(w.silver) == {"orders_created", "orders_status_changed"}  # only what the model needs is built
+    assert "FileScan parquet" in scan and "_source_file" not in scan and "Scan ExistingRDD" not in scan

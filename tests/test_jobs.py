@@ -94,3 +94,84 @@ def test_cli_stream_available_now(spark, tmp):
             "--silver", os.path.join(tmp, "s"), "--checkpoint", os.path.join(tmp, "ck"), "--available-now"]
     assert main(args) == 0
     assert read_silver(spark, os.path.join(tmp, "s"), "customers_registered").count() == 3
+
+
+def _orders(spark, ids, file="f", amount=1):
+    from conftest import env, lines_df
+
+    return lines_df(spark, [(env(i, "order_created", "2026-05-02T12:00:10Z",
+                                 {"order_id": f"o-{i}", "customer_id": "c", "amount": amount, "currency": "BRL",
+                                  "item_count": 1}), file) for i in ids])
+
+
+def test_load_new_reads_each_file_once(spark, tmp):
+    from medallion.operators import bronze
+
+    landing, bpath = os.path.join(tmp, "landing"), os.path.join(tmp, "bronze")
+    fixtures.write_landing(_orders(spark, ["a", "b"], "one"), landing)
+    jobs.load_new(spark, landing, bpath)
+    jobs.load_new(spark, landing, bpath)
+    assert bronze.read(spark, bpath).count() == 2
+    fixtures.write_landing(_orders(spark, ["c"], "two"), landing)
+    jobs.load_new(spark, landing, bpath)
+    assert bronze.read(spark, bpath).count() == 3
+    assert len(jobs.bronze_loads(spark, bpath)) == 2
+
+
+def test_build_publishes_views_that_survive_the_next_build(spark, tmp):
+    from medallion.operators import bronze
+
+    bpath, sroot, groot = (os.path.join(tmp, x) for x in ("bronze", "silver", "gold"))
+    bronze.load_and_write(_orders(spark, ["a", "b"]), bpath, "l0", "2026-01-01 00:00:00")
+    jobs.refresh_silver(spark, bpath, sroot)
+    jobs.build(spark, sroot, groot, env="t1")
+    before = spark.table("t1_gold.fct_orders")
+    bronze.load_and_write(_orders(spark, ["c"]), bpath, "l1", "2026-01-02 00:00:00")
+    jobs.refresh_silver(spark, bpath, sroot)
+    jobs.build(spark, sroot, groot, env="t1")
+    assert before.count() == 2  # a reader of the old build keeps its files
+    assert spark.table("t1_gold.fct_orders").count() == 3
+    jobs.build(spark, sroot, groot, env="t1", custom_schema=" t1_marts ")
+    assert spark.table("t1_marts.mart_order_funnel").count() > 0
+
+
+def test_compact_silver_keeps_ids_and_heals_a_lost_run(spark, tmp):
+    import shutil
+
+    from medallion.operators import bronze
+    from medallion.streaming import upkeep_batch
+    from medallion.streaming.silver_stream import read_silver
+
+    bpath, sroot = os.path.join(tmp, "bronze"), os.path.join(tmp, "silver")
+
+    def batch(i, ids):
+        bronze.load_and_write(_orders(spark, ids), bpath, f"s{i}", f"2026-01-0{i + 1} 00:00:00")
+        upkeep_batch(bronze.read_load(spark, bpath, f"s{i}"), i, sroot, names=["orders_created"])
+
+    for i, ids in enumerate((["a", "b"], ["b", "c"], ["d"])):
+        batch(i, ids)
+    table = os.path.join(sroot, "dt_orders_created")
+    saved = os.path.join(tmp, "saved")
+    shutil.copytree(os.path.join(table, "_batch=000000000000"), saved)
+    before = sorted(tuple(r) for r in read_silver(spark, sroot, "orders_created").collect())
+    assert jobs.compact_silver(spark, sroot, "orders_created", keep_recent=1) == ["000000000000", "000000000001"]
+    assert sorted(tuple(r) for r in read_silver(spark, sroot, "orders_created").collect()) == before
+    shutil.copytree(saved, os.path.join(table, "_batch=000000000000"))  # as if its removal had been lost
+    assert len(jobs.compact_silver(spark, sroot, "orders_created", keep_recent=1)) == 2
+    assert sorted(tuple(r) for r in read_silver(spark, sroot, "orders_created").collect()) == before
+    batch(3, ["a", "e"])  # the stream goes on
+    assert sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect()) == list("abcde")
+
+
+def test_stream_sets_uncastable_rows_aside(spark, tmp):
+    from medallion.operators import bronze
+    from medallion.streaming import upkeep_batch
+    from medallion.streaming.silver_stream import read_silver
+
+    bpath, sroot = os.path.join(tmp, "bronze"), os.path.join(tmp, "silver")
+    lines = _orders(spark, ["a"]).unionAll(_orders(spark, ["b"], amount="much"))
+    bronze.load_and_write(lines, bpath, "s0", "2026-01-01 00:00:00")
+    upkeep_batch(bronze.read_load(spark, bpath, "s0"), 0, sroot, names=["orders_created"], quarantine=True)
+    assert [r.event_id for r in read_silver(spark, sroot, "orders_created").collect()] == ["a"]
+    bad = spark.read.parquet(os.path.join(sroot, "dt_orders_created_quarantine")).collect()
+    assert len(bad) == 1 and '"much"' in bad[0].raw_json
