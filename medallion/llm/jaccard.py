@@ -25,6 +25,10 @@ of a document.
    cut into blocks of ``BLOCK`` at most, pairs of blocks are joined with R-trees of
    the count points, and pairs across components verified. So near copies by the
    thousand, one component since step 1, are never paired among themselves.
+3. Only where links are asked for: a linked pair is in one component, so the
+   classes of each component of three and more are cut into blocks, and pairs
+   of blocks bounded by R-trees and verified in place. Out come numbers of links
+   by class, not the pairs. Components of two need no more than step 1 or 2.
 
 Results are whole: no class, shingle or partner is capped. Null or wordless
 text: empty set, linked with nothing. Null ids: a component's id is the least
@@ -53,6 +57,8 @@ BLOCK = 256
 LEAF = 16
 SMALL = 48  # cells without a tree: three leaves or less on a side
 BLOCK_BYTES = 1 << 20
+BLOCK_SHINGLES = 1 << 20  # of a block whose pairs are verified in place, unless one text has more
+COLUMNS = 4096
 
 
 def shingles(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
@@ -190,13 +196,75 @@ def _join_cell(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
+def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shingles that the sets a[k] and b[k] share, for each k: products of 0/1
+    matrices over the shingles that two sets or more hold, some columns at a time."""
+    rows, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, x = np.unique(at[: len(a)], return_inverse=True)
+    right, y = np.unique(at[len(a) :], return_inverse=True)
+    _, token, held = np.unique(np.concatenate([sets[r] for r in rows]), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
+    met = held[token] > 1
+    owner, token = owner[met], (np.cumsum(held > 1) - 1)[token[met]]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    both = np.zeros((len(left), len(right)))
+    for c in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+        p, q = np.searchsorted(token, [c, c + COLUMNS])
+        m = np.zeros((len(rows), COLUMNS), np.float32)
+        m[owner[p:q], token[p:q] - c] = 1
+        both += m[left] @ m[right].T
+    return both[x, y].astype(np.int64)
+
+
+def _count_cell(width: int):
+    """Numbers of links (rows of linked classes) by class that one pair of blocks of a component adds."""
+
+    def run(table: pa.Table) -> pa.Table:
+        cls, copies, block = (table.column(c).to_numpy() for c in ("_class", "_copies", "_block"))
+        sets = list(shingles([x.encode() for x in table.column("_text").to_pylist()], width))
+        size = np.array([len(s) for s in sets])
+        points = np.stack([np.bincount((s >> np.uint64(7)).astype(np.int64) % GROUPS, minlength=GROUPS) for s in sets]).astype("<i4")
+        points = points.astype(np.uint16) if points.max() < 1 << 16 else points
+        i, j = (table.column(c)[0].as_py() for c in ("_i", "_j"))
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        n = np.zeros(len(cls), np.int64)
+        if len(left) and len(right):
+            # roots that differ: every pair counts
+            a, b = _cross(points[left], points[right], np.full(len(left), 1), np.full(len(right), 2))
+            a, b = left[a], right[b]
+            keep = (cls[a] < cls[b]) | (i != j)
+            a, b = a[keep], b[keep]
+            if len(a):
+                p, q = THRESHOLD
+                both = _overlaps(sets, a, b)
+                good = (q * both >= p * (size[a] + size[b] - both)) & (both > 0)
+                np.add.at(n, a[good], copies[b[good]])
+                np.add.at(n, b[good], copies[a[good]])
+        return pa.table({"_class": pa.array(cls[n > 0], pa.int64()), "n": pa.array(n[n > 0], pa.int64())})
+
+    return run
+
+
+def _link_counts(by_class: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(_class, n): rows of other classes that link with a class, of components of three classes or more."""
+    blocks = F.greatest(F.ceil(F.col("_classes") / BLOCK), F.ceil(F.col("_shingles") / BLOCK_SHINGLES)).cast("int")
+    cells = by_class.where("_classes > 2").select("_class", "root", "_copies", blocks.alias("nb"))
+    cells = texts.join(cells.hint("shuffle_hash"), "_class").withColumn("_block", F.pmod(F.xxhash64("_class"), F.col("nb")).cast("int"))
+    cells = cells.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    cells = cells.select("root", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_class", "_copies", "_text")
+    found = cells.groupBy("root", "_i", "_j").applyInArrow(_count_cell(width), "_class long, n long")
+    return found.groupBy("_class").agg(F.sum("n").alias("n"))
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id.cast("long"), F.coalesce(text, F.lit("")))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, links: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, _root, _row) of each row of ``docs``; equal
-    ``_root`` tells one component, ``_row`` (``row_key``) rows with other ids or texts apart."""
+    ``_root`` tells one component, ``_row`` (``row_key``) rows with other ids or texts apart.
+    With ``links`` also n_links: how many other rows each links with, copies too."""
     configure(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     rows = rows.withColumn("_row", row_key(F.col("doc_id"), F.col("_text")))
@@ -228,8 +296,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     meeting = written(meeting.select("_class", "_row", "rank", "toks", "_point"), "meetings")
     meet = meeting.select("_class", "rank", F.explode("toks").alias("tok"))
     points = meeting.select("_class", "_point")
-    # the texts of the classes that meet anyone
-    texts = rows.select("_row", "_text").join(meeting.select("_class", "_row").hint("shuffle_hash"), "_row")
+    # the texts of the classes that meet anyone, one of each: repeated rows share a key, and lie together by it
+    texts = rows.select("_row", "_text").join(meeting.select("_class", "_row").hint("shuffle_hash"), "_row").dropDuplicates(["_row"])
     texts = written(texts.select("_class", "_text"), "meeting-texts")
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -248,8 +316,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     first = meet.groupBy("tok").agg(F.max(F.struct("rank", "_class"))["_class"].alias("a"))
     stars = meet.join(first, "tok").where("_class <> a").select(F.least("a", "_class").alias("a"), F.greatest("a", "_class").alias("b")).distinct()
-    links = written(_verify(close(stars), texts, width), "links")
-    roots = written(components(links), "roots")
+    links1 = written(_verify(close(stars), texts, width), "links")
+    roots = written(components(links1), "roots")
 
     rooted = meet.join(roots.withColumnRenamed("vertex", "_class"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
     rooted = written(rooted, "rooted")
@@ -263,13 +331,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     cells = cells.select("tok", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_class", "root", "toks", "_point")
     more = cells.groupBy("tok", "_i", "_j").applyInArrow(_join_cell, "a long, b long")
     links2 = written(_verify(more, texts, width), "links")
-    roots = components(links.unionByName(links2))
+    roots = components(links1.unionByName(links2))
 
-    least = sets.where("n_shingles > 0").groupBy("_class").agg(F.min("doc_id").alias("_least"))
+    least = sets.where("n_shingles > 0").groupBy("_class").agg(
+        F.min("doc_id").alias("_least"), F.count(F.lit(1)).alias("_copies"), F.min("n_shingles").alias("_size")
+    )
     named = least.join(roots.withColumnRenamed("vertex", "_class"), "_class", "left").withColumn("root", F.coalesce("root", "_class"))
     named = written(named, "class-roots")
-    by_root = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    by_class = named.join(by_root, "root").select("_class", "component_id", "root")
+    by_root = named.groupBy("root").agg(
+        F.min("_least").alias("component_id"), F.count(F.lit(1)).alias("_classes"), F.sum("_size").alias("_shingles"), F.sum("_copies").alias("_rows")
+    )
+    by_class = named.join(by_root, "root")
+    if links:
+        by_class = written(by_class, "class-components")
+        by_class = by_class.join(_link_counts(by_class, texts, width), "_class", "left")
+        others = F.when(F.col("_classes") > 2, F.coalesce("n", F.lit(0)) + F.col("_copies")).otherwise(F.col("_rows"))
+        by_class = by_class.withColumn("n_links", others - 1)
+    linked = ["n_links"] if links else []
+    by_class = by_class.select("_class", "component_id", "root", *linked)
     salted = by_class.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(7))))
     out = sets.select("doc_id", "_row", "n_shingles", "_class", F.pmod("_row", F.lit(8)).cast("int").alias("_salt"))
     out = out.join(salted, ["_class", "_salt"], "left")
@@ -277,6 +356,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return out.select(
         "doc_id", "n_shingles", F.when(wordless, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(wordless, F.col("_row")).otherwise(F.col("root")).alias("_root"), "_row",
+        *(F.when(wordless, F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) for c in linked),
     )
 
 
@@ -300,3 +380,9 @@ def op1_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     """Components of near duplicates over every whole text of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return near_duplicates(docs).drop("_row", "_root")
+
+
+def op1_ngram_jaccard_links(spark, sf_dir: str) -> DataFrame:
+    """op1_ngram_jaccard with n_links, each document's number of links."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return near_duplicates(docs, links=True).drop("_row", "_root")

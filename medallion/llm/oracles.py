@@ -47,6 +47,19 @@ e as (select a, b from l union all select b, a from l),
 r(id, root) as (select doc_id, doc_id from documents union select e.b, r.root from r join e on e.a = r.id where r.root < e.b)
 select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.root) as component_id
 from documents d left join n on n.doc_id = d.doc_id join r on r.id = d.doc_id group by d.doc_id""",
+    "op1_ngram_jaccard_links": f"""
+with recursive words as (select doc_id, {_SPLIT.format(text=_LOWER)} as w from documents),
+sh as (
+  select distinct doc_id, array_to_string(w[i : i + 4], ' ') as s
+  from words, lateral (select unnest(range(1, greatest(1, len(w) - 4) + 1)) as i) where len(w) > 0),
+n as (select doc_id, count(*) as n from sh group by 1),
+o as (select a.doc_id as a, b.doc_id as b, count(*) as o from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * o >= 75 * (x.n + y.n - o)),
+e as (select a, b from l union all select b, a from l),
+k as (select a, count(*) as n_links from e group by 1),
+r(id, root) as (select doc_id, doc_id from documents union select e.b, r.root from r join e on e.a = r.id where r.root < e.b)
+select d.doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(r.root) as component_id, coalesce(any_value(k.n_links), 0) as n_links
+from documents d left join n on n.doc_id = d.doc_id left join k on k.a = d.doc_id join r on r.id = d.doc_id group by d.doc_id""",
     "op2_secret_scan": f"""
 with paths as (select doc_id, coalesce(text, '') as body, sha256(coalesce(text, '')) as blob from documents),
 bodies as (select distinct blob, body from paths),

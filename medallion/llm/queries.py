@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from medallion.llm.bpe import op8_bpe
 from medallion.llm.decontaminate import op9_decontamination
-from medallion.llm.jaccard import op1_ngram_jaccard
+from medallion.llm.jaccard import op1_ngram_jaccard, op1_ngram_jaccard_links
 from medallion.llm.languages import op7_language_id
 from medallion.llm.quality import op6_quality
 from medallion.llm.secrets import op2_secret_scan
@@ -13,7 +13,7 @@ from medallion.llm.suffixes import op3_suffix_array_dedup
 from medallion.llm.token_counts import op4_token_counts
 from medallion.llm.topk import op5_topk
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op3_suffix_array_dedup, op4_token_counts, op5_topk, op6_quality, op7_language_id, op8_bpe, op9_decontamination, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_secret_scan, op3_suffix_array_dedup, op4_token_counts, op5_topk, op6_quality, op7_language_id, op8_bpe, op9_decontamination, op10_substring_dedup, op1_ngram_jaccard_links)}
 
 
 def queries() -> dict:
