@@ -1,7 +1,9 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
-1. ``language_id``: documents whose language can't be told go (no letters, or
-   no language has a quarter of the letters).
+1. ``language_id``: documents without letters go, and those so largely in scripts
+   that no learned language uses that no language has a quarter of the letters.
+   Mixed or unclear texts in known scripts stay: of the four languages that
+   ``documents`` has, the largest share is a quarter at least.
 2. ``ngram_jaccard``: of each group of near duplicates one document stays.
 3. ``decontaminate``: documents contaminated by ``benchmark`` go.
 4. ``secret_scan``: each secret gives way to [kind]; n_chars follows.
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 from medallion.llm import bpe, decontaminate, jaccard, languages, secrets
 from medallion.llm._blocks import written
 
-#: Least share of a text's letters that its language must have.
+#: Least share of a text's letters that its language must have. With four languages or
+#: fewer only letters of unknown scripts can bring the largest share below it.
 LEAST_SCORE = 0.25
 #: SQL can't express BPE, Viterbi or the components; the stages are tested against brute force.
 ORACLE_SQL = None
@@ -31,7 +34,7 @@ def _plain(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that are ``und`` or of no clear language; learns from the labelled rows of the same folds as op 7."""
+    """Drops documents that are ``und`` or largely in unknown scripts, not mixed ones; learns from the labelled rows of the same folds as op 7."""
     model = languages.train(docs.where(languages.fold(F.col("doc_id")) != 2))
     rows, names, at = _plain(docs)
     found = languages.identify(rows, model, names, at["text"])
