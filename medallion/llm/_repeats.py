@@ -106,11 +106,16 @@ def _super_windows(unit: Unit):
 
 
 def _pack(unit: Unit):
-    """Strings of the super-windows that travel, and window hashes of those of hot anchors."""
+    """Strings of the super-windows that travel, and window hashes of those of hot anchors.
+    Rows of one key have one text and lie together: the first that a task meets stands for them."""
+    seen: set[int] = set()
 
     def each(block):
         out = {k: [] for k in ("anchor", "_row", "start", "n", "lead", "single", "packed", "windows")}
         for row, text, todo in zip(*(block.column(c).to_pylist() for c in ("_row", "_text", "todo"))):
+            if row in seen:
+                continue
+            seen.add(row)
             data = text.encode()
             parts = data.split() if unit.words else None
             if any(x["hot"] for x in todo):
@@ -193,7 +198,7 @@ def repeats(docs: DataFrame, keep: list[str], unit: Unit, bucket: Callable, text
     same = known.where("members > 1").select("_row", span.alias("run"))
 
     todo = F.struct("anchor", "start", "n", "lead", (F.col("members") == 1).alias("single"), (F.col("contents") > HOT).alias("hot"))
-    travel = known.where("contents > 1 and place = head").groupBy("_row").agg(F.collect_list(todo).alias("todo"))  # a text's own
+    travel = known.where("contents > 1 and place = head").groupBy("_row").agg(F.collect_set(todo).alias("todo"))  # a text's own, once for all rows of its key
     packed = map_blocks(
         rows.select("_row", "_text").join(travel.hint("shuffle_hash"), "_row"), "_text", BLOCK_BYTES, lambda: _pack(unit),
         "anchor long, _row long, start int, n int, lead int, single boolean, packed binary, windows array<long>",
@@ -206,7 +211,7 @@ def repeats(docs: DataFrame, keep: list[str], unit: Unit, bucket: Callable, text
     counted = single.where("single").join(twice, "window")
     one = F.struct((F.col("start") + F.col("at")).alias("from"), (F.col("start") + F.col("at") + unit.length).alias("to"))
     runs = same.unionByName(sorted_.select("_row", F.struct("from", "to").alias("run"))).unionByName(counted.select("_row", one.alias("run")))
-    by_row = runs.groupBy("_row").agg(F.collect_list("run").alias("runs"))  # a text's own
+    by_row = runs.groupBy("_row").agg(F.collect_set("run").alias("runs"))  # a text's own, once for all rows of its key
     return rows.join(by_row.hint("shuffle_hash"), "_row", "left").drop("_row")
 
 
