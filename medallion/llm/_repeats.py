@@ -15,8 +15,10 @@ super-window, a row of (anchor hash, hash of its content, place).
    are equal. An anchor with over ``HOT`` contents isn't put into one bucket:
    its windows travel one by one and are counted by hash, map-side combined.
 
-Rows are known by a 64-bit hash of their key columns and text, windows of hot
-anchors by one of the window; everything else compares the text itself.
+Decided by 64-bit hashes, without comparing text: rows (key columns and text),
+super-windows of one class (anchor and content; so most repeats, exact copies
+included, which never reach a bucket), windows of hot anchors. Only different
+contents of one anchor are compared as text, in its bucket.
 """
 
 from __future__ import annotations
