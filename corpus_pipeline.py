@@ -24,7 +24,7 @@ from medallion.llm._blocks import written
 #: Least share of a text's letters that its language must have. With four languages or
 #: fewer only letters of unknown scripts can bring the largest share below it.
 LEAST_SCORE = 0.25
-#: SQL can't express BPE, Viterbi or the components; the stages are tested against brute force.
+#: SQL can't express BPE, Viterbi or the components; run() is tested against plain Python (tests/llm/test_brute_force.py).
 ORACLE_SQL = None
 
 
