@@ -113,4 +113,16 @@ kept as (
 select doc_id, len(w)::bigint as n_words, (len(w) - len(k))::bigint as n_removed,
        sha256(array_to_string(list_transform(k, lambda x: w[x]), ' ')) as kept_sha256
 from kept""",
+    "op11_url_filters": r"""
+with rest as (select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) end as r from pages),
+parts as (
+  select page_id, translate(coalesce(regexp_extract(r, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') as path
+  from rest),
+rules(rule_host, rule_path, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+best as (
+  select p.*, (select max({'size': length(rule_host) + length(rule_path), 'rule': rule_host || rule_path, 'verdict': verdict}) from rules
+               where (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)) as b
+  from parts p)
+select page_id, host, path, b.rule as rule, coalesce(b.verdict, 'allow') as verdict from best""",
 }
