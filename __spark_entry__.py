@@ -240,6 +240,74 @@ def stream_replay_compact_refresh(spark: SparkSession, sf_dir: str) -> DataFrame
     return parts[0].unionAll(parts[1]).unionAll(parts[2].unionAll(parts[3]))
 
 
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three streams on one Bronze and one Silver root. The first delivery and the
+    redelivery land in folders of their own with a stream each; then the second stream
+    starts again with a fresh checkpoint and reads its folder once more. Returns every
+    delivery that Bronze holds of the domain's events, and what Silver has kept."""
+    from medallion.contracts import SILVER_SPECS
+    from medallion.streaming import run_available_now, start_ingest_stream
+    from medallion.streaming.silver_stream import read_silver
+
+    apply_conf(spark)
+    root = scratch_path(spark, "two-sources")
+    path, silver_root = f"{root}/bronze", f"{root}/silver"
+    for i, lines in enumerate(fixtures.deliveries(spark, sf_dir)):
+        fixtures.write_landing(lines, f"{root}/landing{i}")
+    for i, checkpoint in ((0, "a"), (1, "b"), (1, "c")):
+        run_available_now(lambda t: start_ingest_stream(
+            spark, f"{root}/landing{i}", path, silver_root, f"{root}/_ckpt_{checkpoint}", trigger=t, max_files_per_trigger=100_000))
+    stored = bronze.read(spark, path).where(F.col("_event_type") != bronze.OTHER_EVENT_TYPE)
+    parts = [stored.select(F.lit("bronze").alias("table_name"), F.try_variant_get("raw_data", "$.event_id", "string").alias("event_id"), "_source_file")]
+    parts += [read_silver(spark, silver_root, n).select(F.lit(n).alias("table_name"), "event_id", "_source_file") for n in SILVER_SPECS]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out.withColumn("_source_file", fixtures.logical_file("_source_file"))
+
+
+def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of the first delivery, the amount of every seventh turned into text,
+    through Silver upkeep that sets rows with uncastable values aside."""
+    from medallion.streaming import upkeep_batch
+    from medallion.streaming.silver_stream import read_quarantine, read_silver
+
+    apply_conf(spark)
+    root = scratch_path(spark, "quarantine")
+    first, _ = fixtures.deliveries(spark, sf_dir)
+    key = F.regexp_extract("value", '"event_id":"oc-([0-9]+)"', 1)
+    broken = F.when(key.try_cast("long") % 7 == 0, F.regexp_replace("value", '"amount":[0-9.]+', '"amount":"n/a"')).otherwise(F.col("value"))
+    bronze.load_and_write(first.where(key != "").withColumn("value", broken), f"{root}/bronze", "d0", fixtures.FIRST_LOAD_AT)
+    upkeep_batch(bronze.read_load(spark, f"{root}/bronze", "d0"), 0, f"{root}/silver", ["orders_created"], quarantine=True)
+    kept = read_silver(spark, f"{root}/silver", "orders_created").select("event_id", "amount", F.lit(False).alias("set_aside"))
+    aside = read_quarantine(spark, f"{root}/silver", "orders_created")
+    aside = aside.select(F.get_json_object("raw_json", "$.event_id").alias("event_id"), F.lit(None).cast("decimal(10,2)").alias("amount"), F.lit(True).alias("set_aside"))
+    return kept.unionAll(aside)
+
+
+def gold_build_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full refresh, a Gold build after the first delivery, then one after
+    the redelivery, published as catalog views in a routed schema. Returns the orders of the newest version, as
+    the view shows them, with whether each has its audit time and whether the earlier build is still readable."""
+    from medallion import jobs, materialize, snapshots
+
+    apply_conf(spark)
+    root = scratch_path(spark, "published")
+    path, silver_root, gold = f"{root}/bronze", f"{root}/silver", f"{root}/gold"
+    schema = "published_" + root.rsplit("-", 1)[-1]
+    seen = []
+    for i, (lines, at) in enumerate(zip(fixtures.deliveries(spark, sf_dir), (fixtures.FIRST_LOAD_AT, fixtures.REDELIVERY_AT))):
+        bronze.load_and_write(lines, path, f"d{i}", at)
+        jobs.refresh_silver(spark, path, silver_root)
+        jobs.build(spark, silver_root, gold, calendar=CALENDAR, env="driver", custom_schema=f" {schema} ")
+        seen.append(snapshots.current(spark, gold))
+    view = spark.table(f"{schema}.fct_orders")
+    earlier = materialize.read_gold(spark, gold, "fct_orders", seen[0]).select("order_sk", F.lit(True).alias("in_earlier_build"))
+    return view.join(earlier, "order_sk", "left").select(
+        *[c for c in view.columns if c != "dbt_computed_at"], F.col("dbt_computed_at").isNotNull().alias("audited"),
+        F.coalesce("in_earlier_build", F.lit(False)).alias("in_earlier_build"))
+
+
 def dim_date_spanning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar covering the order-creation days found in the data."""
     w = _warehouse(spark, sf_dir)
@@ -260,6 +328,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in ("orders_status_changed", "customers_registered", "customers_updated"):
         q[f"stream_ingest_{name}"] = _stream_ingest(name)
     q["stream_replay_compact_refresh"] = stream_replay_compact_refresh
+    q["stream_two_sources"] = stream_two_sources
+    q["silver_quarantine"] = silver_quarantine
+    q["gold_build_published"] = gold_build_published
     for name in ("fct_orders", "fct_order_lifecycle", "mart_daily_revenue", "mart_order_funnel"):
         q[name] = _model(name)
     for t in ("unique", "not_null", "accepted_values", "relationships"):

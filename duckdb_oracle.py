@@ -337,6 +337,16 @@ FROM tele_files""")
         f"SELECT '{name}' AS table_name, event_id, _source_file, _ingested_at FROM {dt}"
         for name, dt in SILVER_COLS.items()
     ))
+    # three streams: the first delivery once, the redelivery twice in Bronze, all once in Silver
+    q["stream_two_sources"] = _with(" UNION ALL ".join(
+        [f"SELECT 'bronze' AS table_name, event_id, 'events/events-' || f AS _source_file FROM {b} "
+         f"UNION ALL SELECT 'bronze', event_id, 'events/retry/events-' || f FROM {b}, (VALUES (1), (2)) AS twice(n) WHERE k % 10 = 0"
+         for b in ("cr_base", "cu_base", "oc_base", "sc_base")]
+        + [f"SELECT '{name}', event_id, _source_file FROM {dt}" for name, dt in SILVER_COLS.items()]
+    ))
+    q["silver_quarantine"] = _with(
+        "SELECT event_id, CASE WHEN k % 7 <> 0 THEN amount END AS amount, k % 7 = 0 AS set_aside FROM oc_base")
+    q["gold_build_published"] = _with("SELECT *, true AS audited, true AS in_earlier_build FROM fct_orders")
     # Gold
     q["dim_customers"] = _with("SELECT * FROM dim_customers")
     span = (

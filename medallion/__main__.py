@@ -39,6 +39,12 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--silver", required=True)
     s.add_argument("--keep-recent", type=int, default=60)
 
+    s = sub.add_parser("expire", help="drop old versions and the folders that only they name")
+    s.add_argument("--bronze")
+    s.add_argument("--silver", help="Silver root folder: all its tables")
+    s.add_argument("--gold")
+    s.add_argument("--keep-versions", type=int, default=100)
+
     s = sub.add_parser("refresh", help="full refresh of Silver from Bronze")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", help="Silver root folder (Parquet)")
@@ -51,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--calendar-start", default="2024-01-01")
     s.add_argument("--calendar-end", default="2027-12-31")
     s.add_argument("--threads", type=int, default=4)
-    s.add_argument("--fail-on-test", action="store_true")
+    s.add_argument("--fail-on-test", action="store_true", help="a build with a failing test isn't published")
     s.add_argument("--env", help="publish the models as catalog views <env>_gold.<model>")
     s.add_argument("--schema", help="publish into this schema instead (with --env)")
 
@@ -83,6 +89,10 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "compact-silver":
         for name in SILVER_SPECS:
             print(f"{name}: {len(jobs.compact_silver(spark, a.silver, name, a.keep_recent))} folders")
+    elif a.cmd == "expire":
+        silver = [f"{a.silver.rstrip('/')}/{spec.table}" for spec in SILVER_SPECS.values()] if a.silver else []
+        for root, folders in jobs.expire(spark, [r for r in (a.bronze, *silver, a.gold) if r], a.keep_versions).items():
+            print(f"{root}: {len(folders)} folders")
     elif a.cmd == "refresh":
         if a.buckets and a.database:
             out = jobs.refresh_silver_bucketed(spark, a.bronze, a.database, a.buckets)
@@ -93,7 +103,7 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(f"{k}: {v}" for k, v in out.items()))
     elif a.cmd == "build":
         report = jobs.build(spark, a.silver, a.gold, (a.calendar_start, a.calendar_end),
-                            threads=a.threads, env=a.env, custom_schema=a.schema)
+                            threads=a.threads, env=a.env, custom_schema=a.schema, require_pass=a.fail_on_test)
         failing = report.where("failures > 0").orderBy("relation", "column_name", "test")
         rows = failing.collect()  # one row per failing declared test (at most 117)
         for r in rows:

@@ -10,21 +10,25 @@ the stored tables and its report is stored too.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion import contracts as C
-from medallion import materialize
+from medallion import materialize, snapshots
 from medallion.operators import bronze, quality, silver
 from medallion.plans.warehouse import Warehouse
 from medallion.sources.ndjson import read_lines
 from medallion.streaming import run_available_now, start_bronze_stream
+from medallion.streaming.silver_stream import id_segment
 
-# Silver's batch folder of a full refresh.
+# Silver's batch of a full refresh.
 REFRESH_BATCH = "refresh"
+COMPACTION = "compaction"
+# Writers whose batches are never replayed.
+UPKEEP = (REFRESH_BATCH, COMPACTION)
 
 # Dependency levels of the Gold graph (models in a level are independent).
 GOLD_LEVELS = [
@@ -56,19 +60,23 @@ def load_new(spark: SparkSession, landing: str, bronze_path: str) -> None:
         max_files_per_trigger=None, prefix=f"h{key}-"))
 
 
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def bronze_loads(spark: SparkSession, bronze_path: str) -> list[str]:
+    """Load ids of Bronze's newest version, oldest first (no data read)."""
+    now = snapshots.current(spark, bronze_path)
+    return [e.batch for e in sorted(now.of(), key=_age)]
 
 
-def bronze_loads(spark: SparkSession, bronze_path: str) -> list[str]:
-    """Load ids present in Bronze, from the directory listing (no data read)."""
-    fs, root = _fs_and_path(spark, bronze_path)
-    if not fs.exists(root):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith("_load="))
+def _age(e: snapshots.Entry) -> int:
+    """The version of a folder's newest rows."""
+    return e.info.get("covers", e.version)
+
+
+def _oldest(now: snapshots.Snapshot, keep_recent: int) -> list[snapshots.Entry]:
+    """All but the ``keep_recent`` newest folders, and the newest one of each stream,
+    whose batch may be replayed."""
+    rows = sorted(now.of(), key=_age)
+    newest = {e.stream: e for e in rows if e.stream not in (None, *UPKEEP)}
+    return [e for e in rows[: max(0, len(rows) - keep_recent)] if newest.get(e.stream) is not e]
 
 
 def compact_bronze(
@@ -76,57 +84,59 @@ def compact_bronze(
 ) -> list[str]:
     """Rewrite all but the ``keep_recent`` newest loads into one load ``into``.
 
-    The rows are copied unchanged (same ``_source_file`` and
-    ``_ingested_at``) into ``_load=<into>``; only then are the old load
-    directories removed. A reader that sees both copies in between gets the
-    same Silver, which is exactly-once by ``event_id`` and keeps the first of
-    identical rows. Returns the compacted load ids.
+    The rows are copied unchanged (same ``_source_file`` and ``_ingested_at``); one
+    version then has the new folder in place of the old ones, which readers of earlier
+    versions keep until ``expire``. An id in use gets a suffix.
+    Returns the compacted load ids.
     """
-    loads = bronze_loads(spark, bronze_path)
-    old = [x for x in loads if x != into][: max(0, len(loads) - keep_recent)]
-    if not old:
+    root = bronze_path.rstrip("/")
+    now = snapshots.begin(spark, root)
+    old = _oldest(now, keep_recent)
+    if len(old) < 2 and all("covers" in e.info for e in old):
         return []
-    if into in loads:  # an earlier compaction: its rows stay, the new ones get a folder of their own
-        into = f"{into}-{uuid.uuid4().hex[:12]}"
-    rows = bronze.read(spark, bronze_path).where(F.col("_load").isin(old))
-    bronze.write_load(rows.select("raw_data", "_source_file", "_ingested_at"), bronze_path, into)
-    written = bronze.read(spark, bronze_path).where(F.col("_load") == into).count()
+    if into in {e.batch for e in now.of()}:
+        into = f"{into}-{snapshots.fresh_id()}"
+    folder = f"_load={into}/_try={snapshots.fresh_id()}"
+    rows = bronze.read_entries(spark, now, old)
+    rows.drop("_load").write.mode("overwrite").partitionBy("_event_type").parquet(f"{root}/{folder}")
+    written = spark.read.schema(bronze.STAGED_SCHEMA).parquet(f"{root}/{folder}").count()
     if written != rows.count():
         raise RuntimeError(f"compaction into {into} wrote {written} rows; the loads are kept")
-    fs, root = _fs_and_path(spark, bronze_path)
-    jvm = spark.sparkContext._jvm
-    for load_id in old:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"_load={load_id}"), True)
-    return old
+    new = snapshots.Entry(folder, stream=COMPACTION, batch=into, info={"covers": max(map(_age, old))})
+    snapshots.publish(spark, root, lambda v: snapshots.swapping(v, old, [new]))
+    return [e.batch for e in old]
 
 
 def compact_silver(spark: SparkSession, silver_root: str, name: str, keep_recent: int = 60) -> list[str]:
     """Rewrite all but the ``keep_recent`` newest batch folders of a Silver table into one.
 
-    For a maintenance window between two batches: readers see the rewritten
-    rows twice from the moment the new folder is written until the old ones are
-    gone. A run that ended in between is healed by the next one, as the rows of
-    all rewritten folders go through keep-first. Returns the rewritten folders.
+    A reader sees the old folders or the new one, in one step, also while batches
+    are being published; the ids of the rows stay where they are in the ledger.
+    Returns the rewritten batches.
     """
     spec = C.SILVER_SPECS[name]
     path = f"{silver_root.rstrip('/')}/{spec.table}"
-    fs, root = _fs_and_path(spark, path)
-    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
-    tags = sorted(n.split("=", 1)[1] for n in names if n.startswith("_batch="))
-    # stream batches are numbered; a refresh or an earlier compaction is older than all of them
-    numbered = [t for t in tags if t.isdigit()]
-    old = [t for t in tags if not t.isdigit()] + numbered[:max(0, len(numbered) - keep_recent)]
+    now = snapshots.begin(spark, path)
+    old = _oldest(now, max(1, keep_recent))
     if len(old) < 2:
         return []
-    stored = spark.read.option("basePath", path).parquet(*(f"{path}/_batch={t}" for t in old)).select(*spec.columns)
-    rows = silver.dedupe(stored)
-    target = f"{path}/_batch=c-{uuid.uuid4().hex[:12]}"
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
-    if spark.read.parquet(target).count() != stored.select("event_id").distinct().count():
-        raise RuntimeError(f"compaction into {target} has lost ids; the old folders are kept")
-    for tag in old:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"_batch={tag}"), True)
-    return old
+    stored = snapshots.read(spark, now, silver.table_schema(spec), entries=old).select(*spec.columns)
+    batch = f"c-{snapshots.fresh_id()}"
+    folder = f"_batch={batch}/_try=0"
+    silver.dedupe(stored).write.mode("overwrite").parquet(f"{path}/{folder}")
+    written = spark.read.schema(silver.table_schema(spec)).parquet(f"{path}/{folder}").count()
+    if written != stored.select("event_id").distinct().count():
+        raise RuntimeError(f"compaction into {batch} has lost ids; the old folders are kept")
+    new = snapshots.Entry(folder, stream=COMPACTION, batch=batch, info={"covers": max(map(_age, old))})
+    snapshots.publish(spark, path, lambda v: snapshots.swapping(v, old, [new]))
+    return [e.batch for e in old]
+
+
+def expire(spark: SparkSession, roots: list[str], keep_versions: int = 100) -> dict[str, list[str]]:
+    """Drop all but the newest versions of the tables at ``roots`` (Bronze, a Silver
+    table, Gold), and the folders that only they name. Readers of dropped versions
+    lose their files."""
+    return {r: snapshots.expire(spark, r, keep_versions) for r in roots}
 
 
 def refresh_silver(
@@ -135,22 +145,38 @@ def refresh_silver(
     """E2 (full refresh, S15): rebuild every Silver table from all of Bronze.
 
     The four tables read disjoint Bronze partitions and are written by
-    concurrently submitted jobs.
+    concurrently submitted jobs. Each is replaced in one step, with its id ledger; if a
+    batch is published while it is being rebuilt, it is rebuilt again, so that no row of that batch is
+    lost or there twice. The stream goes on from a refreshed table.
     """
-    b = bronze.read(spark, bronze_path)
 
     def write(item) -> tuple[str, str]:
         name, spec = item
         path = f"{silver_root.rstrip('/')}/{spec.table}"
-        # one batch folder, as the stream's own: the stream goes on from a refreshed table
-        rows = silver.build(b, name).withColumn("_batch", F.lit(REFRESH_BATCH))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_batch").parquet(path)
-        return name, path
+        for _ in range(snapshots.ATTEMPTS):
+            base = snapshots.begin(spark, path)
+            batch = f"{REFRESH_BATCH}-{snapshots.fresh_id()}"
+            folder = f"_batch={batch}/_try=0"
+            silver.build(bronze.read(spark, bronze_path), name).write.mode("overwrite").parquet(f"{path}/{folder}")
+            rows = spark.read.schema(silver.table_schema(spec)).parquet(f"{path}/{folder}")
+            entries = [snapshots.Entry(folder, stream=REFRESH_BATCH, batch=batch), id_segment(spark, path, rows, batch, REFRESH_BATCH)]
+            try:
+                snapshots.publish(spark, path, lambda v: snapshots.swapping(_untouched(v, base), list(base.entries), entries))
+                return name, path
+            except snapshots.Overtaken:
+                continue
+        raise snapshots.Overtaken(path)
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         return dict(pool.map(write, C.SILVER_SPECS.items()))
 
 
+def _untouched(now: snapshots.Snapshot, base: snapshots.Snapshot) -> snapshots.Snapshot:
+    if now.version != base.version:
+        raise snapshots.Overtaken(now.root)
+    return now
+
+
 def refresh_silver_bucketed(
     spark: SparkSession, bronze_path: str, database: str, buckets: int
 ) -> dict[str, str]:
@@ -194,26 +220,27 @@ def build(
     threads: int = 4,
     env: str | None = None,
     custom_schema: str | None = None,
+    require_pass: bool = False,
 ) -> DataFrame:
     """Write the Gold models, then run the declared tests over them.
 
-    With ``env`` (layer routing, S14) the tables go to a folder of this build
-    under ``gold_root`` and, when all are written and tested, the catalog views
-    ``<env>_gold.<model>`` (or ``<custom_schema>.<model>``) are pointed at them;
-    the tables of earlier builds stay. Without it they replace the folders of
-    the last build in place.
+    The tables go to folders of this build; when all are written and tested they become
+    Gold's next version in one step, so a reader (``materialize.read_gold``) has all tables of one
+    build or all of another. With ``require_pass`` a build with a failing
+    test isn't published. With ``env`` (layer routing, S14) the catalog views
+    ``<env>_gold.<model>`` (or ``<custom_schema>.<model>``) are pointed at the tables too.
+    Tables of earlier builds stay until ``expire``.
 
     Returns the stored quality report ``(relation, column_name, test,
     failures)``.
     """
     w = Warehouse.from_tables(spark, silver_root, calendar_start=calendar[0], calendar_end=calendar[1])
-    root = gold_root.rstrip("/")
-    if env:
-        root = f"{root}/build-{uuid.uuid4().hex[:12]}"
+    gold = gold_root.rstrip("/")
+    folder = f"build-{snapshots.fresh_id()}"
     written: dict[str, str] = {}
 
     def write(name: str) -> str:
-        path = f"{root}/{name}"
+        path = f"{gold}/{folder}/{name}"
         materialize.write_table(w.model(name), path, audit=audit)
         return path
 
@@ -230,10 +257,16 @@ def build(
             return w.silver[name[3:]]
         return w.model(name)
 
-    report_path = f"{root}/_quality_report"
+    report_path = f"{gold}/{folder}/{materialize.REPORT}"
     quality.run(rel).write.mode("overwrite").parquet(report_path)
+    report = spark.read.parquet(report_path)
+    if require_pass and not report.where("failures > 0").isEmpty():
+        return report
+    entries = [snapshots.Entry(f"{folder}/{name}", kind=name, batch=f"{folder}/{name}") for name in [*written, materialize.REPORT]]
+    names = {e.kind for e in entries}
+    snapshots.publish(spark, gold, lambda v: replace(v, entries=(*(e for e in v.entries if e.version and e.kind not in names), *entries)))
     if env:
         materialize.publish(spark, written, {
             name: materialize.qualify("gold", name, env, custom_schema) for name in written
         })
-    return spark.read.parquet(report_path)
+    return report

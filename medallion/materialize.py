@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion import snapshots
+
+# The stored data-test results of a Gold build.
+REPORT = "_quality_report"
 LAYERS = ("bronze", "silver", "gold")
 
 
@@ -61,3 +65,13 @@ def publish(spark: SparkSession, paths: dict[str, str], qualified: dict[str, str
     for name, path in paths.items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified[name].split('.')[0]}")
         spark.sql(f"CREATE OR REPLACE VIEW {qualified[name]} AS SELECT * FROM parquet.`{path}`")
+
+
+def read_gold(spark: SparkSession, gold_root: str, name: str, snapshot: snapshots.Snapshot | None = None) -> DataFrame:
+    """A Gold table of the newest build, or of the version ``snapshot`` (which makes
+    several tables come from one build)."""
+    now = snapshot or snapshots.current(spark, gold_root)
+    paths = now.paths(name)
+    if not paths:
+        raise KeyError(f"{gold_root}: no table {name!r} in version {now.version}")
+    return spark.read.parquet(*paths)

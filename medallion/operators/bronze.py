@@ -6,6 +6,9 @@ JSON value that parses without duplicate keys. A file whose share of bad
 lines exceeds ``max_bad_ratio`` is skipped whole; otherwise its good lines
 are loaded and its bad lines dropped.
 
+``load_and_write`` stages the parsed lines, counts from what it stored and
+publishes the load in one step. ``load`` and ``gate`` are the lazy form:
+
 Scale: the per-file statistics are one grouped aggregate (partial
 aggregation map-side, so a file holding a third of all lines costs nothing
 extra). The gate is then a left-semi join of the lines with the accepted
@@ -21,28 +24,53 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medallion import snapshots
 from medallion.contracts import MAX_BAD_RATIO, SILVER_SPECS
 
 KNOWN_EVENT_TYPES = [spec.event_type for spec in SILVER_SPECS.values()]
 OTHER_EVENT_TYPE = "_other"
+# Folder of the lines that don't parse, in a staged load only.
+BAD_LINES = "_bad"
 
 # Largest number of files whose accepted-file list we broadcast by hint
 # (~100 bytes per path: 200k files is ~20 MB).
 BROADCAST_FILES = 200_000
 
 
+# What may follow a value's own text and still look like the end of the wrapped line.
+_EARLY_END = "true[ \\t\\n\\r]*\\]"
+
+
 def good_json(value: Column) -> Column:
-    """TRUE when ``value`` is one well-formed JSON value."""
+    """TRUE when ``value`` is one well-formed JSON value (S01b), by parsing it up to three times."""
     one_value = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
     # what follows a closing bracket in the line isn't looked at above; as a member it must parse
     nothing_after = F.json_object_keys(F.concat(F.lit('{"x":'), value, F.lit("}"))).isNotNull()
     return F.coalesce(F.is_valid_utf8(value) & one_value & nothing_after, F.lit(False))
 
 
+def _pair(value: Column) -> Column:
+    """``value`` parsed as the first element of ``[value,true]``; NULL when that doesn't parse."""
+    return F.when(F.is_valid_utf8(value), F.try_parse_json(F.concat(F.lit("["), value, F.lit(",true]"))))
+
+
+def _sole(value: Column, pair: Column) -> Column:
+    """``value`` as VARIANT, NULL when it isn't one well-formed JSON value.
+
+    The parser stops after the first value and doesn't look at what follows. So the line was
+    parsed as the first element of ``[line,true]``: only if it is exactly one value does the array
+    have two elements, the last being ``true``. A line could feign that end only by holding it
+    (``true ]``); such lines, and they alone, are judged by ``good_json``.
+    """
+    whole = F.to_json(F.try_variant_get(pair, "$[1]", "variant")) == "true"
+    only = F.when(whole & F.try_variant_get(pair, "$[2]", "variant").isNull(), F.try_variant_get(pair, "$[0]", "variant"))
+    feigned = F.contains(value, F.lit("true")) & F.rlike(value, F.lit(_EARLY_END))
+    return F.when(~feigned, only).otherwise(F.when(good_json(value), F.try_parse_json(value)))
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Drop blank lines; add ``raw_data`` (NULL for a bad line) and ``_bad``.
 
@@ -54,20 +82,24 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     again for each of them.
     """
     nonblank = lines.where(F.length(F.trim(F.col("value"))) > 0)
-    raw = F.when(good_json(F.col("value")), F.try_parse_json(F.col("value")))
-    parsed = nonblank.select(
-        F.inline(F.array(F.struct(F.col("_source_file"), raw.alias("raw_data"))))
+    pairs = nonblank.select(F.inline(F.array(F.struct(F.col("_source_file"), F.col("value"), _pair(F.col("value")).alias("_pair")))))
+    parsed = pairs.select(
+        F.inline(F.array(F.struct(F.col("_source_file"), _sole(F.col("value"), F.col("_pair")).alias("raw_data"))))
     )
     return parsed.withColumn("_bad", F.col("raw_data").isNull())
 
 
 def file_report(parsed: DataFrame, max_bad_ratio: str | float = MAX_BAD_RATIO) -> DataFrame:
     """Per-file gate decision: lines, bad lines, bad share, loaded flag."""
-    limit = F.lit(Decimal(str(max_bad_ratio))).cast("decimal(10,6)")
     stats = parsed.groupBy("_source_file").agg(
         F.count(F.lit(1)).alias("total_lines"),
         F.count_if(F.col("_bad")).alias("bad_lines"),
     )
+    return _judged(stats, max_bad_ratio)
+
+
+def _judged(stats: DataFrame, max_bad_ratio: str | float) -> DataFrame:
+    limit = F.lit(Decimal(str(max_bad_ratio))).cast("decimal(10,6)")
     return stats.select(
         "_source_file",
         "total_lines",
@@ -112,23 +144,14 @@ def gate(
     """
     accepted = file_report(parsed, max_bad_ratio).where("loaded").select("_source_file")
     if max_files is None:
-        from medallion.session import checkpoint_root
-
-        checkpoint_root(parsed.sparkSession)
-        accepted = accepted.checkpoint(eager=True)
+        accepted = _resolved(accepted)
         max_files = accepted.count()
     if max_files <= BROADCAST_FILES:
         accepted = F.broadcast(accepted)
-    if ingested_at is None:
-        stamp = F.current_timestamp().cast("timestamp_ntz")
-    elif isinstance(ingested_at, str):
-        stamp = F.lit(ingested_at).cast("timestamp_ntz")
-    else:
-        stamp = ingested_at.cast("timestamp_ntz")
     return (
         parsed.where(~F.col("_bad"))
         .join(accepted, "_source_file", "left_semi")
-        .select("raw_data", "_source_file", stamp.alias("_ingested_at"))
+        .select("raw_data", "_source_file", _stamp(ingested_at).alias("_ingested_at"))
     )
 
 
@@ -138,20 +161,70 @@ def load_and_write(
     load_id: str,
     ingested_at: Column | str | None = None,
     max_bad_ratio: str | float = MAX_BAD_RATIO,
-    max_files: int | None = None,
+    stream: str | None = None,
 ) -> None:
-    """Gate ``lines`` and write them as load ``load_id``, parsing each line ONCE.
-
-    The parsed lines are persisted (memory, spilling to executor disk) for
-    the duration of the load, so the per-file statistics and the written rows
-    come from the same parse. A lost executor's blocks are recomputed from
-    lineage, so the result does not depend on the cache surviving.
+    """Gate ``lines`` and publish them as load ``load_id``, parsing each line ONCE.
+
+    The parsed lines are written once, to a staged folder of this attempt that no
+    reader knows; a bad line is a row without a value in a folder of its own. The counts
+    of the files come from two small columns of what is stored (the file's name and the
+    folder). The folders of event types then become the load as they are; only
+    types with lines of a rejected file are copied without them, still without
+    parsing. Nothing of the load is cached, and it is published in one step (``snapshots``).
     """
-    parsed = parse_lines(lines).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_load(gate(parsed, ingested_at, max_bad_ratio, max_files), path, load_id)
-    finally:
-        parsed.unpersist()
+    spark = lines.sparkSession
+    root, attempt = path.rstrip("/"), snapshots.fresh_id()
+    snapshots.begin(spark, root)
+    staged, folder = f"{root}/_staged/{attempt}", f"_load={load_id}/_try={attempt}"
+    parsed = parse_lines(lines).select("raw_data", "_source_file", _stamp(ingested_at).alias("_ingested_at"))
+    _written(with_partition(parsed), staged)
+    stored = spark.read.schema(STAGED_SCHEMA).parquet(staged)
+    counts = _resolved(stored.groupBy("_source_file", "_event_type").agg(F.count(F.lit(1)).alias("lines")))
+    stats = counts.groupBy("_source_file").agg(
+        F.sum("lines").alias("total_lines"),
+        F.sum(F.when(F.col("_event_type") == BAD_LINES, F.col("lines")).otherwise(0)).alias("bad_lines"),
+    )
+    rejected = _judged(stats, max_bad_ratio).where(~F.col("loaded")).select("_source_file")
+    types = [r[0] for r in counts.select("_event_type").distinct().collect() if r[0] != BAD_LINES]
+    mixed = {r[0] for r in counts.join(rejected, "_source_file", "left_semi").select("_event_type").distinct().collect()} & set(types)
+    if mixed:
+        files = rejected.count()
+        good = stored.where(F.col("_event_type").isin(*mixed))
+        good = good.join(F.broadcast(rejected) if files <= BROADCAST_FILES else rejected, "_source_file", "left_anti")
+        _written(good, f"{root}/{folder}")
+    fs, target = snapshots.file_system(spark, f"{root}/{folder}")
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(target)
+    for name in set(types) - mixed:
+        if not fs.rename(jvm_path(f"{staged}/_event_type={name}"), jvm_path(target, f"_event_type={name}")):
+            raise OSError(f"{staged}/_event_type={name} could not be moved to {folder}")
+    fs.delete(jvm_path(staged), True)
+    _publish(spark, root, load_id, stream, folder)
+
+
+def _stamp(ingested_at: Column | str | None) -> Column:
+    if ingested_at is None:
+        return F.current_timestamp().cast("timestamp_ntz")
+    if isinstance(ingested_at, str):
+        return F.lit(ingested_at).cast("timestamp_ntz")
+    return ingested_at.cast("timestamp_ntz")
+
+
+def _resolved(files: DataFrame) -> DataFrame:
+    """A list of files, computed once (reliable checkpoint in the shared folder)."""
+    from medallion.session import checkpoint_root
+
+    checkpoint_root(files.sparkSession)
+    return files.checkpoint(eager=True)
+
+
+def _written(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_event_type").parquet(folder)
+
+
+def _publish(spark, root: str, load_id: str, stream: str | None, folder: str) -> None:
+    entry = snapshots.Entry(folder, stream=stream, batch=load_id)
+    snapshots.publish(spark, root, lambda now: snapshots.replacing(now, stream, load_id, [entry]))
 
 
 def event_type(raw: Column | str = "raw_data") -> Column:
@@ -163,48 +236,57 @@ def with_partition(bronze: DataFrame) -> DataFrame:
     """Add the derived ``_event_type`` directory column used for pruning.
 
     Only the known domain types get their own directory; anything else
-    (telemetry, garbage) goes to ``_other``, so the number of directories per
-    load is bounded no matter what the producers send.
+    (telemetry, garbage) goes to ``_other`` and lines without a value to ``_bad``, so
+    the number of directories per load is bounded no matter what the producers send.
     """
     et = event_type()
     known = F.coalesce(et.isin(*KNOWN_EVENT_TYPES), F.lit(False))
-    return bronze.withColumn("_event_type", F.when(known, et).otherwise(F.lit(OTHER_EVENT_TYPE)))
+    kind = F.when(F.col("raw_data").isNull(), F.lit(BAD_LINES)).when(known, et).otherwise(F.lit(OTHER_EVENT_TYPE))
+    return bronze.withColumn("_event_type", kind)
 
 
-# Physical Bronze table: the 3 logical columns plus two directory columns,
-# the load id (idempotent replays) and the derived event type (pruning).
+# Physical Bronze table: the 3 logical columns plus directory columns: the load id
+# (idempotent replays), the attempt that wrote it and the derived event type (pruning).
+STAGED_SCHEMA = "raw_data variant, _source_file string, _ingested_at timestamp_ntz, _event_type string"
 BRONZE_TABLE_SCHEMA = (
     "raw_data variant, _source_file string, _ingested_at timestamp_ntz, "
-    "_load string, _event_type string"
+    "_load string, _try string, _event_type string"
 )
 
 
-def write_load(bronze: DataFrame, path: str, load_id: str) -> None:
+def write_load(bronze: DataFrame, path: str, load_id: str, stream: str | None = None) -> None:
     """Write one load into Bronze.
 
-    Bronze is append-only across loads; within a load the whole folder
-    ``_load=<load_id>`` is overwritten, so re-running the same load (a retried
-    micro-batch) replaces all of its rows, also of event types it no longer has.
+    Bronze is append-only across loads; a load that is run again (a retried
+    micro-batch) takes the place of its own earlier rows, in one step. A load id that
+    another stream has used is refused.
     """
-    (
-        with_partition(bronze.where(F.col("raw_data").isNotNull()))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("_event_type")
-        .parquet(f"{path.rstrip('/')}/_load={load_id}")
-    )
+    root = path.rstrip("/")
+    folder = f"_load={load_id}/_try={snapshots.fresh_id()}"
+    snapshots.begin(bronze.sparkSession, root)
+    _written(with_partition(bronze.where(F.col("raw_data").isNotNull())), f"{root}/{folder}")
+    _publish(bronze.sparkSession, root, load_id, stream, folder)
+
 
+def _live(spark, path: str) -> snapshots.Snapshot:
+    now = snapshots.current(spark, path)
+    if not now.version and not now.entries:
+        raise FileNotFoundError(f"{path}: no load has been written")
+    return now
 
-def read(spark, path: str) -> DataFrame:
-    """Bronze table as written by ``write_load`` (3 logical columns + 2 dirs)."""
-    return spark.read.schema(BRONZE_TABLE_SCHEMA).parquet(path)
+
+def read(spark, path: str, snapshot: snapshots.Snapshot | None = None) -> DataFrame:
+    """Bronze table as written by ``write_load`` (3 logical columns + 2 dirs): all
+    loads of one version, the newest unless another is given."""
+    return snapshots.read(spark, snapshot or _live(spark, path), BRONZE_TABLE_SCHEMA).drop("_try")
 
 
 def read_load(spark, path: str, load_id: str) -> DataFrame:
     """One load of the Bronze table; only its own folder is listed."""
-    root = path.rstrip("/")
-    return (
-        spark.read.schema(BRONZE_TABLE_SCHEMA)
-        .option("basePath", root)
-        .parquet(f"{root}/_load={load_id}")
-    )
+    now = _live(spark, path)
+    return read_entries(spark, now, [e for e in now.of() if e.batch == load_id])
+
+
+def read_entries(spark, snapshot: snapshots.Snapshot, entries: list[snapshots.Entry]) -> DataFrame:
+    """Some loads of a version."""
+    return snapshots.read(spark, snapshot, BRONZE_TABLE_SCHEMA, entries=entries).drop("_try")

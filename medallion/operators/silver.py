@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medallion import snapshots
 from medallion.contracts import SILVER_SPECS, Field, SilverSpec
 from medallion.functions.ranking import keep_first
 
@@ -46,6 +47,17 @@ def table_schema(spec: SilverSpec) -> str:
     return ", ".join([f"{f.name} {f.type}" for f in spec.fields] + ["_source_file string", "_ingested_at timestamp_ntz"])
 
 
+def read_table(spark, silver_root: str, name: str, snapshot: snapshots.Snapshot | None = None) -> DataFrame:
+    """A stored Silver table's logical columns: the rows of one version, the newest
+    unless another is given."""
+    spec = SILVER_SPECS[name]
+    root = f"{silver_root.rstrip('/')}/{spec.table}"
+    now = snapshot or snapshots.current(spark, root)
+    if not now.version and not now.entries:
+        raise FileNotFoundError(f"{root}: nothing has been written")
+    return snapshots.read(spark, now, table_schema(spec)).select(*spec.columns)
+
+
 def dedupe(typed: DataFrame) -> DataFrame:
     """Keep-first per ``event_id``."""
     order = [F.col("_ingested_at").asc_nulls_last(), F.col("_source_file").asc_nulls_last()]

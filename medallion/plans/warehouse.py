@@ -74,12 +74,9 @@ class Warehouse:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, silver_root: str, **kw) -> "Warehouse":
-        """Silver read from stored tables (S10), e.g. kept up by the stream."""
-        silver = {
-            n: spark.read.schema(silver_ops.table_schema(spec)).parquet(f"{silver_root.rstrip('/')}/{spec.table}")
-            .select(*spec.columns)
-            for n, spec in C.SILVER_SPECS.items()
-        }
+        """Silver read from stored tables (S10), e.g. kept up by the stream; each
+        table in the version that is the newest now."""
+        silver = {n: silver_ops.read_table(spark, silver_root, n) for n in C.SILVER_SPECS}
         return cls(spark, silver, **kw)
 
     @classmethod

@@ -1,10 +1,10 @@
 """Structured Streaming upkeep of Bronze and Silver.
 
 Every stream uses ``foreachBatch`` so the very same batch functions
-(``operators.bronze.load``, ``operators.silver.extract/dedupe``) run on each
-micro-batch, and every write goes to a batch-id partition with dynamic
-partition overwrite, so a replayed batch (after a failure) replaces its own
-output instead of duplicating it. ``start_ingest_stream`` chains landing ->
+(``operators.bronze``, ``operators.silver``) run on each micro-batch. What a batch writes is
+published as one version of each table (``medallion.snapshots``), named by the stream's own id
+and the batch's, so a replayed batch (after a failure) takes the place of its own output
+instead of duplicating it and never that of another stream. ``start_ingest_stream`` chains landing ->
 Bronze -> Silver in one stream (recommended); ``start_bronze_stream`` and
 ``start_silver_stream`` run the two hops as separate streams;
 ``start_silver_stream_within_watermark`` dedupes in the state store.

@@ -12,23 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from medallion import snapshots
 from medallion.contracts import MAX_BAD_RATIO
 from medallion.operators import bronze
 from medallion.sources.ndjson import stream_lines
 
 
-def bronze_batch_writer(
-    bronze_path: str,
-    max_bad_ratio: str | float = MAX_BAD_RATIO,
-    max_files: int | None = None,
-    prefix: str = "s",
-):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        bronze.load_and_write(
-            batch, bronze_path, f"{prefix}{batch_id:012d}", max_bad_ratio=max_bad_ratio, max_files=max_files
-        )
-
-    return write
+def load_id(stream: str, batch_id: int, prefix: str = "s") -> str:
+    """Load ids carry the stream's own id: batches of two streams, or of one that was
+    started again with a fresh checkpoint, never share one."""
+    return f"{prefix}{stream}-{batch_id:012d}"
 
 
 def start_bronze_stream(
@@ -43,15 +36,19 @@ def start_bronze_stream(
     archive_dir: str | None = None,
     prefix: str = "s",
 ) -> StreamingQuery:
-    """Start the landing -> Bronze stream; load ids are ``prefix`` and the batch id.
+    """Start the landing -> Bronze stream; load ids are ``prefix``, stream and batch id.
 
     ``trigger`` defaults to ``{"processingTime": "1 minute"}``; use
     ``{"availableNow": True}`` for on-demand catch-up runs and tests.
     """
     lines = stream_lines(spark, landing_path, max_files_per_trigger, clean_source, archive_dir)
-    writer = bronze_batch_writer(bronze_path, max_bad_ratio, max_files_per_trigger, prefix)
+    stream = snapshots.stream_id(spark, checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bronze.load_and_write(batch, bronze_path, load_id(stream, batch_id, prefix), max_bad_ratio=max_bad_ratio, stream=stream)
+
     return (
-        lines.writeStream.foreachBatch(writer)
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
@@ -82,14 +79,13 @@ def start_ingest_stream(
     from medallion.streaming.silver_stream import upkeep_batch
 
     lines = stream_lines(spark, landing_path, max_files_per_trigger, clean_source, archive_dir)
+    stream = snapshots.stream_id(spark, checkpoint)
 
     def write(batch, batch_id: int) -> None:
-        load_id = f"s{batch_id:012d}"
-        bronze.load_and_write(
-            batch, bronze_path, load_id, max_bad_ratio=max_bad_ratio, max_files=max_files_per_trigger
-        )
-        loaded = bronze.read_load(spark, bronze_path, load_id)
-        upkeep_batch(loaded, batch_id, silver_root, horizon_days=horizon_days, quarantine=quarantine)
+        name = load_id(stream, batch_id)
+        bronze.load_and_write(batch, bronze_path, name, max_bad_ratio=max_bad_ratio, stream=stream)
+        loaded = bronze.read_load(spark, bronze_path, name)
+        upkeep_batch(loaded, batch_id, silver_root, horizon_days=horizon_days, quarantine=quarantine, stream=stream)
 
     return (
         lines.writeStream.foreachBatch(write)

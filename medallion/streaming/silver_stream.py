@@ -4,95 +4,154 @@ Keep-first by ``event_id`` is monotone over append-only Bronze: a later
 delivery never changes the answer. So each micro-batch is
 
 1. extract + keep-first *within* the batch (exact: earliest ``_ingested_at``),
-2. left-anti join against the event ids already in Silver,
-3. write the survivors over the ``_batch=<id>`` folder, which step 2 leaves
-   out, so a replay is idempotent also when its load time differs.
-
-Step 2 reads the stored ids only; a batch of checked size is broadcast to them,
-so history isn't shuffled, and a larger one is a shuffle join that AQE can de-skew.
-With ``horizon_days`` set, only Silver rows ingested within that many
-days of the batch are probed — the redelivery window of the queue (7 days
-retention in the source system) — which keeps the per-batch cost
-independent of Silver's total size. ``horizon_days=None`` probes all of
-Silver (exact for any redelivery delay).
+2. left-anti join against the event ids that the table has taken in,
+3. the survivors, in a folder of their own, and their ids, published together as one version.
+
+Step 2 asks the table's id ledger (``operators.ledger``), which reads the Bloom
+filters of the buckets that the batch's ids fall in and the few buckets that may hold one,
+so a batch costs about the same on a table of any size and is exact for any delay. With
+``horizon_days`` set, segments of the ledger whose newest row is older than that before
+the batch are left out; a redelivery after that may be appended again.
+
+Folders and ledger entries are named by stream and batch. A replayed batch takes the place
+of its own entries, streams don't touch each other's, and of two streams that publish at
+once the second looks up the ids of the first before it does.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from medallion import snapshots
 from medallion.contracts import SILVER_SPECS
-from medallion.operators import bronze, silver
+from medallion.operators import bronze, ledger, silver
 
-# Largest batch, in rows and in bytes of ids, whose ids are broadcast to the stored ones.
-BROADCAST_IDS = 1_000_000
-BROADCAST_ID_BYTES = 32 << 20
 # Suffix of the folder that holds a table's rows with values that fail their cast.
 QUARANTINE = "_quarantine"
-# What upkeep reads of a stored table; the batch folders' names as text.
-STORED_IDS = "event_id string, _ingested_at timestamp_ntz, _batch string"
+IDS = "ids"
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None where nothing was written yet; other errors come out."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p) or not any(st.isDirectory() for st in fs.listStatus(p)):
-        return None
-    return spark.read.schema(STORED_IDS).parquet(path)
+def batch_tag(batch_id: int, stream: str | None = None) -> str:
+    return f"{stream}-{batch_id:012d}" if stream else f"{batch_id:012d}"
 
 
-def _without_known(fresh: DataFrame, known: DataFrame) -> DataFrame:
-    """``fresh`` without the ids in ``known`` (``_known``), null-safe.
+def _segments(entries: list[snapshots.Entry], root: str, since: str | None = None) -> list[tuple[str, dict]]:
+    return [(f"{root}/{e.folder}", e.info) for e in entries if since is None or (e.info.get("until") or since) >= since]
 
-    The ids of a batch of at most ``BROADCAST_IDS`` rows and ``BROADCAST_ID_BYTES``
-    are broadcast to the scan of the stored ids, so history is read (its id
-    column only) but never shuffled; what it shares with the batch is at most
-    the batch. A larger batch meets history in a shuffle join.
-    """
-    same = F.col("event_id").eqNullSafe(F.col("_known"))
-    ids = fresh.select("event_id")
-    rows, size = ids.agg(F.count(F.lit(1)), F.sum(F.octet_length("event_id"))).first()
-    if rows <= BROADCAST_IDS and (size or 0) <= BROADCAST_ID_BYTES:
-        known = known.join(F.broadcast(ids), same, "left_semi").select("_known")
-    return fresh.join(known, same, "left_anti")
+
+def id_segment(spark: SparkSession, root: str, rows: DataFrame, tag: str, stream: str | None = None) -> snapshots.Entry:
+    """A ledger segment of the stored ``rows`` (their ids are read back, one column)."""
+    folder = f"_{IDS}/{tag}-{snapshots.fresh_id()}"
+    until, count = rows.agg(F.max("_ingested_at"), F.count(F.lit(1))).first()
+    shape = ledger.write_segment(rows.select("event_id"), f"{root}/{folder}", count)
+    return snapshots.Entry(folder, IDS, stream, tag, info=shape | {"until": until and until.isoformat()})
+
+
+def _adopt(spark: SparkSession, target: str, name: str) -> snapshots.Snapshot:
+    """The table's newest version, with a ledger also for rows stored before it had one."""
+    now = snapshots.begin(spark, target)
+    old = [e for e in now.of() if not e.version]
+    if not old or "adopted" in now.progress:
+        return now
+    rows = silver.read_table(spark, target.rsplit("/", 1)[0], name, replace(now, entries=tuple(old)))
+    segment = id_segment(spark, target, rows.select("event_id", "_ingested_at").distinct(), "adopted")
+
+    def change(newest: snapshots.Snapshot) -> snapshots.Snapshot:
+        if "adopted" in newest.progress:
+            raise snapshots.Overtaken(target)
+        return replace(newest, entries=(*newest.entries, segment), progress=newest.progress | {"adopted": True})
+
+    try:
+        return snapshots.publish(spark, target, change)
+    except snapshots.Overtaken:
+        return snapshots.current(spark, target)
+
+
+def merge_ids(spark: SparkSession, target: str) -> int:
+    """Merge segments of the ledger that are due; returns how many went. The newest
+    segment of each stream stays, as its batch may be replayed."""
+    now = snapshots.current(spark, target)
+    newest = {e.stream: e for e in now.of(IDS)}
+    done = 0
+    loose = [e for e in now.of(IDS) if newest[e.stream] is not e]
+    for group in ledger.due([e.info["ids"] for e in loose]):
+        old = [loose[i] for i in group]
+        folder = f"_{IDS}/m-{snapshots.fresh_id()}"
+        shape = ledger.merged(spark, _segments(old, target), f"{target}/{folder}")
+        until = max((e.info.get("until") or "" for e in old), default="")
+        merged = snapshots.Entry(folder, IDS, "merged", folder, info=shape | {"until": until or None})
+        try:
+            snapshots.publish(spark, target, lambda v: snapshots.swapping(v, old, [merged]))
+        except snapshots.Overtaken:
+            continue  # another writer has merged some of them
+        done += len(old)
+    return done
 
 
 def _upkeep_one(
-    batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None, quarantine: bool = False
+    batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None, quarantine: bool = False,
+    stream: str | None = None, progress: dict | None = None,
 ) -> None:
     spark = batch.sparkSession
     spec = SILVER_SPECS[name]
-    target = f"{silver_root}/{spec.table}"
+    target = f"{silver_root.rstrip('/')}/{spec.table}"
     if quarantine:
         bad = silver.quarantine(batch, spec)
-        bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-            f"{silver_root}/{spec.table}{QUARANTINE}/_batch={tag}"
-        )
+        folder = f"_batch={tag}/_try={snapshots.fresh_id()}"
+        snapshots.begin(spark, f"{target}{QUARANTINE}")
+        bad.write.mode("overwrite").parquet(f"{target}{QUARANTINE}/{folder}")
+        aside = snapshots.Entry(folder, stream=stream, batch=tag)
+        snapshots.publish(spark, f"{target}{QUARANTINE}", lambda now: snapshots.replacing(now, stream, tag, [aside]))
         typed = silver.extract_castable(batch, spec)
     else:
         typed = silver.extract(batch, spec)
-    fresh = batch_rows = silver.dedupe(typed)
-    prior = _existing(spark, target)
-    if prior is not None:
-        prior = prior.where(F.col("_batch") != F.lit(tag))
-        if since is not None:
-            prior = prior.where(F.to_date("_ingested_at") >= F.lit(since).cast("date"))
-        known = prior.select(F.col("event_id").alias("_known"))
-        batch_rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = silver.dedupe(typed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if prior is not None:
-            fresh = _without_known(batch_rows, known)
-        # the batch's own folder, replaced whole: a replay, on whatever day, leaves no second copy
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{target}/_batch={tag}")
+        for _ in range(snapshots.ATTEMPTS):
+            base = _adopt(spark, target, name)
+            own = [e for e in base.entries if e.batch == tag]
+            if len(own) == 1:
+                return  # its rows or its ids are part of a compaction: taken in for good
+            fresh, passed = _without_known(rows, _segments([e for e in base.of(IDS) if e.batch != tag], target, since))
+            folder = f"_batch={tag}/_try={snapshots.fresh_id()}"
+            fresh.write.mode("overwrite").parquet(f"{target}/{folder}")
+            if passed is not None:
+                passed.unpersist()
+            written = spark.read.schema(silver.table_schema(spec)).parquet(f"{target}/{folder}")
+            entries = [snapshots.Entry(folder, stream=stream, batch=tag), id_segment(spark, target, written, tag, stream)]
+
+            def change(now: snapshots.Snapshot) -> snapshots.Snapshot:
+                before = {e.folder for e in base.of(IDS)}
+                if any(e.folder not in before for e in now.of(IDS)):
+                    raise snapshots.Overtaken(target)  # ids that this batch hasn't been compared with
+                after = snapshots.replacing(now, stream, tag, entries)
+                return replace(after, progress=now.progress | (progress or {}))
+
+            try:
+                snapshots.publish(spark, target, change)
+                break
+            except snapshots.Overtaken:
+                continue
+        else:
+            raise snapshots.Overtaken(target)
     finally:
-        batch_rows.unpersist()
+        rows.unpersist()
+    merge_ids(spark, target)
+
+
+def _without_known(fresh: DataFrame, segments: list[tuple[str, dict]]) -> tuple[DataFrame, DataFrame | None]:
+    """``fresh`` without the ids in the ledger's segments, null-safe; and what to release."""
+    known, passed = ledger.known(fresh.select("event_id"), segments)
+    if known is None:
+        return fresh, passed
+    return fresh.join(known, F.col("event_id").eqNullSafe(F.col("_known")), "left_anti"), passed
 
 
 def upkeep_batch(
@@ -103,16 +162,22 @@ def upkeep_batch(
     horizon_days: int | None = None,
     threads: int = 4,
     quarantine: bool = False,
+    stream: str | None = None,
+    progress: dict[str, dict] | None = None,
 ) -> None:
     """Apply one Bronze micro-batch to the Silver tables.
 
+    ``stream`` names the stream whose batch it is (``snapshots.stream_id``). A batch
+    that is applied again takes the place of its earlier rows. ``progress`` is published
+    with a table's rows, by table.
+
     A value that fails its cast stops the batch; with ``quarantine`` its row is
     written to the table's quarantine folder instead and the other rows go on.
 
     The tables are independent, so their jobs are submitted concurrently
     (``threads``); each reads only its event type's Bronze partition.
     """
-    tag = f"{batch_id:012d}"
+    tag = batch_tag(batch_id, stream)
     since = None
     if horizon_days is not None:
         # one scalar per batch: the earliest load time it contains
@@ -120,13 +185,23 @@ def upkeep_batch(
         if lo is not None:
             since = (lo - dt.timedelta(days=horizon_days)).date().isoformat()
     todo = list(names or SILVER_SPECS)
+
+    def one(n: str) -> None:
+        _upkeep_one(batch, tag, silver_root, n, since, quarantine, stream, (progress or {}).get(n))
+
     if threads > 1 and len(todo) > 1:
         with ThreadPoolExecutor(max_workers=min(threads, len(todo))) as pool:
-            for f in [pool.submit(_upkeep_one, batch, tag, silver_root, n, since, quarantine) for n in todo]:
+            for f in [pool.submit(one, n) for n in todo]:
                 f.result()
     else:
         for n in todo:
-            _upkeep_one(batch, tag, silver_root, n, since, quarantine)
+            one(n)
+
+
+def unread_loads(bronze_now: snapshots.Snapshot, after: int) -> list[snapshots.Entry]:
+    """Bronze folders with loads that were published after version ``after``; a compaction
+    only if it holds one of them."""
+    return [e for e in bronze_now.of() if e.info.get("covers", e.version) > after]
 
 
 def start_silver_stream(
@@ -139,18 +214,38 @@ def start_silver_stream(
     horizon_days: int | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start Bronze -> Silver upkeep (default trigger: the 5 minute lag target)."""
-    reader = spark.readStream.schema(bronze.BRONZE_TABLE_SCHEMA)
+    """Start Bronze -> Silver upkeep (default trigger: the 5 minute lag target).
+
+    The stream watches Bronze's versions, one small file a load, and reads the folders of
+    exactly the loads that its Silver tables haven't taken in; the rest of Bronze isn't listed.
+    Each table's version says up to which Bronze version it has read, so expired
+    versions, replays and tables that are ahead of others are all the same to it.
+    ``max_files_per_trigger`` bounds the versions that wake it at once.
+    """
+    versions = f"{bronze_path.rstrip('/')}/{snapshots.VERSIONS}"
+    fs, folder = snapshots.file_system(spark, versions)
+    fs.mkdirs(folder)
+    reader = spark.readStream.schema("value string").option("pathGlobFilter", "v*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    src = reader.parquet(bronze_path)
+    src = reader.text(versions)
+    stream = snapshots.stream_id(spark, checkpoint)
+    todo = list(names or SILVER_SPECS)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            upkeep_batch(batch, batch_id, silver_root, names, horizon_days)
-        finally:
-            batch.unpersist()
+        now = snapshots.current(spark, bronze_path)
+        starts: dict[str, int] = {}
+        for n in todo:
+            mine = snapshots.current(spark, f"{silver_root.rstrip('/')}/{SILVER_SPECS[n].table}").progress.get(stream, {})
+            # a replayed batch starts where it did the first time
+            starts[n] = mine.get("from" if mine.get("batch") == batch_id else "to", -1)
+        for start in sorted(set(starts.values())):
+            loads = unread_loads(now, start)
+            if not loads:
+                continue
+            tables = [n for n in todo if starts[n] == start]
+            progress = {n: {stream: {"batch": batch_id, "from": start, "to": now.version}} for n in tables}
+            upkeep_batch(bronze.read_entries(spark, now, loads), batch_id, silver_root, tables, horizon_days, stream=stream, progress=progress)
 
     return (
         src.writeStream.foreachBatch(write)
@@ -162,8 +257,13 @@ def start_silver_stream(
 
 def read_silver(spark: SparkSession, silver_root: str, name: str) -> DataFrame:
     """A stream-maintained Silver table with its logical columns only."""
-    spec = SILVER_SPECS[name]
-    return spark.read.schema(silver.table_schema(spec)).parquet(f"{silver_root}/{spec.table}").select(*spec.columns)
+    return silver.read_table(spark, silver_root, name)
+
+
+def read_quarantine(spark: SparkSession, silver_root: str, name: str) -> DataFrame:
+    """The rows of a table's type that were set aside, each batch's last attempt."""
+    root = f"{silver_root.rstrip('/')}/{SILVER_SPECS[name].table}{QUARANTINE}"
+    return snapshots.read(spark, snapshots.current(spark, root), "raw_json string, _source_file string, _ingested_at timestamp_ntz")
 
 
 def start_silver_stream_within_watermark(

@@ -1,6 +1,6 @@
 import os
 
-from medallion import jobs
+from medallion import jobs, materialize
 from medallion.sources import fixtures
 
 
@@ -21,8 +21,8 @@ def test_load_refresh_build_from_files(spark, tmp):
     assert rows[("dim_customers", "customer_id", "unique")] == 0
     # orders of 2001 are outside the 1995-2000 calendar
     assert rows[("fct_orders", "created_date_key", "relationships")] > 0
-    assert "dbt_computed_at" in spark.read.parquet(os.path.join(groot, "fct_orders")).columns
-    assert spark.read.parquet(os.path.join(groot, "dim_products")).count() == 20
+    assert "dbt_computed_at" in materialize.read_gold(spark, groot, "fct_orders").columns
+    assert materialize.read_gold(spark, groot, "dim_products").count() == 20
     assert rows[("dim_products", "category", "accepted_values")] == 0
 
 
@@ -135,14 +135,14 @@ def test_build_publishes_views_that_survive_the_next_build(spark, tmp):
     assert spark.table("t1_marts.mart_order_funnel").count() > 0
 
 
-def test_compact_silver_keeps_ids_and_heals_a_lost_run(spark, tmp):
-    import shutil
-
+def test_readers_see_one_version_through_compaction_and_expiry(spark, tmp):
+    from medallion import snapshots
     from medallion.operators import bronze
     from medallion.streaming import upkeep_batch
     from medallion.streaming.silver_stream import read_silver
 
     bpath, sroot = os.path.join(tmp, "bronze"), os.path.join(tmp, "silver")
+    table = os.path.join(sroot, "dt_orders_created")
 
     def batch(i, ids):
         bronze.load_and_write(_orders(spark, ids), bpath, f"s{i}", f"2026-01-0{i + 1} 00:00:00")
@@ -150,17 +150,21 @@ def test_compact_silver_keeps_ids_and_heals_a_lost_run(spark, tmp):
 
     for i, ids in enumerate((["a", "b"], ["b", "c"], ["d"])):
         batch(i, ids)
-    table = os.path.join(sroot, "dt_orders_created")
-    saved = os.path.join(tmp, "saved")
-    shutil.copytree(os.path.join(table, "_batch=000000000000"), saved)
-    before = sorted(tuple(r) for r in read_silver(spark, sroot, "orders_created").collect())
+    reader = read_silver(spark, sroot, "orders_created")
+    before = sorted(tuple(r) for r in reader.collect())
     assert jobs.compact_silver(spark, sroot, "orders_created", keep_recent=1) == ["000000000000", "000000000001"]
+    assert sorted(tuple(r) for r in reader.collect()) == before  # a reader from before has its folders
     assert sorted(tuple(r) for r in read_silver(spark, sroot, "orders_created").collect()) == before
-    shutil.copytree(saved, os.path.join(table, "_batch=000000000000"))  # as if its removal had been lost
-    assert len(jobs.compact_silver(spark, sroot, "orders_created", keep_recent=1)) == 2
-    assert sorted(tuple(r) for r in read_silver(spark, sroot, "orders_created").collect()) == before
+    batch(1, ["b", "c"])  # a batch that has been compacted is taken in for good
     batch(3, ["a", "e"])  # the stream goes on
     assert sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect()) == list("abcde")
+    assert len(jobs.compact_silver(spark, sroot, "orders_created", keep_recent=1)) == 2
+    # a rewritten folder that isn't published yet is invisible, and old folders go on request only
+    now = snapshots.current(spark, table)
+    dropped = jobs.expire(spark, [table], keep_versions=1)[table]
+    assert [f for f in dropped if f.startswith("_batch=")] and not set(dropped) & {e.folder for e in now.entries}
+    assert sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect()) == list("abcde")
+    assert {r.batch for r in now.of()} == {e.batch for e in snapshots.current(spark, table).of()}
 
 
 def test_stream_sets_uncastable_rows_aside(spark, tmp):

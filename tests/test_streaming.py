@@ -83,15 +83,3 @@ def test_chained_ingest_stream_with_archive(spark, tmp):
     got = sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect())
     assert got == ["e0", "e1", "e2", "e3", "e4", "e7"]
     assert bronze.read(spark, bpath).count() == 7
-
-
-def test_stored_ids_are_not_shuffled_for_a_batch_of_checked_size(spark, monkeypatch):
-    from medallion.streaming import silver_stream
-
-    fresh = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "event_id string, n int")
-    known = spark.createDataFrame([("a",), (None,), ("z",)], "_known string")
-    small = silver_stream._without_known(fresh, known)
-    assert [r.n for r in small.collect()] == [2]
-    assert "LeftSemi, BuildRight" in small._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(silver_stream, "BROADCAST_IDS", 0)
-    assert [r.n for r in silver_stream._without_known(fresh, known).collect()] == [2]
