@@ -105,7 +105,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, keep: list[str], url: str =
     rows = pages.select(F.struct(*keep).alias("_keep"), host.alias("host"), path.alias("path"))
     listed = written(_listed(rules), "url-rules")
     decided = written(decide(rows.select("host", "path").distinct(), listed), "url-verdicts")
-    judged = rows.join(decided, ["host", "path"], "left")
+    judged = rows.join(decided.hint("merge"), ["host", "path"], "left")
     return judged.select("_keep.*", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
 
 
