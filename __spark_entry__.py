@@ -308,6 +308,25 @@ def gold_build_published(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("in_earlier_build", F.lit(False)).alias("in_earlier_build"))
 
 
+def unique_customers_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers per state and month, re-aggregated from the stored
+    daily bitmaps of numbered customers."""
+    from medallion.functions.bitmaps import numbered
+    from medallion.plans import marts, questions
+
+    w = _warehouse(spark, sf_dir)
+    root = scratch_path(spark, "daily-customers")
+    w.dim_customers.select("customer_sk", F.col("state").alias("customer_state")).write.parquet(f"{root}/customers")
+    states = spark.read.parquet(f"{root}/customers")
+    first = states.groupBy("customer_sk").agg(F.min("customer_state").alias("state"))
+    first.write.parquet(f"{root}/keys")
+    numbers = numbered(spark.read.parquet(f"{root}/keys"), "customer_sk", ["state"])
+    numbers.select("customer_sk", "member_no").write.parquet(f"{root}/numbers")
+    members = states.join(spark.read.parquet(f"{root}/numbers"), "customer_sk")
+    marts.mart_daily_customers(w.fct_orders, members).write.parquet(f"{root}/daily")
+    return questions.unique_customers_by_month(spark.read.parquet(f"{root}/daily"))
+
+
 def dim_date_spanning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar covering the order-creation days found in the data."""
     w = _warehouse(spark, sf_dir)
@@ -347,6 +366,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "revenue_by_status",
     ):
         q[name] = _question(name)
+    q["unique_customers_by_month"] = unique_customers_by_month
     if _llm is not None:
         q |= _llm.queries()
     return q

@@ -430,6 +430,9 @@ SELECT customer_state, year_month,
        CAST(sum(completed_orders) AS BIGINT) AS completed_orders,
        CAST(sum(gross_revenue) AS DOUBLE) / CAST(sum(orders_count) AS DOUBLE) AS avg_order_value
 FROM mart_daily_revenue GROUP BY 1, 2""")
+    q["unique_customers_by_month"] = _with("""
+SELECT c.state AS customer_state, strftime(o.created_at, '%Y-%m') AS year_month, count(DISTINCT o.customer_sk) AS unique_customers
+FROM fct_orders o JOIN dim_customers c ON o.customer_sk = c.customer_sk WHERE o.created_at IS NOT NULL GROUP BY 1, 2""")
     q["revenue_by_status"] = _with("""
 SELECT funnel_step, status_name, orders_count, revenue_in_status FROM mart_order_funnel
 WHERE status_name NOT IN ('delivered', 'canceled')""")

@@ -9,9 +9,9 @@ Failures are counted the way the declared tests define them:
   from the parent.
 
 Cost per relation: ONE pass for all its ``not_null`` and
-``accepted_values`` tests together that shuffles violations only, ONE partially aggregated exchange for all
-its ``unique`` columns (stacked as ``(column, value)`` pairs), and one
-left-anti join per relationship. Reports are DataFrames, so a suite over
+``accepted_values`` tests together that shuffles violations only, ONE partially aggregated exchange of
+64-bit hashes for all its ``unique`` columns, and one
+left-anti join per relationship. Values themselves are compared only where a hash repeats. Reports are DataFrames, so a suite over
 many relations is a single union the caller can write or collect (it has
 one row per test).
 """
@@ -26,7 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion import contracts as C
+from medallion.session import scratch_path
 
+# Most repeated hashes (longs) that are broadcast to the values they are looked up in.
+BROADCAST_HASHES = 1_000_000
 REPORT_SCHEMA = "relation string, column_name string, test string, failures bigint"
 
 
@@ -161,16 +164,43 @@ def unique(df: DataFrame, rel: str, col: str) -> DataFrame:
     return unique_many(df, rel, [col])
 
 
-def unique_many(df: DataFrame, rel: str, cols: list[str]) -> DataFrame:
-    """All ``unique`` checks of one relation through ONE exchange.
+def _hash_of(i: int, col: str, bits: int) -> str:
+    """64 bits of which the last ones are the column's number."""
+    return f"(shiftleft(shiftright(xxhash64(CAST({_q(col)} AS STRING)), {bits}), {bits}) | {i}L)"
+
+
+def repeated_hashes(df: DataFrame, rel: str, cols: list[str]) -> DataFrame:
+    """(relation, column number, hash) of the hashes that more than one row has.
+
+    A value is one long in the only exchange, counted map-side first, so a hot
+    value is one row for each task. Equal values have equal hashes.
+    """
+    bits = max(1, (len(cols) - 1).bit_length())
+    items = ", ".join(f"CASE WHEN {_q(c)} IS NOT NULL THEN {_hash_of(i, c, bits)} END" for i, c in enumerate(cols))
+    counts = df.selectExpr(f"explode(array_compact(array({items}))) AS h").groupBy("h").count()
+    return counts.where("`count` > 1").selectExpr(f"{_s(rel)} AS relation", f"CAST(h & {(1 << bits) - 1} AS INT) AS k", "h")
+
+
+def unique_many(df: DataFrame, rel: str, cols: list[str], suspects: DataFrame | None = None, among: list[str] | None = None) -> DataFrame:
+    """The ``unique`` checks of ``cols`` through ONE exchange of values.
 
     Each row is stacked into ``(column, value)`` pairs (values as their
     string form, which is injective within a column's type), the pairs are
     counted per key with map-side partial aggregation, and a global
     conditional count per column gives the failures (NULLs never fail).
+    With ``suspects`` (``repeated_hashes`` of all columns ``among``) only pairs whose hash repeats are.
     """
-    items = ", ".join(f"struct({_s(c)} AS k, CAST({_q(c)} AS STRING) AS v)" for c in cols)
-    counts = df.selectExpr(f"inline(array({items}))").groupBy("k", "v").count()
+    among = among or cols
+    bits = max(1, (len(among) - 1).bit_length())
+    number = {c: among.index(c) for c in cols}
+    items = ", ".join(
+        f"struct({_s(c)} AS k, CAST({_q(c)} AS STRING) AS v" + (f", {_hash_of(i, c, bits)} AS h" if suspects else "") + ")"
+        for c, i in number.items()
+    )
+    pairs = df.selectExpr(f"inline(array({items}))")
+    if suspects:
+        pairs = pairs.where("v IS NOT NULL").join(suspects, "h", "left_semi")
+    counts = pairs.groupBy("k", "v").count()
     wide = counts.selectExpr(*[
         f"CAST(count_if(v IS NOT NULL AND `count` > 1 AND k = {_s(c)}) AS BIGINT) AS u{i}"
         for i, c in enumerate(cols)
@@ -178,6 +208,34 @@ def unique_many(df: DataFrame, rel: str, cols: list[str]) -> DataFrame:
     return _stack(wide, rel, [(c, "unique", f"u{i}") for i, c in enumerate(cols)])
 
 
+def unique_suite(relations: Callable[[str], DataFrame], columns: dict[str, list[str]]) -> list[DataFrame]:
+    """The ``unique`` checks of all relations in two phases.
+
+    First every value is counted by its hash, all relations in one job; the hashes that
+    repeat are stored in the shared folder. A column without any has no failure and isn't read
+    again. Of the others only the values with such a hash are compared as text.
+    """
+    spark = relations(next(iter(columns))).sparkSession
+    path = scratch_path(spark, "dq-repeated")
+    _union_all([repeated_hashes(relations(rel), rel, cols) for rel, cols in columns.items()]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    suspects: dict[str, dict[int, int]] = defaultdict(dict)
+    for r in stored.groupBy("relation", "k").count().collect():  # one row for each failing or colliding column
+        suspects[r["relation"]][r["k"]] = r["count"]
+    parts, clean = [], []
+    for rel, cols in columns.items():
+        hit = [c for i, c in enumerate(cols) if i in suspects[rel]]
+        clean += [(rel, c, "unique", 0) for c in cols if c not in hit]
+        if hit:
+            hashes = stored.where(F.col("relation") == rel).select("h")
+            if sum(suspects[rel].values()) <= BROADCAST_HASHES:
+                hashes = F.broadcast(hashes)
+            parts.append(unique_many(relations(rel), rel, hit, hashes, cols))
+    if clean:
+        parts.append(spark.createDataFrame(clean, REPORT_SCHEMA))
+    return parts
+
+
 def column_checks(df: DataFrame, rel: str, checks: list[Check]) -> DataFrame:
     """All not_null and accepted_values checks of one relation in one pass.
 
@@ -220,14 +278,15 @@ def run(
     for c in checks:
         by_rel[c.relation].append(c)
     parts: list[DataFrame] = []
+    keys = {rel: [c.column for c in cs if c.test == "unique"] for rel, cs in by_rel.items()}
+    keys = {rel: cols for rel, cols in keys.items() if cols}
+    if keys:
+        parts += unique_suite(get, keys)
     for rel, cs in by_rel.items():
         df = get(rel)
         col_cs = [c for c in cs if c.test in ("not_null", "accepted_values")]
         if col_cs:
             parts.append(column_checks(df, rel, col_cs))
-        uniq = [c.column for c in cs if c.test == "unique"]
-        if uniq:
-            parts.append(unique_many(df, rel, uniq))
         for c in cs:
             if c.test == "relationships":
                 parts.append(relationships(df, rel, c.column, get(c.to), c.field))

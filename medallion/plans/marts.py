@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from medallion import contracts as C
 from medallion.functions.aggregates import count_true, mean, ratio
+from medallion.functions.bitmaps import member_bitmaps
 
 # A calendar is broadcast by hint only when its day count is known to be at
 # most this (a century of days is ~36.5k rows, a few MB).
@@ -23,8 +24,10 @@ def mart_daily_revenue(
 
     Plan: orders ⋈ customers on ``customer_sk`` (shuffle join; AQE splits a
     customer holding a large share of orders), then the grouped aggregate on
-    ``(created_date_key, customer_state)`` with map-side partial aggregation,
-    then the calendar attributes joined to the *aggregated* rows. Joining
+    ``(created_date_key, customer_state)`` with map-side partial aggregation.
+    The distinct customers are an aggregate of their own, as two distinct counts in one
+    would expand every order into three rows; both meet as aggregated rows.
+    Then come the calendar attributes, joined to the *aggregated* rows too. Joining
     the calendar after grouping is exact because ``date_key`` is unique in the
     calendar, and keeps the six grouping columns out of the big shuffle.
     The calendar is broadcast when its size is known (``calendar_days``);
@@ -39,7 +42,6 @@ def mart_daily_revenue(
     n = F.count(F.lit(1))
     agg = enriched.groupBy("created_date_key", "customer_state").agg(
         F.count_distinct("order_id").alias("orders_count"),
-        F.count_distinct("customer_sk").alias("unique_customers"),
         F.sum("order_amount").alias("gross_revenue"),
         mean("order_amount").alias("avg_order_value"),
         F.min("order_amount").alias("min_order_value"),
@@ -51,6 +53,13 @@ def mart_daily_revenue(
         ratio(count_true("is_completed"), n).alias("completion_rate"),
         ratio(count_true("is_delivered"), n).alias("delivery_rate"),
     )
+    # a day's customers once each before they meet their states: two columns of the fact
+    pairs = fct_orders.select("created_date_key", "customer_sk").distinct().join(c, "customer_sk", "inner")
+    unique = pairs.groupBy(F.col("created_date_key").alias("_day"), F.col("customer_state").alias("_state")).agg(
+        F.count_distinct("customer_sk").alias("unique_customers")
+    )
+    same = (F.col("created_date_key").eqNullSafe(F.col("_day"))) & (F.col("customer_state").eqNullSafe(F.col("_state")))
+    agg = agg.join(unique, same, "inner")
     d = dim_date.select(
         F.col("date_key").alias("day_date_key"),
         F.col("full_date").alias("day_date"),
@@ -101,3 +110,14 @@ def mart_order_funnel(fct_orders: DataFrame) -> DataFrame:
         F.round("avg_amount", 2).alias("avg_amount"),
         F.round(ratio(F.col("orders_count"), total), 4).alias("pct_of_total"),
     ).orderBy("funnel_step", "status_name")
+
+
+def mart_daily_customers(fct_orders: DataFrame, numbered_customers: DataFrame) -> DataFrame:
+    """Bitmaps of the customers that ordered, per (day, customer state).
+
+    ``numbered_customers``: customer_sk, customer_state, member_no (``functions.bitmaps.numbered``,
+    by state, so that a day and state touch few ranges). The rows roll up exactly over any
+    days and states.
+    """
+    o = fct_orders.select("created_date_key", "customer_sk").distinct()
+    return member_bitmaps(o.join(numbered_customers, "customer_sk", "inner"), ["created_date_key", "customer_state"])

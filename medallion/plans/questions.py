@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from medallion import contracts as C
 from medallion.functions import hour_boundaries
 from medallion.functions.aggregates import mean, ratio
+from medallion.functions.bitmaps import member_counts, rolled_up
 
 
 def avg_days_to_delivery(fct_orders: DataFrame) -> DataFrame:
@@ -119,6 +120,16 @@ def revenue_by_month(mart_daily_revenue: DataFrame) -> DataFrame:
     )
 
 
+def unique_customers_by_month(mart_daily_customers: DataFrame) -> DataFrame:
+    """U06 (customers): distinct ordering customers per state and month, from the
+    daily bitmaps alone; sums of daily counts would count a customer once a day."""
+    month = F.floor(F.col("created_date_key") / 100).cast("int")
+    days = mart_daily_customers.where(F.col("created_date_key").isNotNull()).withColumn("month_key", month)
+    months = rolled_up(days, ["customer_state", "month_key"])
+    counts = member_counts(months, ["customer_state", "month_key"], "unique_customers")
+    return counts.select("customer_state", F.regexp_replace(F.col("month_key").cast("string"), r"(\d\d)$", r"-$1").alias("year_month"), "unique_customers")
+
+
 def revenue_by_status(mart_order_funnel: DataFrame) -> DataFrame:
     """Pending (non-terminal) orders and the revenue held in each status."""
     return mart_order_funnel.where(~F.col("status_name").isin(*C.TERMINAL_STATUSES)).select(

@@ -40,3 +40,45 @@ def test_column_checks_multiply_no_rows_and_report_no_failure_as_zero(spark):
     assert "Expand" not in rep._jdf.queryExecution().executedPlan().toString()
     none = quality.column_checks(df.where("false"), "r", checks)
     assert [r.failures for r in none.collect()] == [0, 0, 0, 0]
+
+
+def test_unique_in_two_phases(spark, monkeypatch):
+    rows = [(i, f"v{i % 40}", None if i % 3 else "x", 1.5 * (i % 7)) for i in range(50)] + [(None, None, None, None)] * 3
+    df = spark.createDataFrame(rows, "k int, name string, kind string, d double")
+    checks = [Check("r", c, "unique") for c in ("k", "name", "kind", "d")]
+    for limit in (10**6, 0):
+        monkeypatch.setattr(quality, "BROADCAST_HASHES", limit)
+        got = {r.column_name: r.failures for r in quality.run({"r": df}, checks).collect()}
+        assert got == {"k": 0, "name": 10, "kind": 1, "d": 7}
+    assert {r.column_name: r.failures for r in quality.run({"r": df.where("false")}, checks).collect()} == dict.fromkeys(got, 0)
+
+
+def test_colliding_hashes_are_no_failure(spark, monkeypatch):
+    monkeypatch.setattr(quality, "_hash_of", lambda i, col, bits: f"CAST({i} AS BIGINT)")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "k int, name string")
+    got = {r.column_name: r.failures for r in quality.run({"r": df}, [Check("r", "k", "unique"), Check("r", "name", "unique")]).collect()}
+    assert got == {"k": 0, "name": 1}
+
+
+def _shuffled_bytes(df):
+    """Data size of all shuffles of a query that has run."""
+
+    def size(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return size(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return size(node.plan())
+        own = node.metrics().apply("dataSize").value() if name == "Exchange" else 0
+        kids = node.children()
+        return own + sum(size(kids.apply(i)) for i in range(kids.size()))
+
+    df.collect()
+    return size(df._jdf.queryExecution().executedPlan())
+
+
+def test_hashes_move_less_than_half_the_bytes_of_values(spark):
+    ids = spark.range(20_000).selectExpr("md5(cast(id as string)) AS order_sk", "concat('order-', uuid()) AS order_id")
+    hashes = _shuffled_bytes(quality.repeated_hashes(ids, "r", ids.columns))
+    values = _shuffled_bytes(quality.unique_many(ids, "r", ids.columns))
+    assert 0 < hashes < values / 2
