@@ -266,6 +266,48 @@ def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("_source_file", fixtures.logical_file("_source_file"))
 
 
+def notified_ingest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The domain's events of both deliveries go through the sink with the landing contract's
+    file names; the stream reads the files that the notifications name. Returns Silver ``orders_created``
+    (names are random, so files and load times are left out)."""
+    from medallion.contracts import SILVER_SPECS
+    from medallion.sources.ndjson import publish_events
+    from medallion.streaming import run_available_now, start_notified_stream
+    from medallion.streaming.silver_stream import read_silver
+
+    apply_conf(spark)
+    root = scratch_path(spark, "notified")
+    domain = fixtures.domain_lines(spark, sf_dir)
+    for lines in (domain, domain.where("_redeliver")):
+        publish_events(lines, f"{root}/landing", notify=f"{root}/notifications")
+        run_available_now(lambda t: start_notified_stream(
+            spark, f"{root}/notifications", f"{root}/landing", f"{root}/bronze", f"{root}/_ckpt", silver_root=f"{root}/silver", trigger=t))
+    kept = read_silver(spark, f"{root}/silver", "orders_created")
+    return kept.select(*[f.name for f in SILVER_SPECS["orders_created"].fields])
+
+
+def silver_refresh_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T02 (``REFRESH_MODE = AUTO``): Silver brought up to date after each of three loads, the two deliveries and the
+    redelivery once more: a full refresh first, then whichever the measured bytes of the new
+    loads call for. Returns each table's ids with the kept delivery, and the recorded choices."""
+    from medallion import jobs
+    from medallion.contracts import SILVER_SPECS
+    from medallion.streaming.silver_stream import read_silver
+
+    apply_conf(spark)
+    root = scratch_path(spark, "auto-refresh")
+    first, again = fixtures.deliveries(spark, sf_dir)
+    choices = []
+    for i, (lines, at) in enumerate(((first, fixtures.FIRST_LOAD_AT), (again, fixtures.REDELIVERY_AT), (again, "2026-01-09 00:00:00"))):
+        bronze.load_and_write(lines, f"{root}/bronze", f"d{i}", at)
+        done = jobs.refresh_auto(spark, f"{root}/bronze", f"{root}/silver", full_above=0.5)
+        choices += [(f"choice {i}", f"{n}: {done[n]['mode']}", None) for n in SILVER_SPECS]
+    out = spark.createDataFrame(choices, "table_name string, event_id string, _source_file string")
+    for n in SILVER_SPECS:
+        out = out.unionAll(read_silver(spark, f"{root}/silver", n).select(F.lit(n).alias("table_name"), "event_id", "_source_file"))
+    return out
+
+
 def silver_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of the first delivery, the amount of every seventh turned into text,
     through Silver upkeep that sets rows with uncastable values aside."""
@@ -348,6 +390,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[f"stream_ingest_{name}"] = _stream_ingest(name)
     q["stream_replay_compact_refresh"] = stream_replay_compact_refresh
     q["stream_two_sources"] = stream_two_sources
+    q["notified_ingest_orders"] = notified_ingest_orders
+    q["silver_refresh_auto"] = silver_refresh_auto
     q["silver_quarantine"] = silver_quarantine
     q["gold_build_published"] = gold_build_published
     for name in ("fct_orders", "fct_order_lifecycle", "mart_daily_revenue", "mart_order_funnel"):

@@ -344,6 +344,14 @@ FROM tele_files""")
          for b in ("cr_base", "cu_base", "oc_base", "sc_base")]
         + [f"SELECT '{name}', event_id, _source_file FROM {dt}" for name, dt in SILVER_COLS.items()]
     ))
+    q["notified_ingest_orders"] = _with(
+        "SELECT event_id, event_timestamp, event_version, order_id, customer_id, amount, currency, item_count FROM dt_orders_created")
+    # the first run refreshes; a tenth of the events redelivered is less than half of what is stored
+    q["silver_refresh_auto"] = _with(" UNION ALL ".join(
+        [f"SELECT 'choice {i}' AS table_name, '{name}: {mode}' AS event_id, NULL AS _source_file"
+         for i, mode in enumerate(("full", "incremental", "incremental")) for name in SILVER_COLS]
+        + [f"SELECT '{name}', event_id, _source_file FROM {dt}" for name, dt in SILVER_COLS.items()]
+    ))
     q["silver_quarantine"] = _with(
         "SELECT event_id, CASE WHEN k % 7 <> 0 THEN amount END AS amount, k % 7 = 0 AS set_aside FROM oc_base")
     q["gold_build_published"] = _with("SELECT *, true AS audited, true AS in_earlier_build FROM fct_orders")

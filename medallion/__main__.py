@@ -50,6 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--silver", help="Silver root folder (Parquet)")
     s.add_argument("--database", help="catalog database for bucketed Silver tables")
     s.add_argument("--buckets", type=int, default=0)
+    s.add_argument("--auto", action="store_true", help="apply the new loads only, or rebuild, whichever their size calls for")
 
     s = sub.add_parser("build", help="write Gold models and run the data tests")
     s.add_argument("--silver", required=True)
@@ -69,6 +70,7 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--horizon-days", type=int, default=None)
     s.add_argument("--archive-dir")
+    s.add_argument("--notifications", help="folder of finalize notifications: read the files they name, list nothing")
     s.add_argument("--quarantine", action="store_true", help="set rows with uncastable values aside")
 
     a = p.parse_args(argv)
@@ -96,6 +98,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.cmd == "refresh":
         if a.buckets and a.database:
             out = jobs.refresh_silver_bucketed(spark, a.bronze, a.database, a.buckets)
+        elif a.silver and a.auto:
+            done = jobs.refresh_auto(spark, a.bronze, a.silver)
+            out = {n: f"{p['mode']} ({p['new_bytes']} of {p['all_bytes']} bytes new)" for n, p in done.items()}
         elif a.silver:
             out = jobs.refresh_silver(spark, a.bronze, a.silver)
         else:
@@ -112,8 +117,16 @@ def main(argv: list[str] | None = None) -> int:
         if rows and a.fail_on_test:
             return 1
     elif a.cmd == "stream":
-        from medallion.streaming import start_ingest_stream
-
+        from medallion.streaming import start_ingest_stream, start_notified_stream
+
+        if a.notifications:
+            q = start_notified_stream(
+                spark, a.notifications, a.landing, a.bronze, a.checkpoint, a.silver,
+                trigger={"availableNow": True} if a.available_now else None,
+                horizon_days=a.horizon_days, quarantine=a.quarantine,
+            )
+            q.awaitTermination()
+            return 0
         q = start_ingest_stream(
             spark, a.landing, a.bronze, a.silver, a.checkpoint,
             trigger={"availableNow": True} if a.available_now else None,

@@ -21,8 +21,8 @@ from medallion import materialize, snapshots
 from medallion.operators import bronze, quality, silver
 from medallion.plans.warehouse import Warehouse
 from medallion.sources.ndjson import read_lines
-from medallion.streaming import run_available_now, start_bronze_stream
-from medallion.streaming.silver_stream import id_segment
+from medallion.streaming import run_available_now, start_bronze_stream, upkeep_batch
+from medallion.streaming.silver_stream import id_segment, unread_loads
 
 # Silver's batch of a full refresh.
 REFRESH_BATCH = "refresh"
@@ -140,14 +140,16 @@ def expire(spark: SparkSession, roots: list[str], keep_versions: int = 100) -> d
 
 
 def refresh_silver(
-    spark: SparkSession, bronze_path: str, silver_root: str, threads: int = 4
+    spark: SparkSession, bronze_path: str, silver_root: str, threads: int = 4,
+    names: list[str] | None = None, progress: dict[str, dict] | None = None,
 ) -> dict[str, str]:
     """E2 (full refresh, S15): rebuild every Silver table from all of Bronze.
 
     The four tables read disjoint Bronze partitions and are written by
     concurrently submitted jobs. Each is replaced in one step, with its id ledger; if a
     batch is published while it is being rebuilt, it is rebuilt again, so that no row of that batch is
-    lost or there twice. The stream goes on from a refreshed table.
+    lost or there twice. The stream goes on from a refreshed table. ``names`` limits it to some tables; ``progress`` is published
+    with a table, by table.
     """
 
     def write(item) -> tuple[str, str]:
@@ -161,14 +163,16 @@ def refresh_silver(
             rows = spark.read.schema(silver.table_schema(spec)).parquet(f"{path}/{folder}")
             entries = [snapshots.Entry(folder, stream=REFRESH_BATCH, batch=batch), id_segment(spark, path, rows, batch, REFRESH_BATCH)]
             try:
-                snapshots.publish(spark, path, lambda v: snapshots.swapping(_untouched(v, base), list(base.entries), entries))
+                mark = (progress or {}).get(name, {})
+                snapshots.publish(spark, path, lambda v: replace(
+                    snapshots.swapping(_untouched(v, base), list(base.entries), entries), progress=v.progress | mark))
                 return name, path
             except snapshots.Overtaken:
                 continue
         raise snapshots.Overtaken(path)
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        return dict(pool.map(write, C.SILVER_SPECS.items()))
+        return dict(pool.map(write, [(n, s) for n, s in C.SILVER_SPECS.items() if names is None or n in names]))
 
 
 def _untouched(now: snapshots.Snapshot, base: snapshots.Snapshot) -> snapshots.Snapshot:
@@ -177,6 +181,49 @@ def _untouched(now: snapshots.Snapshot, base: snapshots.Snapshot) -> snapshots.S
     return now
 
 
+def refresh_auto(
+    spark: SparkSession, bronze_path: str, silver_root: str, full_above: float = 0.5, threads: int = 4
+) -> dict[str, dict]:
+    """Bring Silver up to date in the cheaper way (T02, ``REFRESH_MODE = AUTO``).
+
+    Per table, the stored bytes of its event type in loads that it hasn't read are measured against those in all
+    of Bronze: up to the share ``full_above`` the new loads alone are applied
+    (``upkeep_batch``), above it, or for a table that was never written, the table is rebuilt. Both end in the same
+    rows. Nothing is read to decide: sizes come from the file system. The choice, its bytes
+    and the Bronze version reached are published with the table (``progress["auto"]``) and returned by table.
+    """
+    bronze_now = snapshots.current(spark, bronze_path)
+
+    def size(entries: list[snapshots.Entry], spec) -> int:
+        total = 0
+        for e in entries:
+            fs, folder = snapshots.file_system(spark, f"{bronze_now.root}/{e.folder}/_event_type={spec.event_type}")
+            total += fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+        return total
+
+    def plan(item) -> tuple[str, dict]:
+        name, spec = item
+        mine = snapshots.current(spark, f"{silver_root.rstrip('/')}/{spec.table}")
+        after = mine.progress.get("auto", {}).get("to", -1)
+        new = size(unread_loads(bronze_now, after), spec)
+        every = size(bronze_now.of(), spec)
+        full = not mine.of() or new > full_above * every
+        return name, {"mode": "full" if full else "incremental", "new_bytes": new, "all_bytes": every, "from": after, "to": bronze_now.version}
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        plans = dict(pool.map(plan, C.SILVER_SPECS.items()))
+    rebuilt = [n for n, p in plans.items() if p["mode"] == "full"]
+    if rebuilt:
+        refresh_silver(spark, bronze_path, silver_root, threads, rebuilt, {n: {"auto": plans[n]} for n in rebuilt})
+    for start in sorted({p["from"] for p in plans.values() if p["mode"] == "incremental"}):
+        names = [n for n, p in plans.items() if p["mode"] == "incremental" and p["from"] == start]
+        loads = unread_loads(bronze_now, start)
+        if loads:
+            upkeep_batch(bronze.read_entries(spark, bronze_now, loads), bronze_now.version, silver_root, names, threads=threads,
+                         stream="auto", progress={n: {"auto": plans[n]} for n in names})
+    return plans
+
+
 def refresh_silver_bucketed(
     spark: SparkSession, bronze_path: str, database: str, buckets: int
 ) -> dict[str, str]:

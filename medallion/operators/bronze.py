@@ -162,13 +162,14 @@ def load_and_write(
     ingested_at: Column | str | None = None,
     max_bad_ratio: str | float = MAX_BAD_RATIO,
     stream: str | None = None,
+    extra: list[snapshots.Entry] | None = None,
 ) -> None:
     """Gate ``lines`` and publish them as load ``load_id``, parsing each line ONCE.
 
     The parsed lines are written once, to a staged folder of this attempt that no
     reader knows; a bad line is a row without a value in a folder of its own. The counts
     of the files come from two small columns of what is stored (the file's name and the
-    folder). The folders of event types then become the load as they are; only
+    folder). ``extra`` entries of the load (ledger segments) are published with it. The folders of event types then become the load as they are; only
     types with lines of a rejected file are copied without them, still without
     parsing. Nothing of the load is cached, and it is published in one step (``snapshots``).
     """
@@ -199,7 +200,7 @@ def load_and_write(
         if not fs.rename(jvm_path(f"{staged}/_event_type={name}"), jvm_path(target, f"_event_type={name}")):
             raise OSError(f"{staged}/_event_type={name} could not be moved to {folder}")
     fs.delete(jvm_path(staged), True)
-    _publish(spark, root, load_id, stream, folder)
+    _publish(spark, root, load_id, stream, folder, extra)
 
 
 def _stamp(ingested_at: Column | str | None) -> Column:
@@ -222,9 +223,9 @@ def _written(rows: DataFrame, folder: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_event_type").parquet(folder)
 
 
-def _publish(spark, root: str, load_id: str, stream: str | None, folder: str) -> None:
-    entry = snapshots.Entry(folder, stream=stream, batch=load_id)
-    snapshots.publish(spark, root, lambda now: snapshots.replacing(now, stream, load_id, [entry]))
+def _publish(spark, root: str, load_id: str, stream: str | None, folder: str, extra: list[snapshots.Entry] | None = None) -> None:
+    entries = [snapshots.Entry(folder, stream=stream, batch=load_id), *(extra or ())]
+    snapshots.publish(spark, root, lambda now: snapshots.replacing(now, stream, load_id, entries))
 
 
 def event_type(raw: Column | str = "raw_data") -> Column:

@@ -7,9 +7,20 @@ lines frame ``(value, _source_file)`` is what the Bronze gate consumes.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion import snapshots
+
+# File names of the landing contract (fixed value): time of publishing in UTC, 8 random hex digits.
+FILE_NAME = "events-{at:%Y%m%d-%H%M%S}-{random}.ndjson"
+NOTIFICATION_SCHEMA = "name string, size string, eventType string"
+FINALIZED = "OBJECT_FINALIZE"
 
 LINES_SCHEMA = "value string"
 
@@ -104,3 +115,67 @@ def write_ndjson(
         writer = writer.option("compression", compression)
     writer.text(path)
     return path
+
+
+def publish_events(
+    events: DataFrame,
+    landing: str,
+    prefix: str = "events/",
+    value_col: str = "value",
+    notify: str | None = None,
+    at: dt.datetime | None = None,
+    threads: int = 16,
+) -> list[str]:
+    """NDJSON sink with the landing contract's file names.
+
+    Spark writes the lines into a hidden folder; once that job has committed, each of its files is renamed to
+    ``<landing>/<prefix>events-YYYYMMDD-HHMMSS-<8 hex>.ndjson``, so a file is there whole or not at all, and
+    a job that fails publishes nothing. Names never overwrite. Files without lines
+    aren't published; without any line it is a ``ValueError``. With ``notify`` a finalize notification
+    of each file is put into that folder, as a bucket would send it. Returns the published
+    paths: one for each task that had lines.
+    """
+    spark = events.sparkSession
+    root = landing.rstrip("/")
+    staged = f"{root}/_staged-{uuid.uuid4().hex}"
+    events.select(F.col(value_col).alias("value")).where(F.col("value").isNotNull()).write.text(staged)
+    fs, folder = snapshots.file_system(spark, staged)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    parts = [(st.getPath(), st.getLen()) for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-") and st.getLen()]
+    if not parts:
+        fs.delete(folder, True)
+        raise ValueError("no events to publish")
+    when = at or dt.datetime.now(dt.timezone.utc)
+    fs.mkdirs(path(f"{root}/{prefix}x").getParent())
+
+    def publish(part) -> str:
+        source, size = part
+        while True:
+            name = prefix + FILE_NAME.format(at=when, random=uuid.uuid4().hex[:8])
+            if snapshots.moved(spark, source, path(f"{root}/{name}")):
+                break
+        if notify:
+            text = json.dumps({"name": name, "size": str(size), "eventType": FINALIZED})
+            snapshots.create_text(spark, f"{notify.rstrip('/')}/{uuid.uuid4().hex}.json", text)
+        return f"{root}/{name}"
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        out = sorted(pool.map(publish, parts))
+    fs.delete(folder, True)
+    return out
+
+
+def stream_notifications(spark: SparkSession, path: str, prefix: str = "events/", max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Names of newly landed objects, from finalize notifications (one JSON object a line)
+    that a bucket's subscription puts into ``path``; others, and names elsewhere than under ``prefix``, are left out."""
+    reader = spark.readStream.format("text").schema(LINES_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    sent = reader.load(path).select(F.from_json("value", NOTIFICATION_SCHEMA).alias("n")).select("n.*")
+    return sent.where((F.col("eventType") == FINALIZED) & F.startswith(F.col("name"), F.lit(prefix))).select("name")
+
+
+def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of exactly these files; no folder is listed."""
+    return _with_file(spark.read.format("text").load(paths))

@@ -5,12 +5,13 @@ Every stream uses ``foreachBatch`` so the very same batch functions
 published as one version of each table (``medallion.snapshots``), named by the stream's own id
 and the batch's, so a replayed batch (after a failure) takes the place of its own output
 instead of duplicating it and never that of another stream. ``start_ingest_stream`` chains landing ->
-Bronze -> Silver in one stream (recommended); ``start_bronze_stream`` and
+Bronze -> Silver in one stream (recommended); ``start_notified_stream`` does so for the files that
+notifications name, without listing any folder; ``start_bronze_stream`` and
 ``start_silver_stream`` run the two hops as separate streams;
-``start_silver_stream_within_watermark`` dedupes in the state store.
+``start_silver_stream_within_watermark`` keeps the ids of a bounded horizon only.
 """
 
-from medallion.streaming.bronze_stream import start_bronze_stream, start_ingest_stream
+from medallion.streaming.bronze_stream import start_bronze_stream, start_ingest_stream, start_notified_stream
 from medallion.streaming.silver_stream import (
     start_silver_stream,
     start_silver_stream_within_watermark,
@@ -20,6 +21,7 @@ from medallion.streaming.silver_stream import (
 __all__ = [
     "start_bronze_stream",
     "start_ingest_stream",
+    "start_notified_stream",
     "start_silver_stream",
     "start_silver_stream_within_watermark",
     "upkeep_batch",

@@ -42,7 +42,8 @@ def batch_tag(batch_id: int, stream: str | None = None) -> str:
     return f"{stream}-{batch_id:012d}" if stream else f"{batch_id:012d}"
 
 
-def _segments(entries: list[snapshots.Entry], root: str, since: str | None = None) -> list[tuple[str, dict]]:
+def segments_of(entries: list[snapshots.Entry], root: str, since: str | None = None) -> list[tuple[str, dict]]:
+    """What ``ledger.known`` takes, of a version's ledger entries."""
     return [(f"{root}/{e.folder}", e.info) for e in entries if since is None or (e.info.get("until") or since) >= since]
 
 
@@ -74,19 +75,19 @@ def _adopt(spark: SparkSession, target: str, name: str) -> snapshots.Snapshot:
         return snapshots.current(spark, target)
 
 
-def merge_ids(spark: SparkSession, target: str) -> int:
+def merge_ids(spark: SparkSession, target: str, kind: str = IDS) -> int:
     """Merge segments of the ledger that are due; returns how many went. The newest
     segment of each stream stays, as its batch may be replayed."""
     now = snapshots.current(spark, target)
-    newest = {e.stream: e for e in now.of(IDS)}
+    newest = {e.stream: e for e in now.of(kind)}
     done = 0
-    loose = [e for e in now.of(IDS) if newest[e.stream] is not e]
+    loose = [e for e in now.of(kind) if newest[e.stream] is not e]
     for group in ledger.due([e.info["ids"] for e in loose]):
         old = [loose[i] for i in group]
-        folder = f"_{IDS}/m-{snapshots.fresh_id()}"
-        shape = ledger.merged(spark, _segments(old, target), f"{target}/{folder}")
+        folder = f"_{kind}/m-{snapshots.fresh_id()}"
+        shape = ledger.merged(spark, segments_of(old, target), f"{target}/{folder}")
         until = max((e.info.get("until") or "" for e in old), default="")
-        merged = snapshots.Entry(folder, IDS, "merged", folder, info=shape | {"until": until or None})
+        merged = snapshots.Entry(folder, kind, "merged", folder, info=shape | {"until": until or None})
         try:
             snapshots.publish(spark, target, lambda v: snapshots.swapping(v, old, [merged]))
         except snapshots.Overtaken:
@@ -97,7 +98,7 @@ def merge_ids(spark: SparkSession, target: str) -> int:
 
 def _upkeep_one(
     batch: DataFrame, tag: str, silver_root: str, name: str, since: str | None, quarantine: bool = False,
-    stream: str | None = None, progress: dict | None = None,
+    stream: str | None = None, progress: dict | None = None, evict: bool = False,
 ) -> None:
     spark = batch.sparkSession
     spec = SILVER_SPECS[name]
@@ -119,7 +120,7 @@ def _upkeep_one(
             own = [e for e in base.entries if e.batch == tag]
             if len(own) == 1:
                 return  # its rows or its ids are part of a compaction: taken in for good
-            fresh, passed = _without_known(rows, _segments([e for e in base.of(IDS) if e.batch != tag], target, since))
+            fresh, passed = _without_known(rows, segments_of([e for e in base.of(IDS) if e.batch != tag], target, since))
             folder = f"_batch={tag}/_try={snapshots.fresh_id()}"
             fresh.write.mode("overwrite").parquet(f"{target}/{folder}")
             if passed is not None:
@@ -132,7 +133,10 @@ def _upkeep_one(
                 if any(e.folder not in before for e in now.of(IDS)):
                     raise snapshots.Overtaken(target)  # ids that this batch hasn't been compared with
                 after = snapshots.replacing(now, stream, tag, entries)
-                return replace(after, progress=now.progress | (progress or {}))
+                kept = after.entries
+                if evict and since is not None:
+                    kept = tuple(e for e in kept if e.kind != IDS or e.batch == tag or (e.info.get("until") or since) >= since)
+                return replace(after, entries=kept, progress=now.progress | (progress or {}))
 
             try:
                 snapshots.publish(spark, target, change)
@@ -164,12 +168,13 @@ def upkeep_batch(
     quarantine: bool = False,
     stream: str | None = None,
     progress: dict[str, dict] | None = None,
+    evict: bool = False,
 ) -> None:
     """Apply one Bronze micro-batch to the Silver tables.
 
     ``stream`` names the stream whose batch it is (``snapshots.stream_id``). A batch
     that is applied again takes the place of its earlier rows. ``progress`` is published
-    with a table's rows, by table.
+    with a table's rows, by table. ``evict`` drops the ledger's segments beyond ``horizon_days``.
 
     A value that fails its cast stops the batch; with ``quarantine`` its row is
     written to the table's quarantine folder instead and the other rows go on.
@@ -187,7 +192,7 @@ def upkeep_batch(
     todo = list(names or SILVER_SPECS)
 
     def one(n: str) -> None:
-        _upkeep_one(batch, tag, silver_root, n, since, quarantine, stream, (progress or {}).get(n))
+        _upkeep_one(batch, tag, silver_root, n, since, quarantine, stream, (progress or {}).get(n), evict)
 
     if threads > 1 and len(todo) > 1:
         with ThreadPoolExecutor(max_workers=min(threads, len(todo))) as pool:
@@ -213,6 +218,7 @@ def start_silver_stream(
     names=None,
     horizon_days: int | None = None,
     max_files_per_trigger: int | None = None,
+    evict: bool = False,
 ) -> StreamingQuery:
     """Start Bronze -> Silver upkeep (default trigger: the 5 minute lag target).
 
@@ -245,7 +251,7 @@ def start_silver_stream(
                 continue
             tables = [n for n in todo if starts[n] == start]
             progress = {n: {stream: {"batch": batch_id, "from": start, "to": now.version}} for n in tables}
-            upkeep_batch(bronze.read_entries(spark, now, loads), batch_id, silver_root, tables, horizon_days, stream=stream, progress=progress)
+            upkeep_batch(bronze.read_entries(spark, now, loads), batch_id, silver_root, tables, horizon_days, stream=stream, progress=progress, evict=evict)
 
     return (
         src.writeStream.foreachBatch(write)
@@ -272,29 +278,15 @@ def start_silver_stream_within_watermark(
     silver_root: str,
     checkpoint: str,
     name: str,
-    horizon: str = "7 days",
+    horizon_days: int = 7,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Throughput alternative to ``start_silver_stream``.
+    """``start_silver_stream`` of one table with bounded state.
 
-    Dedupe by ``event_id`` in the streaming state store, bounded by a
-    watermark on the load time: duplicates arriving within ``horizon`` of the
-    first delivery are dropped and state older than that is evicted. Unlike
-    the ``foreachBatch`` upkeep it does not pick the earliest of several copies
-    arriving in the same micro-batch (it keeps one of them).
+    Of the copies of an event in one batch the earliest is kept, as in a full refresh, and copies that
+    come within ``horizon_days`` of load time after the first are dropped: the result is
+    the full refresh's whenever redeliveries are no later than that (the queue's replay window).
+    Segments of the id ledger that are older go with the batch that no longer needs them, so
+    state and cost stay those of the horizon, not of the history; a copy later than that is appended again.
     """
-    spec = SILVER_SPECS[name]
-    src = spark.readStream.schema(bronze.BRONZE_TABLE_SCHEMA).parquet(bronze_path)
-    typed = silver.extract(src, spec).withColumn(
-        "_wm", F.col("_ingested_at").cast("timestamp")  # watermarks need TIMESTAMP
-    )
-    deduped = typed.withWatermark("_wm", horizon).dropDuplicatesWithinWatermark(["event_id"])
-    return (
-        deduped.drop("_wm")
-        .writeStream.format("parquet")
-        .option("path", f"{silver_root}/{spec.table}")
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**(trigger or {"processingTime": "5 minutes"}))
-        .start()
-    )
+    return start_silver_stream(spark, bronze_path, silver_root, checkpoint, trigger, [name], horizon_days, evict=True)

@@ -52,21 +52,47 @@ def test_replayed_batch_is_idempotent(spark, tmp):
     assert F
 
 
-def test_watermark_dedupe_variant(spark, tmp):
+def test_bounded_keep_first_equals_the_refresh_within_its_horizon(spark, tmp):
+    from medallion import snapshots
     from medallion.streaming.silver_stream import start_silver_stream_within_watermark
 
-    bpath = os.path.join(tmp, "bronze")
-    b1 = bronze.load(lines_df(spark, [(oc("e1"), "f1"), (oc("e2"), "f1")]), "2026-01-01 00:00:00")
-    b2 = bronze.load(lines_df(spark, [(oc("e2"), "f2"), (oc("e3"), "f2")]), "2026-01-01 01:00:00")
-    bronze.write_load(b1, bpath, "l1")
-    sroot = os.path.join(tmp, "silver")
-    for load_id, b in (("l1", None), ("l2", b2)):
-        if b is not None:
-            bronze.write_load(b, bpath, load_id)
-        run_available_now(lambda t: start_silver_stream_within_watermark(
-            spark, bpath, sroot, os.path.join(tmp, "ck"), "orders_created", trigger=t))
-    got = sorted(r.event_id for r in spark.read.parquet(os.path.join(sroot, "dt_orders_created")).collect())
-    assert got == ["e1", "e2", "e3"]
+    bpath, sroot = os.path.join(tmp, "bronze"), os.path.join(tmp, "silver")
+    loads = [
+        ("2026-01-01", [("e1", "f1"), ("e2", "f1")]),
+        # two loads reach the stream in one batch: copies of e3 in both, and twice in one of them
+        ("2026-01-03", [("e3", "f3"), ("e3", "f2"), ("e2", "f2")]),
+        ("2026-01-02", [("e3", "f9"), ("e4", "f9"), ("e4", "f8")]),
+        ("2026-01-07", [("e1", "f5"), ("e5", "f5")]),
+    ]
+    for i, (day, rows) in enumerate(loads):
+        bronze.write_load(bronze.load(lines_df(spark, [(oc(e), f) for e, f in rows]), f"{day} 00:00:00"), bpath, f"l{i}")
+        if i != 1:
+            run_available_now(lambda t: start_silver_stream_within_watermark(spark, bpath, sroot, os.path.join(tmp, "ck"), "orders_created", trigger=t))
+    kept = sorted((r.event_id, r._source_file) for r in read_silver(spark, sroot, "orders_created").collect())
+    want = silver.build(bronze.read(spark, bpath), "orders_created")
+    assert kept == sorted((r.event_id, r._source_file) for r in want.collect())
+    assert kept == [("e1", "f1"), ("e2", "f1"), ("e3", "f9"), ("e4", "f8"), ("e5", "f5")]
+    # beyond the horizon the ids go, and a copy comes in again
+    bronze.write_load(bronze.load(lines_df(spark, [(oc("e1"), "f6"), (oc("e5"), "f6")]), "2026-01-13 00:00:00"), bpath, "late")
+    run_available_now(lambda t: start_silver_stream_within_watermark(spark, bpath, sroot, os.path.join(tmp, "ck"), "orders_created", trigger=t))
+    assert sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect()) == ["e1", "e1", "e2", "e3", "e4", "e5"]
+    segments = snapshots.current(spark, os.path.join(sroot, "dt_orders_created")).of("ids")
+    assert len(segments) == 2 and all(e.info["until"] >= "2026-01-06" for e in segments)
+
+
+def test_processing_time_trigger_keeps_running(spark, tmp):
+    from medallion.streaming import start_ingest_stream
+
+    landing, sroot = os.path.join(tmp, "landing"), os.path.join(tmp, "silver")
+    os.makedirs(landing)
+    q = start_ingest_stream(spark, landing, os.path.join(tmp, "bronze"), sroot, os.path.join(tmp, "ck"), trigger={"processingTime": "1 second"})
+    try:
+        for k in range(2):
+            write_landing(lines_df(spark, [(oc(f"e{k}"), f"events/{k}.ndjson"), (oc("e0"), f"events/{k}.ndjson")]), landing)
+            q.processAllAvailable()
+            assert sorted(r.event_id for r in read_silver(spark, sroot, "orders_created").collect()) == [f"e{i}" for i in range(k + 1)]
+    finally:
+        q.stop()
 
 
 def test_chained_ingest_stream_with_archive(spark, tmp):
