@@ -11,6 +11,8 @@ below it:
 * ``dq_suite``         the 117 declared checks over the stored tables
 * ``u01..u07``         analytical questions over the stored tables
 * ``stream_catch_up``  chained landing -> Bronze -> Silver stream, ``availableNow``
+* ``upkeep``           ``UPKEEP_BATCHES`` small batches, half of them redeliveries, onto a filled Silver
+                       table: time and ledger bytes of the first and the last ten (not part of the total)
 * ``fct_orders_window_form`` the literal 4-window/4-join shape, for comparison
 * ``skew_*``           fct_orders / fct_order_lifecycle with a third of all status
                        changes on one order (not part of the total)
@@ -26,6 +28,7 @@ import os
 import statistics
 import sys
 import time
+from urllib.parse import unquote
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -34,16 +37,18 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from medallion.contracts import SILVER_SPECS  # noqa: E402
 from medallion.functions import date_key, day_boundaries, surrogate_key  # noqa: E402
-from medallion.operators import bronze, quality, silver  # noqa: E402
+from medallion.operators import bronze, ledger, quality, silver  # noqa: E402
 from medallion.plans.warehouse import Warehouse  # noqa: E402
 from medallion.session import local_session, scratch_path  # noqa: E402
 from medallion.sources import fixtures  # noqa: E402
 from medallion.sources.ndjson import read_lines  # noqa: E402
-from medallion.streaming import run_available_now, start_ingest_stream  # noqa: E402
+from medallion.streaming import run_available_now, start_ingest_stream, upkeep_batch  # noqa: E402
+from medallion.streaming.silver_stream import read_silver  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+UPKEEP_BATCHES = 50
 CALENDAR = ("1995-01-01", "2000-12-31")
 
 
@@ -89,6 +94,41 @@ def fct_orders_window_form(oc: DataFrame, sc: DataFrame) -> DataFrame:
     )
 
 
+def upkeep(spark, root: str, lines: DataFrame) -> dict[str, float]:
+    """Cost of a batch on a filled table, early and after many batches."""
+    name = "orders_status_changed"
+    lines = lines.where(F.contains("value", F.lit('"event_id":"sc-'))).select("value", "_source_file")
+    lines.write.parquet(f"{root}/upkeep-lines")
+    lines = spark.read.parquet(f"{root}/upkeep-lines")
+    ledger.IDS_PER_BUCKET = 5_000  # buckets as a table a hundred times this size would have
+    silver_root, seconds, read = f"{root}/upkeep", [], []
+    whole, sizes = ledger._read, []
+
+    def counting(*args):
+        out = whole(*args)
+        if out is not None:
+            sizes.extend(os.path.getsize(unquote(f.removeprefix("file:").replace("//", "/", 1))) for f in out.inputFiles())
+        return out
+
+    ledger._read = counting
+    upkeep_batch(bronze.load(lines, fixtures.FIRST_LOAD_AT, max_files=10_000), 0, silver_root, [name])
+    for i in range(1, UPKEEP_BATCHES + 1):
+        again = lines.where(F.pmod(F.xxhash64("value"), F.lit(20 * UPKEEP_BATCHES)) == i)
+        fresh = again.withColumn("value", F.replace("value", F.lit('"event_id":"'), F.lit(f'"event_id":"n{i}-')))
+        batch = bronze.load(again.unionAll(fresh), fixtures.REDELIVERY_AT, max_files=10_000)
+        sizes.clear()
+        t = time.perf_counter()
+        upkeep_batch(batch, i, silver_root, [name])
+        seconds.append(time.perf_counter() - t)
+        read.append(sum(sizes))
+    ledger._read = whole
+    rows = read_silver(spark, silver_root, name)
+    assert rows.count() == rows.select("event_id").distinct().count()
+    mean = lambda x: round(statistics.mean(x), 3)
+    return {"upkeep_first10_sec": mean(seconds[:10]), "upkeep_last10_sec": mean(seconds[-10:]),
+            "upkeep_first10_kb": mean(x / 1024 for x in read[:10]), "upkeep_last10_kb": mean(x / 1024 for x in read[-10:])}
+
+
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=max(8, CPUS * 2))
     root = scratch_path(spark, "bench")
@@ -177,6 +217,8 @@ def main() -> None:
     q["stream_catch_up"] = round(time.perf_counter() - t, 3)
     info["stream_rows_per_sec"] = round(info["bronze_rows"] / q["stream_catch_up"], 1)
 
+    info |= upkeep(spark, scratch_path(spark, "bench-upkeep"), fixtures.deliveries(spark, SF_DIR)[0])
+
     headline = [k for k in q if k not in ("fct_orders_window_form", "skew_fct_orders", "skew_fct_order_lifecycle")]
     total = round(sum(q[k] for k in headline), 3)
     sf = SF_DIR.rstrip("/").rsplit("sf", 1)[-1]

@@ -2,7 +2,9 @@
 
 A segment holds the ids of one batch, or of several merged ones, in as many hash
 buckets as its size asks for (``IDS_PER_BUCKET``), sorted by id, and a Bloom filter of
-each bucket in blocks of 512 bits. A new batch is looked up in three steps:
+each bucket in blocks of 512 bits. A new batch is looked up in three steps.
+
+Segments of at most ``UNFILTERED`` ids have no filter and are read whole. In others:
 
 1. its ids meet the Bloom blocks of the buckets they fall in, about 1.4 bytes for each
    stored id of those buckets; ids without all their bits are new;
@@ -29,6 +31,8 @@ BLOCK_BITS = 512
 BITS_PER_ID = 11
 WORDS = BLOCK_BITS // 64
 PROBES = 6
+# A segment of so few ids is read as it is, without a filter.
+UNFILTERED = 4096
 # Segments of about equal size that are merged into one.
 FANOUT = 8
 # Largest batch, in rows and in bytes of ids, that is broadcast to what it is compared with.
@@ -49,23 +53,20 @@ def _block(h: Column, blocks: Column) -> Column:
     return F.pmod(F.shiftrightunsigned(h, 20), blocks).cast("int")
 
 
-def _bits(event_id: Column) -> Column:
-    """One long for each 64 bits of a block: the bits that an id sets there."""
-    second = F.xxhash64(event_id, F.lit(8))
-    at = [F.shiftrightunsigned(second, 9 * i).bitwiseAND(F.lit(BLOCK_BITS - 1)) for i in range(PROBES)]
-    words = []
-    for w in range(WORDS):
-        word = F.lit(0).cast("long")
-        for p in at:
-            bit = F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))
-            word = word.bitwiseOR(F.when(F.shiftrightunsigned(p, 6) == w, bit).otherwise(F.lit(0).cast("long")))
-        words.append(word.alias(f"w{w}"))
-    return F.struct(*words)
+def _bits_sql() -> str:
+    """One long for each 64 bits of a block: the bits that an id sets there. As text: one
+    call to the JVM instead of one for each of some hundred nodes."""
+    at = [f"(shiftrightunsigned(xxhash64(event_id, 8), {9 * i}) & {BLOCK_BITS - 1})" for i in range(PROBES)]
+    word = lambda w: " | ".join(f"CASE WHEN shiftrightunsigned({p}, 6) = {w} THEN shiftleft(1L, CAST({p} & 63 AS INT)) ELSE 0L END" for p in at)
+    return "struct(" + ", ".join(f"{word(w)} AS w{w}" for w in range(WORDS)) + ")"
+
+
+BITS = _bits_sql()
 
 
 def shape(ids: int) -> tuple[int, int]:
     """Buckets of a segment and Bloom blocks of a bucket."""
-    buckets = max(1, ceil(ids / IDS_PER_BUCKET))
+    buckets = 1 if ids <= UNFILTERED else max(1, ceil(ids / IDS_PER_BUCKET))
     return buckets, max(1, ceil(ids / buckets * BITS_PER_ID / BLOCK_BITS))
 
 
@@ -80,8 +81,10 @@ def write_segment(ids: DataFrame, path: str, count: int | None = None) -> dict:
     # one file for each bucket, sorted
     dealt = dealt.repartition(buckets, "_bucket").sortWithinPartitions("_bucket", "event_id")
     dealt.write.mode("overwrite").partitionBy("_bucket").parquet(f"{path}/ids")
+    if count <= UNFILTERED:
+        return {"ids": count, "buckets": 1, "blocks": 0, "empty": []}
     bloom = (
-        ids.select(_bucket(h, F.lit(buckets)).alias("_bucket"), _block(h, F.lit(blocks)).alias("block"), _bits(F.col("event_id")).alias("bits"))
+        ids.select(_bucket(h, F.lit(buckets)).alias("_bucket"), _block(h, F.lit(blocks)).alias("block"), F.expr(BITS).alias("bits"))
         .groupBy("_bucket", "block")
         .agg(*(F.bit_or(f"bits.w{w}").alias(f"w{w}") for w in range(WORDS)))
     )
@@ -92,18 +95,9 @@ def write_segment(ids: DataFrame, path: str, count: int | None = None) -> dict:
 
 
 def _read(spark: SparkSession, segments: list[tuple[str, dict]], hit: dict[int, list[int]], part: str, schema: str) -> DataFrame | None:
-    """Files of the buckets that were hit, with their segment's number."""
-    out = None
-    for s, buckets in hit.items():
-        folder, info = segments[s]
-        base, full = f"{folder}/{part}", set(buckets) - set(info["empty"])
-        if not full:
-            continue
-        # all of them: the folder itself; else only the named ones are listed and read
-        paths = [base] if len(full) == info["buckets"] - len(info["empty"]) else [f"{base}/_bucket={b}" for b in sorted(full)]
-        rows = spark.read.schema(f"{schema}, _bucket int").option("basePath", base).parquet(*paths).withColumn("_segment", F.lit(s))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Files of the buckets that were hit, in one scan; only their folders are listed."""
+    paths = [f"{segments[s][0]}/{part}/_bucket={b}" for s, buckets in sorted(hit.items()) for b in sorted(set(buckets) - set(segments[s][1]["empty"]))]
+    return spark.read.schema(schema).parquet(*paths) if paths else None
 
 
 def _touched(pairs: DataFrame) -> dict[int, list[int]]:
@@ -128,29 +122,43 @@ def known(ids: DataFrame, segments: list[tuple[str, dict]]) -> tuple[DataFrame |
     if not segments:
         return None, None
     small = _small(ids)
-    h = _hash(F.col("event_id"))
-    sizes = F.array(*(F.struct(F.lit(i).alias("s"), F.lit(x["buckets"]).alias("n"), F.lit(x["blocks"]).alias("k")) for i, (_, x) in enumerate(segments)))
-    places = (
-        ids.select("event_id", h.alias("_h"), F.explode(sizes).alias("_s"))
-        .select("event_id", F.col("_s.s").alias("_segment"), _bucket(F.col("_h"), F.col("_s.n")).alias("_bucket"), _block(F.col("_h"), F.col("_s.k")).alias("block"))
-    )
-    single = {i: [0] for i, (_, x) in enumerate(segments) if x["buckets"] == 1}
-    asked = single if len(single) == len(segments) else single | _touched(places.where(~F.col("_segment").isin(*single)) if single else places)
-    blooms = _read(spark, segments, asked, "bloom", "block int, " + ", ".join(f"w{w} long" for w in range(WORDS)))
-    if blooms is None:
-        return None, None
-    probes = places.withColumn("_bits", _bits(F.col("event_id")))
-    maybe = blooms.join(F.broadcast(probes) if small else probes, ["_segment", "_bucket", "block"])
-    for w in range(WORDS):
-        maybe = maybe.where(F.col(f"_bits.w{w}").bitwiseAND(F.col(f"w{w}")) == F.col(f"_bits.w{w}"))
-    maybe = maybe.select("event_id", "_segment", "_bucket").persist(StorageLevel.MEMORY_AND_DISK)
-    stored = _read(spark, segments, _touched(maybe), "ids", "event_id string")
-    if stored is None:
-        return None, maybe
-    stored = stored.select(F.col("event_id").alias("_known"))
-    candidates = maybe.select("event_id").distinct()
+    found, maybe = [], None
     same = F.col("event_id").eqNullSafe(F.col("_known"))
-    return stored.join(F.broadcast(candidates) if small else candidates, same, "left_semi").distinct(), maybe
+
+    def holding(hit: dict[int, list[int]], candidates: DataFrame) -> None:
+        stored = _read(spark, segments, hit, "ids", "event_id string")
+        if stored is not None:
+            stored = stored.select(F.col("event_id").alias("_known"))
+            found.append(stored.join(F.broadcast(candidates) if small else candidates, same, "left_semi"))
+
+    holding({i: [0] for i, (_, x) in enumerate(segments) if not x["blocks"]}, ids.select("event_id"))
+    filtered = {i: x for i, (_, x) in enumerate(segments) if x["blocks"]}
+    if filtered:
+        sizes = F.array(*(F.struct(F.lit(i).alias("s"), F.lit(x["buckets"]).alias("n"), F.lit(x["blocks"]).alias("k")) for i, x in filtered.items()))
+        places = (
+            ids.select("event_id", _hash(F.col("event_id")).alias("_h"), F.explode(sizes).alias("_s"))
+            .select("event_id", F.col("_s.s").alias("_segment"), _bucket(F.col("_h"), F.col("_s.n")).alias("_bucket"), _block(F.col("_h"), F.col("_s.k")).alias("block"))
+        )
+        single = {i: [0] for i, x in filtered.items() if x["buckets"] == 1}
+        asked = single if len(single) == len(filtered) else single | _touched(places.where(~F.col("_segment").isin(*single)) if single else places)
+        blooms = _read(spark, segments, asked, "bloom", "block int, " + ", ".join(f"w{w} long" for w in range(WORDS)))
+        if blooms is not None:
+            # a file's path says which bucket of which segment it is
+            place = F.regexp_extract(F.col("_metadata.file_path"), "/([^/]+)/bloom/_bucket=[0-9]+/", 1)
+            number = F.create_map(*(x for i in asked for x in (F.lit(segments[i][0].rsplit("/", 1)[1]), F.lit(i))))
+            bucket = F.regexp_extract(F.col("_metadata.file_path"), "/bloom/_bucket=([0-9]+)/", 1).cast("int")
+            blooms = blooms.withColumns({"_segment": F.element_at(number, place), "_bucket": bucket})
+            probes = places.withColumn("_bits", F.expr(BITS))
+            maybe = blooms.join(F.broadcast(probes) if small else probes, ["_segment", "_bucket", "block"])
+            maybe = maybe.where(" AND ".join(f"(_bits.w{w} & w{w}) = _bits.w{w}" for w in range(WORDS)))
+            maybe = maybe.select("event_id", "_segment", "_bucket").persist(StorageLevel.MEMORY_AND_DISK)
+            holding(_touched(maybe), maybe.select("event_id").distinct())
+    if not found:
+        return None, maybe
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.distinct(), maybe
 
 
 def due(sizes: list[int]) -> list[list[int]]:
@@ -168,7 +176,7 @@ def due(sizes: list[int]) -> list[list[int]]:
 def merged(spark: SparkSession, segments: list[tuple[str, dict]], path: str) -> dict:
     """Write the union of the segments' ids as one segment."""
     parts = [spark.read.schema("event_id string, _bucket int").parquet(f"{p}/ids").select("event_id") for p, x in segments if x["ids"]]
-    ids = parts[0]
+    ids = parts[0] if parts else spark.createDataFrame([], "event_id string")
     for p in parts[1:]:
         ids = ids.unionByName(p)
     return write_segment(ids.distinct(), path)

@@ -25,7 +25,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -47,10 +47,13 @@ def segments_of(entries: list[snapshots.Entry], root: str, since: str | None = N
     return [(f"{root}/{e.folder}", e.info) for e in entries if since is None or (e.info.get("until") or since) >= since]
 
 
-def id_segment(spark: SparkSession, root: str, rows: DataFrame, tag: str, stream: str | None = None) -> snapshots.Entry:
-    """A ledger segment of the stored ``rows`` (their ids are read back, one column)."""
+def id_segment(
+    spark: SparkSession, root: str, rows: DataFrame, tag: str, stream: str | None = None, measured: tuple | None = None
+) -> snapshots.Entry:
+    """A ledger segment of the stored ``rows`` (their ids are read back, one column);
+    ``measured``: their newest load time and their number, where known."""
     folder = f"_{IDS}/{tag}-{snapshots.fresh_id()}"
-    until, count = rows.agg(F.max("_ingested_at"), F.count(F.lit(1))).first()
+    until, count = measured or rows.agg(F.max("_ingested_at"), F.count(F.lit(1))).first()
     shape = ledger.write_segment(rows.select("event_id"), f"{root}/{folder}", count)
     return snapshots.Entry(folder, IDS, stream, tag, info=shape | {"until": until and until.isoformat()})
 
@@ -122,11 +125,14 @@ def _upkeep_one(
                 return  # its rows or its ids are part of a compaction: taken in for good
             fresh, passed = _without_known(rows, segments_of([e for e in base.of(IDS) if e.batch != tag], target, since))
             folder = f"_batch={tag}/_try={snapshots.fresh_id()}"
+            taken = Observation()  # newest load time and number of the rows, as they are written
+            fresh = fresh.observe(taken, F.max("_ingested_at").alias("until"), F.count(F.lit(1)).alias("n"))
             fresh.write.mode("overwrite").parquet(f"{target}/{folder}")
             if passed is not None:
                 passed.unpersist()
             written = spark.read.schema(silver.table_schema(spec)).parquet(f"{target}/{folder}")
-            entries = [snapshots.Entry(folder, stream=stream, batch=tag), id_segment(spark, target, written, tag, stream)]
+            measured = (taken.get["until"], taken.get["n"])
+            entries = [snapshots.Entry(folder, stream=stream, batch=tag), id_segment(spark, target, written, tag, stream, measured)]
 
             def change(now: snapshots.Snapshot) -> snapshots.Snapshot:
                 before = {e.folder for e in base.of(IDS)}

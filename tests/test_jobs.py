@@ -179,3 +179,23 @@ def test_stream_sets_uncastable_rows_aside(spark, tmp):
     assert [r.event_id for r in read_silver(spark, sroot, "orders_created").collect()] == ["a"]
     bad = spark.read.parquet(os.path.join(sroot, "dt_orders_created_quarantine")).collect()
     assert len(bad) == 1 and '"much"' in bad[0].raw_json
+
+
+def test_both_branches_of_the_automatic_refresh_give_the_same_tables(spark, tmp):
+    from medallion import snapshots
+    from medallion.operators import bronze
+    from medallion.streaming.silver_stream import read_silver
+
+    got = {}
+    for mode, full_above in (("incremental", 1.0), ("full", 0.0)):
+        bpath, sroot = os.path.join(tmp, mode, "bronze"), os.path.join(tmp, mode, "silver")
+        for i, ids in enumerate((["a", "b"], ["b", "c", "c"], ["a", "d"])):
+            bronze.load_and_write(_orders(spark, ids, f"f{i}"), bpath, f"l{i}", f"2026-01-0{i + 1} 00:00:00")
+            done = jobs.refresh_auto(spark, bpath, sroot, full_above)["orders_created"]
+            assert done["mode"] == ("full" if i == 0 else mode) and 0 < done["new_bytes"] <= done["all_bytes"]
+        table = os.path.join(sroot, "dt_orders_created")
+        assert snapshots.current(spark, table).progress["auto"] == done
+        again = jobs.refresh_auto(spark, bpath, sroot, 1.0)["orders_created"]
+        assert (again["mode"], again["new_bytes"]) == ("incremental", 0)
+        got[mode] = sorted(tuple(r) for r in read_silver(spark, sroot, "orders_created").collect())
+    assert got["incremental"] == got["full"] and len(got["full"]) == 4

@@ -207,6 +207,7 @@ def test_tables_without_versions_are_adopted(spark, tmp):
 
 def test_ledger_against_sets(spark, tmp, monkeypatch):
     monkeypatch.setattr(ledger, "IDS_PER_BUCKET", 50)
+    monkeypatch.setattr(ledger, "UNFILTERED", 1)
     history = [[f"id-{k}-{i}" for i in range(n)] for k, n in enumerate((400, 30, 1, 0))] + [[None, "x"]]
     segments = []
     for k, ids in enumerate(history):
@@ -220,10 +221,16 @@ def test_ledger_against_sets(spark, tmp, monkeypatch):
         passed.unpersist()
     one = (f"{tmp}/m", ledger.merged(spark, segments, f"{tmp}/m"))
     assert one[1]["ids"] == 433
+    assert ledger.merged(spark, [segments[3]] * 3, f"{tmp}/none")["ids"] == 0
     found, _ = ledger.known(rows_of(spark, [x for ids in history for x in ids]), [one])
     assert found.count() == 433
     assert ledger.known(rows_of(spark, ["a"]), []) == (None, None)
     assert ledger.known(rows_of(spark, []), [one])[0] is None
+    monkeypatch.setattr(ledger, "UNFILTERED", 500)  # without a filter: the same answer
+    plain = (f"{tmp}/p", ledger.merged(spark, segments, f"{tmp}/p"))
+    assert plain[1] == {"ids": 433, "buckets": 1, "blocks": 0, "empty": []}
+    found, passed = ledger.known(rows_of(spark, asked), [plain, segments[1]])
+    assert {r[0] for r in found.collect()} == {"id-0-3", "id-0-399", "id-1-0", None, "id-2-0"}
     assert ledger.due([1] * 8 + [70, 5]) == [list(range(8)) + [9]] and ledger.due([1] * 7) == []
 
 
