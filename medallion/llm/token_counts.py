@@ -12,8 +12,10 @@ attributes the tokens, and a token that crosses a boundary goes by the rule:
 Sections are the lines of the text, each with its newline, or the (start, end)
 code-point intervals of a column, sorted and not overlapping; what lies between
 them counts as ``outside``. Null or empty text: no tokens; one empty section
-(0, 0) by lines. Null sections: none. Repeated rows come out as often as they come in.
-No shuffle.
+(0, 0) by lines. Null sections: none. Repeated rows come out as often as they come in; an empty table gives an
+empty one. Very long texts are encoded whole: where white space runs on for ``LONG_SPACE`` characters, which the
+encoder's own pattern matcher can't take, the same pattern cuts the text by another matcher and
+the pieces are encoded one by one. No shuffle.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,9 @@ from medallion.llm._blocks import map_blocks
 
 BLOCK_BYTES = 4 << 20
 RULES = ("first", "last", "split")
+#: White space on end from which a text is cut before it is encoded.
+LONG_SPACE = 50_000
+_LONG_SPACE = regex.compile(r"\s{%d}" % LONG_SPACE)
 
 
 @lru_cache(1)
@@ -44,6 +50,13 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), length
 
 
+def encode(encoding, pattern: str, text: str) -> list[int]:
+    """Ids of the whole text."""
+    if len(text) < LONG_SPACE or not _LONG_SPACE.search(text):
+        return encoding.encode_ordinary(text)
+    return [i for piece in regex.finditer(pattern, text) for i in encoding._encode_single_piece(piece[0].encode())]
+
+
 def _attribute(ends: np.ndarray, starts: np.ndarray, stops: np.ndarray, rule: str):
     """Tokens by section, tokens that begin in a section and end beyond it, tokens outside all sections.
 
@@ -88,7 +101,7 @@ def attribute_tokens(docs: DataFrame, path: str, pattern: str, keep: list[str],
             for text, own in zip(block.column("_text").to_pylist(), given):
                 text = text or ""
                 data = text.encode()
-                ends = np.cumsum(length[np.array(encoding.encode_ordinary(text), np.int64)])
+                ends = np.cumsum(length[np.array(encode(encoding, pattern, text), np.int64)])
                 raw = np.frombuffer(data, np.uint8)
                 point = np.flatnonzero((raw & 0xC0) != 0x80)  # byte of each code point
                 if sections:
