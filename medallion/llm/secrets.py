@@ -38,9 +38,30 @@ RULES = [
 BASE = ("assign", "access", "hex")
 KINDS = [r[0] for r in RULES]
 SALTS = 8
+#: Matches whose places are summed up in one fold.
+STRETCH = 512
 FOUND = "array<struct<kind:string,start:int,end:int>>"
 
 
+def running_sums(lengths: Column) -> Column:
+    """Of an array that isn't empty, in stretches: a fold that appends to an array copies it at each step, so
+    one over all entries would be quadratic. Stretches cost ``STRETCH`` copies an entry, whatever their number."""
+
+    def append(a: Column, x: Column) -> Column:
+        return F.concat(a, F.array((F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + x).cast("int")))
+
+    none = F.array().cast("array<int>")
+    stretches = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / STRETCH).cast("int")), lambda k: F.slice(lengths, k * STRETCH + 1, F.lit(STRETCH)))
+
+    def placed(parts: Column) -> Column:  # the stretches, named once
+        sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda t, x: t + x))
+        before = F.get(F.transform(F.array(sums), lambda t: F.aggregate(t, none, append)), F.lit(0))
+        both = F.arrays_zip(parts.alias("p"), before.alias("b"), sums.alias("t"))
+        return F.flatten(F.transform(both, lambda z: F.transform(F.aggregate(z["p"], none, append), lambda e: (e + z["b"] - z["t"]).cast("int"))))
+
+    return F.get(F.transform(F.array(stretches), placed), F.lit(0))
+
+
 def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
     """Leftmost non-overlapping matches of the pattern whose group is long enough.
 
@@ -53,10 +74,7 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     whole = F.regexp_extract_all(text, F.lit(steps), F.lit(0))
     match = F.regexp_extract_all(text, F.lit(steps), F.lit(1))
     measured = F.regexp_extract_all(text, F.lit(steps), F.lit(2)) if group == 2 else match
-    ends = F.aggregate(
-        whole, F.array().cast("array<int>"),
-        lambda a, w: F.concat(a, F.array((F.coalesce(F.try_element_at(a, F.lit(-1)), F.lit(0)) + F.length(w)).cast("int"))),
-    )
+    ends = F.get(F.transform(F.array(F.transform(whole, F.length)), running_sums), F.lit(0))
     found = F.arrays_zip(ends.alias("e"), match.alias("m"), measured.alias("g"))
     return F.transform(
         F.filter(found, lambda x: F.length(x["g"]) >= least),
