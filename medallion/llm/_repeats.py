@@ -190,11 +190,12 @@ def repeats(docs: DataFrame, keep: list[str], unit: Unit, bucket: Callable, text
         rows.select("_row", "_text"), "_text", BLOCK_BYTES, lambda: _super_windows(unit),
         "anchor long, content long, place long, _row long, start int, n int, lead int",
     )
-    met = windows.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("anchor")
+    # a join whose other side is an aggregate can't split a hot anchor: what is counted is stored first
+    met = written(windows.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("anchor"), "met-anchors")
     again = written(windows.join(met, "anchor"), "repeated-anchors")
-    classes = again.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("members"), F.min("place").alias("head"))
-    contents = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
-    known = again.join(classes.join(contents, "anchor"), ["anchor", "content"])
+    classes = written(again.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("members"), F.min("place").alias("head")), "classes")
+    contents = written(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")), "contents")
+    known = again.join(written(classes.join(contents, "anchor"), "anchor-classes"), ["anchor", "content"])
     known = written(known.where("members > 1 or (contents > 1 and place = head)"), "repeated-classes")
     span = F.struct(F.col("start").alias("from"), (F.col("start") + F.col("n") + unit.length - 1).alias("to"))
     same = known.where("members > 1").select("_row", span.alias("run"))
