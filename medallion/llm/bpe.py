@@ -7,7 +7,7 @@ token before t stay apart when their bytes are encoded together. Each task
 puts the distinct words of a block in sorted order, which is the trie's
 depth-first order; the stack holds the last tokens along the current path, and
 a prefix that words share is worked out once. Words' encodings are kept
-between blocks up to ``CACHE_WORDS``. No shuffle; a row needs its own text only.
+between blocks, about twice ``CACHE_WORDS`` at most. No shuffle; a row needs its own text only.
 
 Null text is encoded as empty: no ids. Text that holds a special token's
 string gets the special id, as the tokenizers library does. Repeated rows come
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from medallion.llm._blocks import map_blocks
 
 BLOCK_BYTES = 4 << 20
-#: Encodings and pair decisions that a task keeps; the rest is worked out again.
+#: Encodings that a task keeps in each of two turns, and pair decisions; the rest is worked out again.
 CACHE_WORDS = 300_000
 CACHE_PAIRS = 400_000
 
@@ -65,6 +65,7 @@ class Encoder:
         self.longest = max(map(len, self.vocab))
         self.split = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.words: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
         self.pairs: dict[tuple, bool] = {}
 
     def merged(self, data: bytes) -> list[int]:
@@ -144,10 +145,12 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.pieces(t) for t in texts]
         if len(self.words) > CACHE_WORDS:
-            self.words = {}
+            self.older, self.words = self.words, {}  # words that come again move over, others go with the next turn
         self.words.update((k, (v,)) for k, v in self.special.items())
         new = set(chain.from_iterable(split)).difference(self.words)
-        self.learn(new)
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.words.update(again)
+        self.learn(new.difference(again))
         return [list(chain.from_iterable(map(self.words.__getitem__, p))) for p in split]
 
     def decode(self, ids: list[int]) -> str:
