@@ -7,18 +7,19 @@ super-window, a row of (anchor hash, hash of its content, place).
 
 1. Anchors are counted (map-side combined); those met once end here, which is
    nearly all of a corpus.
-2. Super-windows with equal content are counted as one class. If it has two
-   members or more, all their windows repeat; one member stands for them from here on, so
-   copies and passages by the thousand cost the buckets one string.
-3. Where an anchor has several contents, each class's string travels, packed, to the
-   anchor's bucket, where ``bucket`` (the operator's own sort) tells which windows
-   are equal. An anchor with over ``HOT`` contents isn't put into one bucket:
-   its windows travel one by one and are counted by hash, map-side combined.
-
-Decided by 64-bit hashes, without comparing text: rows (key columns and text),
-super-windows of one class (anchor and content; so most repeats, exact copies
-included, which never reach a bucket), windows of hot anchors. Only different
-contents of one anchor are compared as text, in its bucket.
+2. Super-windows with equal content hashes are a candidate class with a head. The
+   strings of all members travel, packed, and each is compared with its head's: a plain
+   join on the class, whose counted side is stored, so Spark splits a hot class. In a
+   class that agrees all windows repeat, and its head alone goes on: copies and passages
+   by the thousand cost the buckets one string. Of a class that doesn't agree (its hash
+   collided) every member goes on by itself.
+3. Where an anchor has several contents, their strings go to the anchor's bucket, where
+   ``bucket`` (the operator's own sort) tells which windows are equal. An anchor with
+   over ``HOT`` contents isn't put into one bucket: its windows travel one by one and
+   are counted by 64-bit hash, map-side combined, without comparing text.
+
+Rows are told apart by 128 bits of key columns and text; hashes of grams and contents
+only say what meets. A text of any length is cut in stretches of ``STRETCH`` units.
 """
 
 from __future__ import annotations
@@ -37,16 +38,21 @@ from medallion.llm._blocks import configure, map_blocks, written
 BLOCK_BYTES = 1 << 19
 #: Contents of an anchor that one bucket takes; with more, its windows are counted one by one.
 HOT = 4096
+#: Units of a text whose anchors are chosen at once; a place in a stretch and its windows has 28 bits.
+STRETCH = 1 << 27
 _SHIFT, _PLACE = np.uint64(28), np.uint64((1 << 28) - 1)
+#: A row's two key halves.
+ROW = ["_row", "_also"]
 
 
 @dataclass(frozen=True)
 class Unit:
-    """How a text is cut: words, or bytes; window length and gram width in units."""
+    """How a text is cut: words, or bytes; window length and gram width in units; bits of a content's hash."""
 
     words: bool
     length: int
     gram: int
+    bits: int = 64
 
 
 def _cut(texts: list[bytes], unit: Unit):
@@ -68,16 +74,20 @@ def _runs_of(first: np.ndarray, last: np.ndarray, grams: np.ndarray, unit: Unit)
     if n < width or not long_.any():
         none = np.zeros(0, np.int64)
         return none, none, none, none
-    v = ((grams >> _SHIFT) << _SHIFT) | np.arange(n, dtype=np.uint64)
-    v = np.concatenate([v, np.full(-n % width, ~np.uint64(0))])
-    tiles = v.reshape(-1, width)
-    ahead = np.minimum.accumulate(tiles, axis=1).ravel()
-    back = np.minimum.accumulate(tiles[:, ::-1], axis=1)[:, ::-1].ravel()
+    least = []
+    for s in range(0, n - width + 1, STRETCH):
+        part = grams[s : s + STRETCH + width - 1]
+        m = len(part)
+        v = ((part >> _SHIFT) << _SHIFT) | np.arange(m, dtype=np.uint64)
+        tiles = np.concatenate([v, np.full(-m % width, ~np.uint64(0))]).reshape(-1, width)
+        ahead = np.minimum.accumulate(tiles, axis=1).ravel()
+        back = np.minimum.accumulate(tiles[:, ::-1], axis=1)[:, ::-1].ravel()
+        least.append((np.minimum(back[: m - width + 1], ahead[width - 1 : m]) & _PLACE).astype(np.int64) + s)
     mark = np.zeros(n + 2, np.int32)
     np.add.at(mark, first[long_], 1)
     np.add.at(mark, np.minimum(last[long_] - unit.length + 1, n + 1), -1)
     window = np.flatnonzero(np.cumsum(mark[: n - width + 1]) > 0)
-    anchor = (np.minimum(back[window], ahead[window + width - 1]) & _PLACE).astype(np.int64)
+    anchor = np.concatenate(least)[window]
     cut = np.flatnonzero(np.diff(anchor, prepend=-1))
     count = np.diff(cut, append=len(window))
     text = np.searchsorted(first, window[cut], side="right") - 1
@@ -89,48 +99,50 @@ def _super_windows(unit: Unit):
     def each(block):
         first, last, grams, base = _cut([(t or "").encode() for t in block.column("_text").to_pylist()], unit)
         text, window, count, anchor = _runs_of(first, last, grams, unit)
-        row = block.column("_row").to_numpy(zero_copy_only=False).view(np.uint64)
+        row, also = (block.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ROW)
         if unit.words:
             # the words' hashes as a sequence, by prefix sums over mixed positions
             up, down = H._power(len(base) + 1)
             sums = np.concatenate([[np.uint64(0)], np.cumsum(H.mix(base) * up[: len(base)])]).astype(np.uint64)
         else:
             sums = base
-        content = H.run_hashes(sums, window, window + unit.length + count - 1)
+        content = H.run_hashes(sums, window, window + unit.length + count - 1) >> np.uint64(64 - unit.bits)
         start = window - first[text]
-        place = H.mix(row[text] + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        place = H.mix(row[text] + H.mix(also[text]) + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (grams[anchor].view(np.int64), content.view(np.int64), place.view(np.int64), row[text].view(np.int64), start.astype(np.int32), count.astype(np.int32), (anchor - window).astype(np.int32))],
-            ["anchor", "content", "place", "_row", "start", "n", "lead"],
+            [pa.array(x) for x in (grams[anchor].view(np.int64), content.view(np.int64), place.view(np.int64), row[text].view(np.int64), also[text].view(np.int64), start.astype(np.int32), count.astype(np.int32), (anchor - window).astype(np.int32))],
+            ["anchor", "content", "place", *ROW, "start", "n", "lead"],
         )
 
     return each
 
 
 def _pack(unit: Unit):
-    """Strings of the super-windows that travel, and window hashes of those of hot anchors.
+    """Strings of the super-windows that travel, and window hashes of the heads of hot anchors.
     Rows of one key have one text and lie together: the first that a task meets stands for them."""
-    seen: set[int] = set()
+    seen: set[tuple[int, int]] = set()
+    passed = ("anchor", "content", "start", "n", "lead", "members", "head", "mixed")
 
     def each(block):
-        out = {k: [] for k in ("anchor", "_row", "start", "n", "lead", "single", "packed", "windows")}
-        for row, text, todo in zip(*(block.column(c).to_pylist() for c in ("_row", "_text", "todo"))):
-            if row in seen:
+        out = {k: [] for k in (*passed, *ROW, "packed", "windows")}
+        for row, also, text, todo in zip(*(block.column(c).to_pylist() for c in (*ROW, "_text", "todo"))):
+            if (row, also) in seen:
                 continue
-            seen.add(row)
+            seen.add((row, also))
             data = text.encode()
             parts = data.split() if unit.words else None
-            if any(x["hot"] for x in todo):
+            if any(x["hot"] and x["head"] for x in todo):
                 first, last, _, base = _cut([data], unit)
                 whole = H.word_grams(base, unit.length) if unit.words else H.gram_hashes(base, unit.length)
             for x in todo:
                 a, b = x["start"], x["start"] + x["n"] + unit.length - 1
-                for k in ("anchor", "start", "n", "lead", "single"):
+                for k in passed:
                     out[k].append(x[k])
                 out["_row"].append(row)
-                out["packed"].append(None if x["hot"] else b" ".join(parts[a:b]) if unit.words else data[a:b])
-                out["windows"].append(whole[a : a + x["n"]].view(np.int64) if x["hot"] else None)
-        kinds = {"n": pa.int32(), "start": pa.int32(), "lead": pa.int32(), "single": pa.bool_(), "packed": pa.binary(), "windows": pa.list_(pa.int64())}
+                out["_also"].append(also)
+                out["packed"].append(b" ".join(parts[a:b]) if unit.words else data[a:b])
+                out["windows"].append(whole[a : a + x["n"]].view(np.int64) if x["hot"] and x["head"] else None)
+        kinds = {"n": pa.int32(), "start": pa.int32(), "lead": pa.int32(), "head": pa.bool_(), "mixed": pa.bool_(), "packed": pa.binary(), "windows": pa.list_(pa.int64())}
         yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()], list(out))
 
     return each
@@ -148,17 +160,17 @@ def _buckets(bucket: Callable, unit: Unit, members: int = 20_000):
             group = np.cumsum(np.diff(anchor, prepend=anchor[:1]) != 0)
             packed = table.column("packed").to_pylist()
             found = bucket(group, packed, table.column("lead").to_numpy(), table.column("n").to_numpy(), unit)  # a mask of windows each
-            row, start, single = (table.column(c).to_numpy(zero_copy_only=False) for c in ("_row", "start", "single"))
-            rows, a, b = [], [], []
+            row, also, start, single = (table.column(c).to_numpy(zero_copy_only=False) for c in (*ROW, "start", "single"))
+            rows, a, b = [], [], []  # rows: numbers in the table
             for i, mask in found:
                 if single[i]:
                     edge = np.flatnonzero(np.diff(mask, prepend=False, append=False))
-                    rows += [row[i]] * (len(edge) // 2)
+                    rows += [i] * (len(edge) // 2)
                     a.append(start[i] + edge[::2])
                     b.append(start[i] + edge[1::2] - 1 + unit.length)
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), pa.array(np.concatenate(a), pa.int32()), pa.array(np.concatenate(b), pa.int32())], ["_row", "from", "to"]
+                    [pa.array(row[rows]), pa.array(also[rows]), pa.array(np.concatenate(a), pa.int32()), pa.array(np.concatenate(b), pa.int32())], [*ROW, "from", "to"]
                 )
 
         for batch in batches:
@@ -185,37 +197,48 @@ def repeats(docs: DataFrame, keep: list[str], unit: Unit, bucket: Callable, text
     that repeating windows cover (unsorted, overlapping), null if none."""
     configure(docs.sparkSession)
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = rows.withColumn("_row", F.xxhash64(*keep, "_text"))
+    rows = rows.withColumn("_row", F.xxhash64(*keep, "_text")).withColumn("_also", F.xxhash64(F.lit("also"), "_text", *keep))
     windows = map_blocks(
-        rows.select("_row", "_text"), "_text", BLOCK_BYTES, lambda: _super_windows(unit),
-        "anchor long, content long, place long, _row long, start int, n int, lead int",
+        rows.select(*ROW, "_text"), "_text", BLOCK_BYTES, lambda: _super_windows(unit),
+        "anchor long, content long, place long, _row long, _also long, start int, n int, lead int",
     )
     # a join whose other side is an aggregate can't split a hot anchor: what is counted is stored first
     met = written(windows.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("anchor"), "met-anchors")
     again = written(windows.join(met, "anchor"), "repeated-anchors")
-    classes = written(again.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("members"), F.min("place").alias("head")), "classes")
+    classes = written(again.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("members"), F.min("place").alias("first")), "classes")
     contents = written(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")), "contents")
     known = again.join(written(classes.join(contents, "anchor"), "anchor-classes"), ["anchor", "content"])
-    known = written(known.where("members > 1 or (contents > 1 and place = head)"), "repeated-classes")
-    span = F.struct(F.col("start").alias("from"), (F.col("start") + F.col("n") + unit.length - 1).alias("to"))
-    same = known.where("members > 1").select("_row", span.alias("run"))
+    known = known.where("members > 1 or contents > 1").withColumn("head", F.expr("place = first"))
 
-    todo = F.struct("anchor", "start", "n", "lead", (F.col("members") == 1).alias("single"), (F.col("contents") > HOT).alias("hot"))
-    travel = known.where("contents > 1 and place = head").groupBy("_row").agg(F.collect_set(todo).alias("todo"))  # a text's own, once for all rows of its key
+    todo = F.struct("anchor", "content", "start", "n", "lead", "members", "head", F.expr("contents > 1").alias("mixed"), (F.col("contents") > HOT).alias("hot"))
+    travel = known.groupBy(*ROW).agg(F.collect_set(todo).alias("todo"))  # a text's own, once for all rows of its key
     packed = map_blocks(
-        rows.select("_row", "_text").join(travel.hint("shuffle_hash"), "_row"), "_text", BLOCK_BYTES, lambda: _pack(unit),
-        "anchor long, _row long, start int, n int, lead int, single boolean, packed binary, windows array<long>",
+        rows.select(*ROW, "_text").join(travel.hint("shuffle_hash"), ROW), "_text", BLOCK_BYTES, lambda: _pack(unit),
+        "anchor long, content long, start int, n int, lead int, members long, head boolean, mixed boolean, _row long, _also long, packed binary, windows array<long>",
     )
     packed = written(packed, "packed-windows")
-    dealt = packed.where("packed is not null").drop("windows").repartition("anchor").sortWithinPartitions("anchor", "_row", "start")
-    sorted_ = dealt.mapInArrow(_buckets(bucket, unit), "_row long, `from` int, `to` int")
-    single = packed.where("windows is not null").select("_row", "start", "single", F.posexplode("windows").alias("at", "window"))
-    twice = single.groupBy("window").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    counted = single.where("single").join(twice, "window")
+
+    several = packed.where("members > 1")
+    heads = several.where("head").select("anchor", "content", F.col("packed").alias("own"))
+    place = [*ROW, "anchor", "content", "start", "n"]
+    checked = written(several.join(heads, ["anchor", "content"]).select(*place, F.expr("packed = own").alias("equal")), "compared-classes")
+    apart = written(checked.where("not equal").select("anchor", "content").distinct(), "collided-classes")
+    agreed = checked.join(apart, ["anchor", "content"], "left_anti")
+    same = agreed.select(*ROW, F.struct(F.col("start").alias("from"), (F.col("start") + F.col("n") + unit.length - 1).alias("to")).alias("run"))
+
+    single = F.expr("members = 1").alias("single")
+    string = [*ROW, "anchor", "start", "n", "lead", "packed"]
+    one_each = packed.where("head and mixed and windows is null").join(apart, ["anchor", "content"], "left_anti").select(*string, single)
+    by_itself = several.join(apart, ["anchor", "content"], "left_semi").select(*string, F.lit(True).alias("single"))
+    dealt = one_each.unionByName(by_itself).repartition("anchor").sortWithinPartitions("anchor", *ROW, "start")
+    sorted_ = dealt.mapInArrow(_buckets(bucket, unit), "_row long, _also long, `from` int, `to` int")
+    hot = packed.where("windows is not null").select(*ROW, "start", single, F.posexplode("windows").alias("at", "window"))
+    twice = hot.groupBy("window").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    counted = hot.where("single").join(twice, "window")
     one = F.struct((F.col("start") + F.col("at")).alias("from"), (F.col("start") + F.col("at") + unit.length).alias("to"))
-    runs = same.unionByName(sorted_.select("_row", F.struct("from", "to").alias("run"))).unionByName(counted.select("_row", one.alias("run")))
-    by_row = runs.groupBy("_row").agg(F.collect_set("run").alias("runs"))  # a text's own, once for all rows of its key
-    return rows.join(by_row.hint("shuffle_hash"), "_row", "left").drop("_row")
+    runs = same.unionByName(sorted_.select(*ROW, F.struct("from", "to").alias("run"))).unionByName(counted.select(*ROW, one.alias("run")))
+    by_row = runs.groupBy(*ROW).agg(F.collect_set("run").alias("runs"))  # a text's own, once for all rows of its key
+    return rows.join(by_row.hint("shuffle_hash"), ROW, "left").drop(*ROW)
 
 
 def merged(runs) -> list[tuple[int, int]]:

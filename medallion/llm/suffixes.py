@@ -85,6 +85,38 @@ class BlindTrie:
                 stack += [node[1][k] for k in sorted(node[1], reverse=True)]
 
 
+def multikey_quicksort(group: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Order by group and the first ``SHALLOW`` keys, and the (begin, size) of parts that agree in all of them.
+
+    Each part takes its middle key as pivot and falls into three; the equal one goes on with
+    the next key. All open parts take a step at once; a part of one string is done.
+    """
+    order = np.argsort(group, kind="stable")
+    begin = np.flatnonzero(np.diff(group[order], prepend=-1))
+    size = np.diff(begin, append=len(order))
+    depth = np.zeros(len(begin), np.int64)
+    deep: list[tuple[int, int]] = []
+    while True:
+        open_ = size > 1
+        begin, size, depth = begin[open_], size[open_], depth[open_]
+        done = depth == SHALLOW
+        deep += zip(begin[done].tolist(), size[done].tolist())
+        begin, size, depth = begin[~done], size[~done], depth[~done]
+        if not len(begin):
+            return order, deep
+        first = np.cumsum(size) - size
+        part = np.repeat(np.arange(len(size)), size)
+        at = np.arange(len(part)) + (begin - first)[part]
+        number = order[at]
+        key = keys[number, depth[part]]
+        pivot = key[first + size // 2][part]
+        third = 3 * part + (key >= pivot) + (key > pivot)
+        order[at] = number[np.argsort(third, kind="stable")]
+        size = np.bincount(third, minlength=3 * len(begin))
+        depth = np.repeat(depth, 3) + np.tile([0, 1, 0], len(begin))
+        begin = np.repeat(begin - first, 3) + np.cumsum(size) - size
+
+
 def deep_shallow(group: np.ndarray, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings within their groups, and the common prefix of each with the one before (-1 where a group begins)."""
     n = len(strings)
@@ -92,17 +124,8 @@ def deep_shallow(group: np.ndarray, strings: list[bytes]) -> tuple[np.ndarray, n
     width = -(-max(int(lengths.max()), SHALLOW * 8) // 8) * 8
     matrix = np.frombuffer(b"".join(s.ljust(width, b"\0") for s in strings), np.uint8).reshape(n, width)
     keys = matrix.view(">u8")
-    order = np.argsort(group, kind="stable")
-    segment = group[order].astype(np.int64)
-    for k in range(SHALLOW):  # ternary parts of all segments at once
-        fresh = np.lexsort((keys[order, k], segment))
-        order = order[fresh]
-        key = keys[order, k]
-        segment = segment[fresh]
-        segment = np.cumsum((np.diff(segment, prepend=-1) != 0) | (np.diff(key, prepend=key[:1]) != 0))
-    cut = np.flatnonzero(np.diff(segment, prepend=-1))
-    size = np.diff(cut, append=n)
-    for a, m in zip(cut[size > 1].tolist(), size[size > 1].tolist()):
+    order, deep = multikey_quicksort(group, keys)
+    for a, m in deep:
         trie = BlindTrie()
         for i in order[a : a + m].tolist():
             trie.add(strings[i], i)

@@ -89,6 +89,46 @@ def test_hot_anchors_are_counted_by_window(docs, monkeypatch):
     assert sorted(map(str, substrings.remove_repeats(docs, ["doc_id"]).drop("removed").collect())) == want
 
 
+@pytest.mark.parametrize("module", [suffixes, substrings])
+def test_repeats_with_colliding_hashes_are_told_by_text(docs, module, monkeypatch):
+    """All contents of an anchor in eight classes or one: the text decides."""
+    from functools import partial
+
+    from medallion.llm import _repeats
+
+    want = sorted(map(str, module.remove_repeats(docs, ["doc_id"]).drop("removed").collect()))
+    for bits in (3, 1):
+        monkeypatch.setattr(module, "Unit", partial(_repeats.Unit, bits=bits))
+        assert sorted(map(str, module.remove_repeats(docs, ["doc_id"]).drop("removed").collect())) == want
+
+
+def test_anchors_of_a_long_text_in_stretches(monkeypatch):
+    import numpy as np
+
+    from medallion.llm import _repeats
+
+    unit = _repeats.Unit(False, 200, 32)
+    cut = _repeats._cut([(text(0, 60) * 9).encode(), b"", b"short", (text(5, 90) * 3).encode()], unit)
+    want = _repeats._runs_of(*cut[:3], unit)
+    monkeypatch.setattr(_repeats, "STRETCH", 64)
+    assert all(np.array_equal(x, y) for x, y in zip(_repeats._runs_of(*cut[:3], unit), want))
+
+
+def test_multikey_quicksort_orders_like_sorted():
+    import random
+
+    import numpy as np
+
+    draw = random.Random(5)
+    keys = np.array([[draw.choice((0, 1, 2**63, 2**64 - 1)) for _ in range(suffixes.SHALLOW)] for _ in range(600)], np.uint64)
+    group = np.sort(np.array([draw.randrange(20) for _ in range(600)]))
+    order, deep = suffixes.multikey_quicksort(group, keys)
+    rank = lambda i: (group[i], *keys[i])
+    assert list(map(rank, order)) == sorted(map(rank, range(600)))
+    assert all(len({rank(i) for i in order[a : a + m]}) == 1 and m > 1 for a, m in deep)
+    assert sum(m - 1 for _, m in deep) == 600 - len(set(map(rank, range(600))))
+
+
 def test_deep_shallow_orders_like_sorted():
     rng = np.random.default_rng(1)
     strings = [b"x" * 40 + bytes(rng.integers(0, 3, rng.integers(0, 20)).astype(np.uint8)) for _ in range(300)]
