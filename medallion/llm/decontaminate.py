@@ -3,20 +3,23 @@ normalised test texts, each document scanned once, hits mapped to the original.
 
 Normalising keeps the byte positions: A-Z become a-z and each non-word byte a
 space, so a word's place in the normalised bytes is its place in the UTF-8
-text. The automaton holds each item's windows of 13 words (a shorter item
-whole), between spaces. It reaches the tasks as a broadcast of at most
-``MAX_WINDOWS`` windows (a window is 13 words); a larger benchmark is
-dealt into as many automata as needed, the documents scanned once with each,
-and their hits united by document.
+text. The automaton holds the first ``SEED`` words of each item's windows of 13
+words (a shorter item is one window), between spaces; where they occur, the words
+that follow are compared as a whole window. It reaches the tasks as a broadcast of at
+most ``MAX_WINDOWS`` windows and ``MAX_BYTES`` of their text, and each Python worker
+builds it once, not each task. A larger benchmark is dealt into as many automata as
+needed, the documents scanned once with each, and their hits united by document.
 
 Null text has no words, in documents and items alike. An item without id marks
 words but isn't counted. Equal items each count. Repeated documents come out
-as often as they come in.
+as often as they come in. A text of any length is scanned whole, in one task. Empty
+tables give no rows, an empty benchmark no hits. Only the ``keep`` columns come along;
+they can't be named like the results.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,9 @@ from medallion.llm._blocks import map_blocks, written
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
-MAX_WINDOWS = 500_000
+SEED = 4
+MAX_WINDOWS = 200_000
+MAX_BYTES = 32 << 20
 
 _WORD = lambda b: b > 0x7F or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A
 #: By byte: lower case of a word's byte, else a space.
@@ -47,26 +52,41 @@ def windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     )
 
 
-def automaton(found: list[tuple[str, list[str]]]):
+def automaton(found: dict[bytes, list[str]]):
+    """Of the windows' first words; the value of a key is its number of words and the lengths of its windows."""
     import ahocorasick
 
+    lengths: dict[bytes, set[int]] = {}
+    for window in found:
+        words = window.split()
+        lengths.setdefault(b" %s " % b" ".join(words[:SEED]), set()).add(len(words))
     a = ahocorasick.Automaton()
-    for window, items in found:
-        key = window.encode().decode("latin-1")
-        a.add_word(key, (window.count(" ") - 1, items))
-    if found:
+    for seed, of in lengths.items():
+        a.add_word(seed.decode("latin-1"), (seed.count(b" ") - 1, *sorted(of)))
+    if lengths:
         a.make_automaton()
     return a
 
 
+_built: dict[str, object] = {}
+
+
+def _automaton_of(name: str, found):
+    """The worker's automaton of that name, built when it first asks."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = automaton(found.value)
+    return _built[name]
+
+
 RUNS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
-def _scan(found, last: bool):
+def _scan(name: str, found, last: bool):
     """A block's hits united with those of earlier automata; the last pass lets go of the text."""
 
     def make():
-        a = automaton(found.value)
+        a, windows_ = _automaton_of(name, found), found.value
 
         def each(block):
             n_words, items, runs, spans = [], [], [], []
@@ -76,14 +96,17 @@ def _scan(found, last: bool):
                 n_words.append(len(words))
                 named, hits = set(named or ()), [(r["start"], r["end"]) for r in hits or ()]
                 if len(a) and words:
-                    normal = f" {b' '.join(words).decode('latin-1')} "
+                    normal = b" %s " % b" ".join(words)
                     space = None
-                    for end, (n, ids) in a.iter(normal):
+                    for end, (n, *lengths) in a.iter(normal.decode("latin-1")):
                         if space is None:
-                            space = np.flatnonzero(np.frombuffer(normal.encode("latin-1"), np.uint8) == 0x20)
-                        to = int(np.searchsorted(space, end))  # words before the window's last space
-                        hits.append((to - n, to))
-                        named.update(ids)
+                            space = np.flatnonzero(np.frombuffer(normal, np.uint8) == 0x20)
+                        at = int(np.searchsorted(space, end)) - n  # words before the seed
+                        for to in (at + k for k in lengths if at + k <= len(words)):
+                            ids = windows_.get(normal[space[at] : space[to] + 1])
+                            if ids is not None:
+                                hits.append((at, to))
+                                named.update(ids)
                 items.append(sorted(named))
                 if not hits:
                     runs.append([])
@@ -115,7 +138,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     exclusive), n_words, spans (the runs in code points of the text), n_hit and contaminated."""
     spark = docs.sparkSession
     dealt = written(windows(benchmark, width), "benchmark-windows")
-    shards = max(1, -(-dealt.count() // MAX_WINDOWS))
+    n, size = dealt.select(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("window")), F.lit(0))).first()
+    shards = max(1, -(-n // MAX_WINDOWS), -(-size // MAX_BYTES))
     runs = "array<struct<start:int,end:int>>"
     out = docs.select(
         *keep, F.col(text).alias("_text"), F.lit(None).cast("array<string>").alias("item_ids"), F.lit(None).cast(runs).alias("word_runs")
@@ -123,10 +147,10 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in out.schema if f.name in keep)
     for shard in range(shards):
         own = dealt.where(F.pmod(F.xxhash64("window"), F.lit(shards)) == shard).toArrow()  # about MAX_WINDOWS rows at most
-        pairs = list(zip(own.column("window").to_pylist(), own.column("item_ids").to_pylist()))
+        found = dict(zip((w.encode() for w in own.column("window").to_pylist()), own.column("item_ids").to_pylist()))
         last = shard == shards - 1
         schema = kept + ("" if last else "_text string, ") + f"item_ids array<string>, word_runs {runs}" + (f", n_words long, spans {runs}" if last else "")
-        out = map_blocks(out, "_text", BLOCK_BYTES, _scan(spark.sparkContext.broadcast(pairs), last), schema)
+        out = map_blocks(out, "_text", BLOCK_BYTES, _scan(uuid.uuid4().hex, spark.sparkContext.broadcast(found), last), schema)
     n_hit = F.aggregate("word_runs", F.lit(0).cast("long"), lambda s, r: s + r["end"] - r["start"])
     return out.withColumn("n_hit", n_hit).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 

@@ -239,3 +239,23 @@ def test_topk_by_uneven_segments(spark):
             want += [(q, r + 1, i, d) for r, (d, i) in enumerate(near)]
     assert sorted(map(tuple, got)) == sorted(want)
     assert [topk.fitting(n) for n in (0, 4 * 2**10, 2**60)] == [1, 10, topk.WIDEST]
+
+
+def test_windows_that_share_their_first_words(spark):
+    """Items of every length around the seed, equal beginnings, a word of the seed only; against a scan of all windows."""
+    w = [f"v{i}" for i in range(40)]
+    items = [" ".join(w[:n]) for n in (1, 2, 3, 4, 5, 12, 13, 14, 20)] + [" ".join(w[:4] + w[20:35]), " ".join(w[:12] + ["zz"]), "...", None]
+    texts = [" ".join(w), " ".join(w[:13]), "x " + " ".join(w[:4] + w[20:33]) + " y", " ".join(w[1:30]), "v0, V1. v2", "V0 " * 30, " ".join(w[:12]) + " zz zz", "", None]
+    bench = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(items)], "item_id string, text string")
+    got = decontaminate.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), bench, ["doc_id"]).collect()
+    cut = lambda t: re.findall("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", (t or "").lower())
+    for r in got:
+        words, hit, named = cut(texts[r.doc_id]), set(), set()
+        for k, item in enumerate(map(cut, items)):
+            n = min(13, len(item))
+            for a in range(len(item) - n + 1) if n else ():
+                for b in range(len(words) - n + 1):
+                    if words[b : b + n] == item[a : a + n]:
+                        hit |= set(range(b, b + n))
+                        named.add(f"i{k}")
+        assert (r.n_words, r.n_hit, r.item_ids) == (len(words), len(hit), sorted(named))
