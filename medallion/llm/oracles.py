@@ -71,6 +71,13 @@ sums as (
   from found group by blob)
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
        sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, paths.blob
+from paths left join sums on sums.blob = paths.blob""",
+    "op2_secret_ledger": f"""
+with paths as (select doc_id, coalesce(text, '') as body, sha256(coalesce(text, '')) as blob from documents),
+bodies as (select distinct blob, body from paths),
+found as ({_FOUND}),
+sums as (select blob, string_agg(kind || ':' || s || ':' || e, ',' order by s, o) as spans from found group by blob)
+select doc_id, coalesce(spans, '') as spans, 5::bigint as n_pairs, 5::bigint as n_rules
 from paths left join sums on sums.blob = paths.blob""",
     "op5_topk": """
 with v as (select distinct vec_id, list_transform(embedding, lambda x: x > 0) as code from embeddings),

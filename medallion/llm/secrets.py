@@ -23,6 +23,7 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medallion.llm._blocks import written
 from medallion.session import checkpoint_root
 
 # Kind, version, pattern, the group that the least length applies to, that
@@ -116,8 +117,10 @@ def scan(versions: DataFrame, keep: list[str], ledger: str, text: str = "text",
     seen = None
     if _exists(spark, ledger):
         seen = spark.read.schema(f"blob string, rule string, found {FOUND}").parquet(ledger)
-    # one copy of each blob, by a key that only equal rows share
+    # texts are read, addressed and looked over once: stored with signs and, where a rule may match, the text;
+    # one copy of each blob goes on, by a key that only equal rows share
     rows = rows.withColumn("_signs", signs(F.col("_text"), rules)).withColumn("_copy", F.xxhash64("blob", *keep))
+    rows = written(rows.withColumn("_text", F.when(F.col("_signs") != 0, F.col("_text"))), "addressed-texts")
     todo = rows.groupBy("blob").agg(F.min("_copy").alias("_copy"), F.max("_signs").alias("_signs"))
     todo = todo.withColumn("rules", F.array(*map(F.lit, ids)))
     if seen is not None:
@@ -185,3 +188,17 @@ def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
         "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(joined(of(*BASE)), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"), "blob",
     )
+
+
+def op2_secret_ledger(spark, sf_dir: str) -> DataFrame:
+    """``documents`` scanned with the base rules, then with all rules onto the same ledger, where only
+    the pairs of the new rules are unseen: each document's spans, and how often its blob met a rule."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ledger = new_ledger(spark)
+    scan(docs, ["doc_id"], ledger, rules=[r for r in RULES if r[0] in BASE])
+    found = scan(docs, ["doc_id"], ledger)
+    met = spark.read.schema(f"blob string, rule string, found {FOUND}").parquet(ledger)
+    met = met.groupBy("blob").agg(F.count(F.lit(1)).alias("n_pairs"), F.count_distinct("rule").alias("n_rules"))
+    salted = written(met.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), "pairs-of-blobs")
+    found = written(found.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")), "spans-of-paths")
+    return found.join(salted, ["blob", "_salt"], "left").select("doc_id", joined(F.col("findings")).alias("spans"), "n_pairs", "n_rules")
