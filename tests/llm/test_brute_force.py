@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from medallion.llm import jaccard, languages, quality
@@ -110,8 +111,19 @@ def test_quality(spark):
         if q is not None:
             y[i].append(q)
     y = {i: sum(v) / len(v) for i, v in y.items()}
-    x = np.array([quality.numbers(t or "") for _, t, *_ in rows])
-    known = [k for k, r in enumerate(rows) if r[0] in y]
+    # words and pairs by name, not by bucket: few enough not to share one
+    halves = {r._id: r.half for r in spark.range(48).select(F.col("id").alias("_id"), F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).alias("half")).collect()}
+    grams = lambda t: (w := (t or "").lower().split()) + list(zip(w, w[1:]))
+    met = {q: Counter(g for i, t, *_ in rows if i in y and halves[i] == 0 and (y[i] >= 0.5) == q for g in grams(t)) for q in (True, False)}
+    n = {q: sum(met[q].values()) for q in met}
+
+    def odds(g):
+        share = quality.SMOOTH * (met[True][g] + met[False][g] + 1) / (n[True] + n[False] + quality.BUCKETS)
+        return np.log((met[True][g] + share) / (n[True] + quality.SMOOTH)) - np.log((met[False][g] + share) / (n[False] + quality.SMOOTH))
+
+    x = np.array([[*quality.surface(t or ""), float(np.mean([odds(g) for g in grams(t)])) if t else 0.0] for _, t, *_ in rows])
+    known = [k for k, r in enumerate(rows) if r[0] in y and halves[r[0]] == 1]
+    assert 0 < len(known) < len(y)
     good = np.array([y[rows[k][0]] >= 0.5 for k in known], float)
     mean, scale = x[known].mean(0), x[known].std(0) + 1e-6
     w = np.zeros(x.shape[1] + 1)
@@ -143,4 +155,18 @@ def test_quality(spark):
     for (i, _, lang, source), e in zip(rows, evidence):
         q = path[source, lang]
         want = [e, host[source], q, 1 / (1 + np.exp(-(np.log(q / (1 - q)) + e)))]
-        assert np.allclose([got[i].evidence, got[i].host_rate, got[i].path_rate, got[i].posterior], want, atol=1e-6)
+        assert np.allclose([got[i].evidence, got[i].host_rate, got[i].path_rate, got[i].posterior], want, atol=1e-5)
+
+
+def test_quality_held_out(spark):
+    """Words alone tell good from bad, sites only partly: sparse sites lean on the words, and the posterior beats the sites' rates."""
+    rng = np.random.default_rng(11)
+    rows, labels = [], []
+    for i in range(400):
+        site = i % 40  # ten documents each, some hosts mostly bad
+        good = bool(rng.random() < (0.9 if site % 4 else 0.3))
+        words = rng.choice(["river", "stone", "field", "cloud", "paper"], 12).tolist() + rng.choice(["study", "result"] if good else ["cheap", "offer"], 1 + int(rng.random() < 0.5)).tolist()
+        rows.append((i, " ".join(rng.permutation(words)), "en", f"h{site}"))
+        labels.append((i, int(good)))
+    scores = quality.held_out(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert scores["posterior"][0] > 0.95 and scores["posterior"][0] > scores["path_rate"][0] and scores["posterior"][1] < scores["path_rate"][1]
