@@ -34,7 +34,6 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from itertools import combinations
 from operator import add
 
 from pyspark.sql import DataFrame, Window
@@ -81,6 +80,16 @@ def codes(vectors: DataFrame, id_col: str, vector: str, bits: int, width: int =
     return rows.where(F.col("id").isNotNull() & (F.size("v") > 0)).select("id", F.array(*segments).alias("code")).distinct()
 
 
+def flipped(rows: DataFrame, width: int, radius: int) -> DataFrame:
+    """Each row with each mask that has ``radius`` of ``width`` bits set: a bit at a time, in rising order,
+    so that the plan grows with the radius and no list of masks is written down."""
+    rows = rows.withColumn("mask", F.lit(0)).withColumn("_next", F.lit(0))
+    for left in range(radius, 0, -1):
+        rows = rows.withColumn("_bit", F.explode(F.sequence(F.col("_next"), F.lit(width - left))))
+        rows = rows.withColumn("mask", F.expr("mask | shiftleft(1, _bit)")).withColumn("_next", F.col("_bit") + 1).drop("_bit")
+    return rows.drop("_next")
+
+
 def search(index: DataFrame, queries: DataFrame, k: int, bits: int, width: int = SEGMENT) -> DataFrame:
     """(query_id, rank, neighbour_id, distance) of the ``queries`` (id, code) among ``index`` (id, code)."""
     spark = index.sparkSession
@@ -99,10 +108,9 @@ def search(index: DataFrame, queries: DataFrame, k: int, bits: int, width: int =
     order = Window.partitionBy("asked").orderBy("distance", "id")
     best, open_ = None, asked.withColumn("limit", F.lit(bits))
     for radius, first, last in _steps(m, widest):
-        masks = ", ".join(str(sum(1 << b for b in c)) for c in combinations(range(widest), radius))
         here = F.col("segment").between(first, last)
         probes = open_.repartition(tasks).select("asked", "limit", F.posexplode("asked").alias("segment", "own")).where(here)
-        probes = probes.select("asked", "limit", "segment", "own", F.explode(F.expr(f"array({masks})")).alias("mask"))
+        probes = flipped(probes, widest, radius)
         probes = probes.select("asked", "limit", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         met = probes.hint("merge").join(index.where(here), ["segment", "value"]).where(distance <= F.col("limit"))
         for i, part in enumerate(apart):

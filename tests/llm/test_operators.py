@@ -203,6 +203,25 @@ def test_topk(spark):
         assert [(r.distance, r.neighbour_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
 
 
+def test_masks_are_all_of_their_weight(spark):
+    for width, radius in ((1, 0), (1, 1), (6, 3), (9, 9), (12, 2)):
+        got = [r.mask for r in topk.flipped(spark.range(1), width, radius).collect()]
+        assert sorted(got) == [m for m in range(1 << width) if m.bit_count() == radius]
+
+
+def test_far_queries(spark, monkeypatch):
+    """Random codes of 256 bits: the nearest are some hundred bits away, radii grow to four and more."""
+    monkeypatch.setattr(topk, "AT_ONCE", 10**6)
+    v = np.random.default_rng(8).normal(size=(50, 256))
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    found = topk.codes(rows, "vec_id", "embedding", 256, 12)
+    got = topk.search(found, found.where("id % 25 = 0"), 3, 256, 12).collect()
+    for q in (0, 25):
+        d = ((v > 0) != (v[q] > 0)).sum(1)
+        want = [(int(d[j]), int(j)) for j in np.lexsort((np.arange(50), d)) if j != q][:3]
+        assert want[0][0] > 80 and [(r.distance, r.neighbour_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
+
+
 def test_quality(spark):
     good, bad = "the cat sat on a mat by the door today", "BUY!! BUY!! BUY!! NOW!!"
     rows = [(i, good if i % 3 else bad, "en", f"h{i % 2}") for i in range(60)] + [(None, None, None, None)]
