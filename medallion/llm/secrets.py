@@ -120,7 +120,11 @@ def scan(versions: DataFrame, keep: list[str], ledger: str, text: str = "text",
     # texts are read, addressed and looked over once: stored with signs and, where a rule may match, the text;
     # one copy of each blob goes on, by a key that only equal rows share
     rows = rows.withColumn("_signs", signs(F.col("_text"), rules)).withColumn("_copy", F.xxhash64("blob", *keep))
-    rows = written(rows.withColumn("_text", F.when(F.col("_signs") != 0, F.col("_text"))), "addressed-texts")
+    signed_text = F.when(F.col("_signs") != 0, F.coalesce(F.col(text) if text in keep else F.col("_text"), F.lit("")))
+    if text in keep:  # stored once
+        rows = written(rows.drop("_text"), "addressed-texts").withColumn("_text", signed_text)
+    else:
+        rows = written(rows.withColumn("_text", signed_text), "addressed-texts")
     todo = rows.groupBy("blob").agg(F.min("_copy").alias("_copy"), F.max("_signs").alias("_signs"))
     todo = todo.withColumn("rules", F.array(*map(F.lit, ids)))
     if seen is not None:
