@@ -29,7 +29,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from medallion.operators import bronze, quality  # noqa: E402
 from medallion.plans import dimensions  # noqa: E402
-from medallion.plans.warehouse import Warehouse  # noqa: E402
+from medallion.plans.warehouse import STAGING_MODELS, Warehouse  # noqa: E402
 from medallion.session import apply_conf, scratch_path  # noqa: E402
 from medallion.sources import fixtures  # noqa: E402
 from medallion.sources.ndjson import read_lines  # noqa: E402
@@ -116,13 +116,19 @@ def _dq(test: str) -> Callable[[SparkSession, str], DataFrame]:
         built: dict[str, DataFrame] = {}
 
         def rel(name: str) -> DataFrame:
-            # each checked relation is written once, as the suite runs over
-            # stored tables in production; a check reads its own columns
+            # as the suite runs over stored tables in production: a checked model is written
+            # once and the models built on it read it there; Silver is stored already, and
+            # staging is views of it
             if name not in built:
-                df = w.silver[name[3:]] if name.startswith("dt_") else w.model(name)
-                path = scratch_path(spark, f"dq-{name}")
-                df.write.parquet(path)
-                built[name] = spark.read.parquet(path)
+                if name.startswith("dt_"):
+                    built[name] = w.silver[name[3:]]
+                elif name in STAGING_MODELS:
+                    built[name] = w.model(name)
+                else:
+                    path = scratch_path(spark, f"dq-{name}")
+                    w.model(name).write.parquet(path)
+                    built[name] = spark.read.parquet(path)
+                    w.use(name, built[name])
             return built[name]
 
         return quality.run(rel, tests=[test])

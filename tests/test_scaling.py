@@ -60,3 +60,18 @@ def test_iso_utc_of_years_that_are_not_four_digits(spark):
     rows = rows.unionAll(spark.sql("SELECT 3, make_timestamp_ntz(12345, 6, 7, 8, 9, 10)"))
     got = [r[0] for r in rows.orderBy("k").select(iso_utc(F.col("t"))).collect()]
     assert got == ["1999-01-02T03:04:05Z", "0001-01-01T00:00:00Z", "null-null-nullTnull:null:nullZ", "12345-06-07T08:09:10Z"]
+
+
+def test_a_check_stores_a_model_once_and_copies_no_stored_silver(spark, tmp_path):
+    import glob
+
+    import __spark_entry__ as entry
+    from medallion.session import checkpoint_root
+
+    folder = lambda: set(glob.glob(checkpoint_root(spark).removeprefix("file:") + "/dq-*"))
+    before = folder()
+    report = entry.queries()["dq_not_null"](spark, _tables(spark, tmp_path))
+    stored = {p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in folder() - before}
+    assert stored == {"dq-dim_customers", "dq-dim_date", "dq-fct_orders", "dq-fct_order_lifecycle",
+                      "dq-mart_daily_revenue", "dq-mart_order_funnel", "dq-dim_products"}
+    assert {r["relation"] for r in report.collect()} >= {"stg_orders_created", "dt_orders_created", "mart_daily_revenue"}
