@@ -75,3 +75,26 @@ def test_a_check_stores_a_model_once_and_copies_no_stored_silver(spark, tmp_path
     assert stored == {"dq-dim_customers", "dq-dim_date", "dq-fct_orders", "dq-fct_order_lifecycle",
                       "dq-mart_daily_revenue", "dq-mart_order_funnel", "dq-dim_products"}
     assert {r["relation"] for r in report.collect()} >= {"stg_orders_created", "dt_orders_created", "mart_daily_revenue"}
+
+
+def test_a_first_batch_is_not_persisted(spark, tmp_path, monkeypatch):
+    from medallion.operators import silver
+    from medallion.streaming import upkeep_batch
+    from medallion.streaming.silver_stream import read_silver
+
+    asked = []
+    dedupe = silver.dedupe
+
+    def watched(typed):
+        rows = dedupe(typed)
+        persist = rows.persist
+        rows.persist = lambda *a: (asked.append(1), persist(*a))[1]
+        return rows
+
+    monkeypatch.setattr(silver, "dedupe", watched)
+    first, again = fixtures.deliveries(spark, _tables(spark, tmp_path))
+    for i, (lines, kept) in enumerate(((first, 0), (again, 1))):
+        bronze.load_and_write(lines, f"{tmp_path}/bronze", f"d{i}", f"2026-01-0{i + 1} 00:00:00")
+        upkeep_batch(bronze.read_load(spark, f"{tmp_path}/bronze", f"d{i}"), i, f"{tmp_path}/silver", ["orders_created"])
+        assert len(asked) == kept
+    assert read_silver(spark, f"{tmp_path}/silver", "orders_created").count() == 40
