@@ -99,7 +99,7 @@ def _super_windows(unit: Unit):
     def each(block):
         first, last, grams, base = _cut([(t or "").encode() for t in block.column("_text").to_pylist()], unit)
         text, window, count, anchor = _runs_of(first, last, grams, unit)
-        row, also = (block.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ROW)
+        row, also = (block.column(c).to_numpy(zero_copy_only=False) for c in ROW)
         if unit.words:
             # the words' hashes as a sequence, by prefix sums over mixed positions
             up, down = H._power(len(base) + 1)
@@ -108,10 +108,9 @@ def _super_windows(unit: Unit):
             sums = base
         content = H.run_hashes(sums, window, window + unit.length + count - 1) >> np.uint64(64 - unit.bits)
         start = window - first[text]
-        place = H.mix(row[text] + H.mix(also[text]) + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (grams[anchor].view(np.int64), content.view(np.int64), place.view(np.int64), row[text].view(np.int64), also[text].view(np.int64), start.astype(np.int32), count.astype(np.int32), (anchor - window).astype(np.int32))],
-            ["anchor", "content", "place", *ROW, "start", "n", "lead"],
+            [pa.array(x) for x in (grams[anchor].view(np.int64), content.view(np.int64), row[text], also[text], start.astype(np.int32), count.astype(np.int32), (anchor - window).astype(np.int32))],
+            ["anchor", "content", *ROW, "start", "n", "lead"],
         )
 
     return each
@@ -200,11 +199,11 @@ def repeats(docs: DataFrame, keep: list[str], unit: Unit, bucket: Callable, text
     rows = rows.withColumn("_row", F.xxhash64(*keep, "_text")).withColumn("_also", F.xxhash64(F.lit("also"), "_text", *keep))
     windows = map_blocks(
         rows.select(*ROW, "_text"), "_text", BLOCK_BYTES, lambda: _super_windows(unit),
-        "anchor long, content long, place long, _row long, _also long, start int, n int, lead int",
+        "anchor long, content long, _row long, _also long, start int, n int, lead int",
     )
     # a join whose other side is an aggregate can't split a hot anchor: what is counted is stored first
     met = written(windows.groupBy("anchor").agg(F.count(F.lit(1)).alias("met")).where("met > 1").select("anchor"), "met-anchors")
-    again = written(windows.join(met, "anchor"), "repeated-anchors")
+    again = written(windows.join(met, "anchor"), "repeated-anchors").withColumn("place", F.xxhash64(*ROW, "start"))
     classes = written(again.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("members"), F.min("place").alias("first")), "classes")
     contents = written(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents")), "contents")
     known = again.join(written(classes.join(contents, "anchor"), "anchor-classes"), ["anchor", "content"])
