@@ -98,3 +98,19 @@ def test_a_first_batch_is_not_persisted(spark, tmp_path, monkeypatch):
         upkeep_batch(bronze.read_load(spark, f"{tmp_path}/bronze", f"d{i}"), i, f"{tmp_path}/silver", ["orders_created"])
         assert len(asked) == kept
     assert read_silver(spark, f"{tmp_path}/silver", "orders_created").count() == 40
+
+
+def test_an_id_is_hashed_once_for_its_bloom_bits(spark, tmp):
+    from medallion.operators import ledger
+
+    ids = spark.range(6000).select(F.format_string("e-%d", "id").alias("event_id"))
+    shape = ledger.write_segment(ids.where("event_id < 'e-5'"), f"{tmp}/s0")
+    assert shape["blocks"]
+    known, passed = ledger.known(ids, [(f"{tmp}/s0", shape)])
+    assert passed._jdf.queryExecution().analyzed().toString().count("xxhash64(event_id") < 10
+    want = {f"e-{i}" for i in range(6000) if f"e-{i}" < "e-5"}
+    assert {r[0] for r in known.collect()} == want
+    blooms = spark.read.parquet(f"{tmp}/s0/bloom")
+    bits = blooms.selectExpr("+".join(f"bit_count(w{w})" for w in range(ledger.WORDS)) + " AS n").agg(F.sum("n")).first()[0]
+    assert 0.7 * ledger.PROBES * len(want) < bits <= ledger.PROBES * len(want)
+    passed.unpersist()
